@@ -91,3 +91,24 @@ SELECT mp.*, CASE WHEN MP_Top > 0 THEN MP_NS / MP_Top END AS Pct_NS,
 FROM mp LEFT JOIN customer c ON mp.session_id = c.c_custkey
         LEFT JOIN supplier s ON mp.l_suppkey = s.s_suppkey
 """
+
+
+def seat_rows(t: Tables) -> DataFrame:
+    """Board rows with the four seat player ids (null when the rule yields 0)."""
+    li = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate")
+    o = t.orders.select("o_orderkey", "o_custkey")
+    rows = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
+    return rows.select(F.col("o_custkey").alias("session_id"), F.col("l_partkey").alias("Board"),
+                       F.col("l_linenumber").alias("Round"), F.to_date("l_shipdate").alias("Date"),
+                       "l_orderkey", *[e.alias(n) for n, e in seat_columns().items()])
+
+
+SEAT_ROWS_SQL = """
+SELECT o.o_custkey AS session_id, l.l_partkey AS Board, l.l_linenumber AS Round,
+       CAST(l.l_shipdate AS DATE) AS Date, l.l_orderkey,
+       CASE WHEN l.l_suppkey <> 0 THEN l.l_suppkey END AS Player_ID_N,
+       CASE WHEN l.l_partkey % 100 <> 0 THEN l.l_partkey % 100 END AS Player_ID_E,
+       CASE WHEN (l.l_suppkey * 7 + l.l_partkey) % 100 <> 0 THEN (l.l_suppkey * 7 + l.l_partkey) % 100 END AS Player_ID_S,
+       CASE WHEN (l.l_partkey * 3 + l.l_orderkey) % 100 <> 0 THEN (l.l_partkey * 3 + l.l_orderkey) % 100 END AS Player_ID_W
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+"""
