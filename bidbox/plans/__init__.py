@@ -9,6 +9,7 @@ from .registry import ORACLE, QUERIES, Tables, register, table  # noqa: F401
 _MODULES = [
     "q_report",
     "q_relational",
+    "q_joins",
 ]
 
 
