@@ -10,6 +10,7 @@ _MODULES = [
     "q_report",
     "q_relational",
     "q_joins",
+    "q_scalar",
 ]
 
 
