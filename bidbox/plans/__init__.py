@@ -11,6 +11,7 @@ _MODULES = [
     "q_relational",
     "q_joins",
     "q_scalar",
+    "q_handrec",
 ]
 
 
