@@ -12,6 +12,7 @@ _MODULES = [
     "q_joins",
     "q_scalar",
     "q_handrec",
+    "q_filters_schema",
 ]
 
 
