@@ -13,6 +13,7 @@ _MODULES = [
     "q_scalar",
     "q_handrec",
     "q_filters_schema",
+    "q_sources",
 ]
 
 
