@@ -14,6 +14,7 @@ _MODULES = [
     "q_handrec",
     "q_filters_schema",
     "q_sources",
+    "q_sql",
 ]
 
 
