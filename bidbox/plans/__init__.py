@@ -15,6 +15,7 @@ _MODULES = [
     "q_filters_schema",
     "q_sources",
     "q_sql",
+    "q_rating",
 ]
 
 
