@@ -16,6 +16,7 @@ _MODULES = [
     "q_sources",
     "q_sql",
     "q_rating",
+    "q_stream",
 ]
 
 
