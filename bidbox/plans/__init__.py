@@ -17,6 +17,7 @@ _MODULES = [
     "q_sql",
     "q_rating",
     "q_stream",
+    "q_ml",
 ]
 
 
