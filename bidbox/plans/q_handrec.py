@@ -311,8 +311,7 @@ def _scored_contracts(t: Tables) -> DataFrame:
     li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
     li = li.select("l_orderkey", "l_linenumber", "l_partkey", contract_text().alias("raw"),
                    declarer_text().alias("Declarer"), (F.col("l_quantity").cast("int") % 14).alias("Tricks"))
-    cols = CT.normalise_contract("raw", "Declarer")
-    c = CT.drop_invalid_contracts(li.select("*", *[v.alias(k) for k, v in cols.items()]))
+    c = CT.normalise_contract(li, "raw", "Declarer", drop_invalid=True)
     c = c.where(F.col("Declarer").isNotNull())
     vul = H.vul_from_board(F.col("l_partkey") % 16 + 1)
     vul_side = F.when(F.col("Declarer").isin("N", "S"), vul.isin("NS", "Both")).otherwise(vul.isin("EW", "Both"))

@@ -67,9 +67,8 @@ def c01_contract(spark, d):
     li = Tables(spark, d).lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
     li = li.select("l_orderkey", "l_linenumber", "l_partkey", contract_text().alias("raw"),
                    declarer_text().alias("Declarer"))
-    cols = CT.normalise_contract("raw", "Declarer")
-    out = li.select("l_orderkey", "l_linenumber", "l_partkey", "raw", *[v.alias(k) for k, v in cols.items()])
-    return CT.drop_invalid_contracts(out)
+    return CT.normalise_contract(li, "raw", "Declarer", drop_invalid=True).select(
+        "l_orderkey", "l_linenumber", "l_partkey", "raw", "Contract", "BidLvl", "BidSuit", "Dbl")
 
 
 # --- lead (C2) ----------------------------------------------------------------------

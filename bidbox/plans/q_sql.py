@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import contract as CT
 from ..operators import relational as R
@@ -151,7 +152,7 @@ def q04k_asof(spark, d):
 
 # --- Q5: vectorised UDF --------------------------------------------------------------
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def lead_udf(s: pd.Series) -> pd.Series:
     """Q5: the opening-lead normaliser as an Arrow-batched pandas UDF (same rule as C2)."""
     suits, ranks = CT.SUITS, CT.RANKS
