@@ -88,10 +88,12 @@ def _global_rank(df: DataFrame, col: str, n_buckets: int) -> DataFrame:
     # A reliable checkpoint (shared checkpoint dir) pins the input once.
     df = df.checkpoint(eager=True)
 
-    # Bucket bounds: a bounded (n_buckets) list of approximate quantiles -> driver is fine.
+    # Bucket bounds (a bounded list of approximate quantiles) and the row count come back in one
+    # small aggregate; both are O(n_buckets) on the driver.
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    row = df.where(~F.isnan(F.col(col))).agg(
-        F.percentile_approx(F.col(col).cast("double"), probs, 10000).alias("b")).first()
+    row = df.agg(F.percentile_approx(F.when(~F.isnan(F.col(col)), F.col(col).cast("double")), probs, 10000).alias("b"),
+                 F.count(F.lit(1)).alias("n")).first()
+    total = int(row["n"])
     bounds = sorted({float(b) for b in (row["b"] or [])})
     splits = [float("-inf"), *bounds, float("inf")]
     if len(splits) < 3:
@@ -108,7 +110,6 @@ def _global_rank(df: DataFrame, col: str, n_buckets: int) -> DataFrame:
     ranked = (bucketed.join(F.broadcast(offsets.select("_bucket", "_off")), "_bucket")
               .withColumn("_n_lt", F.col("_off") + F.coalesce(F.sum("_n_eq").over(inner), F.lit(0)))
               .select(col, "_n_eq", "_n_lt"))
-    total = df.agg(F.count(F.lit(1)).alias("_n_all")).first()["_n_all"]
     return (df.join(ranked, on=col, how="left")
               .withColumn("_n_all", F.lit(total).cast("long")))
 

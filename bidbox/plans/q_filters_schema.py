@@ -294,3 +294,38 @@ def v08_diff(spark, d):
         "o_orderkey", F.when(F.col("o_orderkey") % 13 == 0, F.lit("X")).otherwise(F.col("o_orderstatus")).alias("o_orderstatus"),
         F.when(F.col("o_orderkey") % 17 == 0, F.lit(None).cast("string")).otherwise(F.col("o_orderpriority")).alias("o_orderpriority"))
     return SC.cell_diff(o, b, ["o_orderkey"], ["o_orderstatus", "o_orderpriority"])
+
+
+# --- schema operations that drive a data projection (S3, P14, V3) --------------------------
+
+@register("s03_schema", sql="SELECT l_orderkey, l_partkey, l_quantity FROM lineitem")
+def s03_schema(spark, d):
+    """Validate a requested projection against the footer schema (no rows read), then run it."""
+    from ..sources.files import schema_only
+
+    path = f"{d.rstrip('/')}/lineitem.parquet"
+    schema = schema_only(spark, path)
+    wanted = ["l_orderkey", "l_partkey", "l_quantity", "Board_not_in_file"]
+    present = [c for c in wanted if c in schema.fieldNames()]
+    return Tables(spark, d).lineitem.select(*present)
+
+
+@register("p14_schema_search", sql="SELECT l_extendedprice, l_quantity FROM lineitem")
+def p14_schema_search(spark, d):
+    """Case-insensitive column search (capped, with total) selects the columns to read."""
+    li = Tables(spark, d).lineitem
+    hits, total = SC.search_columns(li, r"PRICE|quant", limit=200)
+    assert total == len(hits)
+    return li.select(*[name for name, _ in hits])
+
+
+@register("v03_schema", sql="""
+SELECT o_orderkey, CAST(o_totalprice AS FLOAT) AS o_totalprice, o_orderstatus FROM orders""")
+def v03_schema(spark, d):
+    """Schema assertions on the model table: doubles are downcast, then nothing may be reported."""
+    o = Tables(spark, d).orders.select("o_orderkey", "o_totalprice", "o_orderstatus")
+    out = SC.downcast_doubles(o)
+    problems = SC.schema_problems(out.schema)
+    if problems:
+        raise SC.SchemaError(f"schema problems: {problems}")
+    return out
