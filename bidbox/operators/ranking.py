@@ -86,6 +86,9 @@ def _global_rank(df: DataFrame, col: str, n_buckets: int) -> DataFrame:
     # The rank is joined back on the value itself, so every branch must see the same bits:
     # an upstream float aggregate recomputed per branch may differ in the last ulp.
     # A reliable checkpoint (shared checkpoint dir) pins the input once.
+    from ..session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
     df = df.checkpoint(eager=True)
 
     # Bucket bounds (a bounded list of approximate quantiles) and the row count come back in one
