@@ -128,15 +128,19 @@ def cache_split(rows: DataFrame, cache: DataFrame, key: Sequence[str]) -> tuple[
     return rows.join(k, cond, "left_semi"), rows.join(k, cond, "left_anti")
 
 
-def precedence_merge(frames: Sequence[DataFrame], key: Sequence[str],
-                     tie_order: Sequence[Column] = ()) -> DataFrame:
-    """Union frames in precedence order; per key keep the row of the first frame holding it."""
+def precedence_merge(frames: Sequence[DataFrame], key: Sequence[str]) -> DataFrame:
+    """Union frames in precedence order; per key keep the row of the first frame holding it.
+
+    The choice is an aggregate (``min_by`` of the row by precedence), so it combines per task
+    before the shuffle instead of ranking every row of a key in one window.
+    """
+    from .relational import keep_first
+
     tagged = [f.withColumn("_prec", F.lit(i)) for i, f in enumerate(frames)]
     u = tagged[0]
     for f in tagged[1:]:
         u = u.unionByName(f)
-    w = Window.partitionBy(*key).orderBy(F.col("_prec"), *tie_order)
-    return u.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "_prec")
+    return keep_first(u, key, ["_prec"]).drop("_prec")
 
 
 def collision_columns(columns: Sequence[str]) -> list[str]:

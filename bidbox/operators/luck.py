@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ranking import average_rank
+from .ranking import average_rank, exact_quantiles
 
 Z95 = 1.96  # fixed value: two-sided 95% normal quantile used for CI and significance
 
@@ -79,17 +79,20 @@ def luck_report(df: DataFrame, group_keys: Sequence[str] = ("session_id", "Pair_
 def report_summary(report: DataFrame, min_boards: int = 0) -> DataFrame:
     """One-row summary of reportable session-pairs (mean, sample std, p05/p95, shares).
 
-    Quantiles are exact and linear (``percentile``); the input is already one row per
-    session-pair, so the per-group value map stays small relative to the fact table.
+    Quantiles are exact and linear (``percentile`` semantics) but computed with the
+    distributed :func:`exact_quantiles`, so no task gathers every value.
     """
     rep = report.where(F.col("n_boards") >= min_boards)
-    return rep.agg(
+    qs = exact_quantiles(rep, "luck_delta", [0.05, 0.95])
+    agg = rep.agg(
         F.count(F.lit(1)).alias("n_session_pairs_reportable"),
         F.avg("n_boards").alias("mean_n_boards"),
         F.avg("luck_delta").alias("mean_luck_delta"),
         F.stddev_samp("luck_delta").alias("std_luck_delta"),
-        F.percentile("luck_delta", 0.05).alias("p05_luck_delta"),
-        F.percentile("luck_delta", 0.95).alias("p95_luck_delta"),
         F.avg(F.col("is_lucky_significant").cast("double")).alias("pct_significantly_lucky"),
         F.avg("total_sigma").alias("mean_total_sigma"),
     )
+    return agg.select("n_session_pairs_reportable", "mean_n_boards", "mean_luck_delta", "std_luck_delta",
+                      F.lit(qs[0.05]).cast("double").alias("p05_luck_delta"),
+                      F.lit(qs[0.95]).cast("double").alias("p95_luck_delta"),
+                      "pct_significantly_lucky", "mean_total_sigma")

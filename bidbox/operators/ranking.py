@@ -128,3 +128,65 @@ def rank_over_ties_expr(value: Column, partition: Sequence[str]) -> Column:
     ties = Window.partitionBy(*partition, value)
     return F.when(value.isNotNull(),
                   F.rank().over(w) + (F.count(F.lit(1)).over(ties) - 1) / F.lit(2.0))
+
+
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], n_buckets: int = 512) -> dict[float, float | None]:
+    """Exact linear-interpolated quantiles (``percentile`` / ``quantile_cont`` semantics) without
+    gathering all values in one task.
+
+    Distinct values with counts are range-bucketed by approximate quantile bounds; the per-bucket
+    counts (at most ``n_buckets + 1`` rows) locate the bucket holding each needed rank, and only
+    those buckets' distinct values are ordered to read the values at ranks floor/ceil of
+    ``q * (n - 1)``.  Nulls and NaN are ignored.  Returns {q: value}.
+    """
+    from pyspark.ml.feature import Bucketizer
+
+    x = F.col(col).cast("double")
+    clean = df.select(x.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
+    bprobs = [i / n_buckets for i in range(1, n_buckets)]
+    row = clean.agg(F.percentile_approx("_x", bprobs, 10000).alias("b"), F.count(F.lit(1)).alias("n")).first()
+    n = int(row["n"])
+    if n == 0:
+        return {q: None for q in probs}
+    splits = [float("-inf"), *sorted({float(b) for b in (row["b"] or [])}), float("inf")]
+    if len(splits) < 3:
+        splits = [float("-inf"), 0.0, float("inf")]
+    distinct = clean.groupBy("_x").agg(F.count(F.lit(1)).alias("_n"))
+    bucketed = Bucketizer(splits=splits, inputCol="_x", outputCol="_b").transform(distinct)
+    per_bucket = sorted((r["_b"], r["c"]) for r in bucketed.groupBy("_b").agg(F.sum("_n").alias("c")).collect())
+    offsets, acc = [], 0
+    for b, c in per_bucket:          # at most n_buckets + 1 rows on the driver
+        offsets.append((b, acc, acc + c))
+        acc += c
+    wanted = {}
+    for q in probs:
+        pos = q * (n - 1)
+        for k in {int(pos // 1), int(-(-pos // 1))}:
+            wanted[k] = next(b for b, lo, hi in offsets if lo <= k < hi)
+    buckets = sorted(set(wanted.values()))
+    w = Window.partitionBy("_b").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
+    sel = (bucketed.where(F.col("_b").isin(buckets))
+           .withColumn("_cum", F.sum("_n").over(w)))
+    off = {b: lo for b, lo, _ in offsets}
+    # the value at global rank k is the first distinct value whose cumulative count exceeds k
+    conds = []
+    for k, b in wanted.items():
+        local = k - off[b]
+        conds.append((F.col("_b") == b) & (F.col("_cum") > local) & (F.col("_cum") - F.col("_n") <= local))
+    cond = conds[0]
+    for c in conds[1:]:
+        cond = cond | c
+    hits = sel.where(cond).select("_b", "_x", "_cum", "_n").collect()   # at most len(wanted) rows
+    value_at = {}
+    for k, b in wanted.items():
+        local = k - off[b]
+        for h in hits:
+            if h["_b"] == b and h["_cum"] > local >= h["_cum"] - h["_n"]:
+                value_at[k] = h["_x"]
+    out = {}
+    for q in probs:
+        pos = q * (n - 1)
+        lo, hi = int(pos // 1), int(-(-pos // 1))
+        frac = pos - lo
+        out[q] = value_at[lo] + (value_at[hi] - value_at[lo]) * frac if hi != lo else value_at[lo]
+    return out

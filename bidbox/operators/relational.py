@@ -176,10 +176,19 @@ def experience_count(df: DataFrame, key: Sequence[str], order: Sequence[str], ou
     return df.withColumn(out, F.row_number().over(w) - 1)
 
 
-def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
-    """Keep the first row per key under an explicit total order (desc order = keep last)."""
-    w = Window.partitionBy(*key).orderBy(*_cols(order))
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[str], descending: bool = False) -> DataFrame:
+    """Keep the first row per key under an explicit total order (``descending`` keeps the last).
+
+    Written as an aggregate, ``min_by``/``max_by`` of the whole row by the order tuple: partial
+    aggregation keeps one candidate per key per task before the shuffle, so a key that holds a
+    large share of the rows never lands whole in one task (a ``row_number`` window would).
+    """
+    key = list(key)
+    rest = [c for c in df.columns if c not in key]
+    row = F.struct(*[F.col(f"`{c}`") for c in rest])
+    o = F.struct(*[F.col(c) for c in order])
+    pick = F.max_by(row, o) if descending else F.min_by(row, o)
+    return df.groupBy(*key).agg(pick.alias("_row")).select(*key, *[F.col(f"_row.`{c}`").alias(c) for c in rest])
 
 
 def is_duplicated(df: DataFrame, key: Sequence[str], out: str = "is_duplicated") -> DataFrame:

@@ -226,12 +226,13 @@ SELECT count(o_totalprice) AS count, {r('min(o_totalprice)')} AS min, {r('quanti
   {r('quantile_cont(o_totalprice, 0.5)')} AS p50, {r('quantile_cont(o_totalprice, 0.75)')} AS p75,
   {r('max(o_totalprice)')} AS max, {r('avg(o_totalprice)')} AS mean FROM orders""")
 def a23_describe(spark, d):
+    from ..operators.ranking import exact_quantiles
     o = Tables(spark, d).orders
-    return rounded(o.agg(F.count("o_totalprice").alias("count"), F.min("o_totalprice").alias("min"),
-                         F.percentile("o_totalprice", 0.25).alias("p25"),
-                         F.percentile("o_totalprice", 0.5).alias("p50"),
-                         F.percentile("o_totalprice", 0.75).alias("p75"),
-                         F.max("o_totalprice").alias("max"), F.avg("o_totalprice").alias("mean")))
+    qs = exact_quantiles(o, "o_totalprice", [0.25, 0.5, 0.75])
+    agg = o.agg(F.count("o_totalprice").alias("count"), F.min("o_totalprice").alias("min"),
+                F.max("o_totalprice").alias("max"), F.avg("o_totalprice").alias("mean"))
+    return rounded(agg.select("count", "min", *[F.lit(qs[q]).cast("double").alias(f"p{int(q * 100)}") for q in (0.25, 0.5, 0.75)],
+                              "max", "mean"))
 
 
 @register("a25_confusion", sql="""
@@ -273,7 +274,7 @@ SELECT o_custkey, o_orderkey, o_totalprice FROM orders
 QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) = 1""")
 def w03_keep_last(spark, d):
     o = Tables(spark, d).orders.select("o_custkey", "o_orderkey", "o_totalprice")
-    return R.keep_first(o, ["o_custkey"], [F.col("o_orderkey").desc()])
+    return R.keep_first(o, ["o_custkey"], ["o_orderkey"], descending=True)
 
 
 @register("w05_is_dup", sql="""
