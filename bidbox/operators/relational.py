@@ -170,10 +170,30 @@ def status_tally(df: DataFrame, status_col: str, statuses: Sequence[str]) -> Dat
 
 # --- windows -----------------------------------------------------------------------
 
-def experience_count(df: DataFrame, key: Sequence[str], order: Sequence[str], out: str) -> DataFrame:
-    """0-based running count of earlier rows of the same key in a stated order."""
-    w = Window.partitionBy(*key).orderBy(*_cols(order))
-    return df.withColumn(out, F.row_number().over(w) - 1)
+def experience_count(df: DataFrame, key: Sequence[str], order: Sequence[str], out: str,
+                     skew_safe: bool = False, n_partitions: int | None = None) -> DataFrame:
+    """0-based running count of earlier rows of the same key in a stated total order.
+
+    Default: ``row_number()`` over a key window (one shuffle; a key lives in one task).
+    ``skew_safe=True``: an exact distributed row number.  Rows are range-partitioned on
+    (key, order) so a hot key is cut into contiguous runs across tasks; each run is numbered
+    locally, and the offset of a run is the number of the key's rows in earlier partitions,
+    taken from a per-(partition, key) count table that has at most one row per key per
+    partition.  ``order`` must be a total order within the key (add a tie-break column).
+    """
+    if not skew_safe:
+        w = Window.partitionBy(*key).orderBy(*_cols(order))
+        return df.withColumn(out, F.row_number().over(w) - 1)
+    key, order = list(key), list(order)
+    n = n_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    runs = df.repartitionByRange(n, *key, *order).withColumn("_pid", F.spark_partition_id())
+    local = runs.withColumn("_local", F.row_number().over(Window.partitionBy("_pid", *key).orderBy(*order)))
+    counts = runs.groupBy("_pid", *key).agg(F.count(F.lit(1)).alias("_c"))
+    before = Window.partitionBy(*key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("_off", F.coalesce(F.sum("_c").over(before), F.lit(0))).drop("_c")
+    return (local.join(offsets, ["_pid", *key], "left")
+                 .withColumn(out, F.col("_off") + F.col("_local") - 1)
+                 .drop("_pid", "_local", "_off"))
 
 
 def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[str], descending: bool = False) -> DataFrame:
@@ -197,9 +217,10 @@ def is_duplicated(df: DataFrame, key: Sequence[str], out: str = "is_duplicated")
     return df.join(counts, on=list(key), how="left").withColumn(out, F.col("_c") > 1).drop("_c")
 
 
-def row_index(df: DataFrame, key: Sequence[str], order: Sequence[str], out: str = "row_idx") -> DataFrame:
+def row_index(df: DataFrame, key: Sequence[str], order: Sequence[str], out: str = "row_idx",
+              skew_safe: bool = False) -> DataFrame:
     """Deterministic 0-based row index inside each key."""
-    return experience_count(df, key, order, out)
+    return experience_count(df, key, order, out, skew_safe=skew_safe)
 
 
 # --- ordering ----------------------------------------------------------------------

@@ -258,7 +258,7 @@ def a26_status_tally(spark, d):
 SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS Elo_N FROM events""")
 def w01_experience(spark, d):
     e = Tables(spark, d).events.select("event_id", "user_id", "ts")
-    return R.experience_count(e, ["user_id"], ["ts", "event_id"], "Elo_N").drop("ts")
+    return R.experience_count(e, ["user_id"], ["ts", "event_id"], "Elo_N", skew_safe=True).drop("ts")
 
 
 @register("w02_keep_first", sql="""
@@ -290,7 +290,7 @@ SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY
 FROM orders""")
 def w06_row_index(spark, d):
     o = Tables(spark, d).orders.select("o_custkey", "o_orderkey", "o_orderdate")
-    return R.row_index(o, ["o_custkey"], ["o_orderdate", "o_orderkey"]).drop("o_orderdate")
+    return R.row_index(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], skew_safe=True).drop("o_orderdate")
 
 
 # --- O: ordering -------------------------------------------------------------------

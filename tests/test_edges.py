@@ -170,3 +170,27 @@ def test_ridge_matches_numpy(spark):
     coef = coef_std / sd
     assert np.allclose(m["coef"], coef, atol=1e-9)
     assert abs(m["intercept"] - (y.mean() - mu @ coef)) < 1e-9
+
+
+def test_skew_safe_row_index_matches_window(spark):
+    # one key holds a third of the rows; the distributed row number must equal the window one
+    rows = [(0 if i % 3 == 0 else i % 50, i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k int, t int")
+    a = {(r.k, r.t): r.n for r in R.experience_count(df, ["k"], ["t"], "n", skew_safe=True, n_partitions=8).collect()}
+    b = {(r.k, r.t): r.n for r in R.experience_count(df, ["k"], ["t"], "n").collect()}
+    n_hot = sum(1 for k, _ in rows if k == 0)
+    assert a == b and max(v for (k, _), v in a.items() if k == 0) == n_hot - 1
+
+
+def test_exact_quantiles_match_percentile(spark):
+    df = spark.createDataFrame([(float(x % 97) if x % 5 else None,) for x in range(2000)], "v double")
+    got = RK.exact_quantiles(df, "v", [0.0, 0.1, 0.5, 0.9, 1.0])
+    ref = df.agg(*[F.percentile("v", q).alias(f"p{i}") for i, q in enumerate([0.0, 0.1, 0.5, 0.9, 1.0])]).first()
+    assert all(abs(got[q] - ref[f"p{i}"]) < 1e-9 for i, q in enumerate([0.0, 0.1, 0.5, 0.9, 1.0]))
+
+
+def test_keep_first_and_last(spark):
+    df = spark.createDataFrame([(1, 3, "a"), (1, 1, "b"), (2, 5, "c"), (1, 2, "d")], "k int, t int, v string")
+    first = {r.k: r.v for r in R.keep_first(df, ["k"], ["t"]).collect()}
+    last = {r.k: r.v for r in R.keep_first(df, ["k"], ["t"], descending=True).collect()}
+    assert first == {1: "b", 2: "c"} and last == {1: "a", 2: "c"}
