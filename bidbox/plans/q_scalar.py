@@ -10,7 +10,7 @@ from ..functions import contract as CT
 from ..functions import keys as K
 from .bindings import SEAT_ROWS_SQL, seat_rows
 from .registry import Tables, register
-from .util import r, rounded
+from .util import r
 
 # --- generated contract text (C1, F16) ----------------------------------------------
 

@@ -10,7 +10,7 @@ from ..sources import documents as D
 from ..sources import files as FS
 from ..sources import html as HT
 from .registry import Tables, register, table
-from .util import money, r, rounded
+from .util import money
 
 
 def _p(sf_dir: str, name: str) -> str:
