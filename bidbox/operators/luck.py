@@ -79,11 +79,11 @@ def luck_report(df: DataFrame, group_keys: Sequence[str] = ("session_id", "Pair_
 def report_summary(report: DataFrame, min_boards: int = 0) -> DataFrame:
     """One-row summary of reportable session-pairs (mean, sample std, p05/p95, shares).
 
-    Quantiles are exact and linear (``percentile`` semantics) but computed with the
-    distributed :func:`exact_quantiles`, so no task gathers every value.
+    p05/p95 follow the reference's default quantile rule, *nearest* rank round(q*(n-1)),
+    computed exactly by the distributed :func:`exact_quantiles` (no task gathers every value).
     """
     rep = report.where(F.col("n_boards") >= min_boards)
-    qs = exact_quantiles(rep, "luck_delta", [0.05, 0.95])
+    qs = exact_quantiles(rep, "luck_delta", [0.05, 0.95], method="nearest")
     agg = rep.agg(
         F.count(F.lit(1)).alias("n_session_pairs_reportable"),
         F.avg("n_boards").alias("mean_n_boards"),

@@ -15,6 +15,7 @@ Both are written so that a hot key never lands whole in one task:
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -130,9 +131,13 @@ def rank_over_ties_expr(value: Column, partition: Sequence[str]) -> Column:
                   F.rank().over(w) + (F.count(F.lit(1)).over(ties) - 1) / F.lit(2.0))
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], n_buckets: int = 512) -> dict[float, float | None]:
-    """Exact linear-interpolated quantiles (``percentile`` / ``quantile_cont`` semantics) without
-    gathering all values in one task.
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], n_buckets: int = 512,
+                    method: str = "linear") -> dict[float, float | None]:
+    """Exact quantiles without gathering all values in one task.
+
+    ``method="linear"``: interpolate between ranks floor/ceil of ``q*(n-1)`` (``percentile`` /
+    ``quantile_cont``).  ``method="nearest"``: the value at rank ``round(q*(n-1))`` with halves
+    away from zero (the default of Polars ``quantile`` and ``describe``).
 
     Distinct values with counts are range-bucketed by approximate quantile bounds; the per-bucket
     counts (at most ``n_buckets + 1`` rows) locate the bucket holding each needed rank, and only
@@ -158,10 +163,15 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], n_buckets:
     for b, c in per_bucket:          # at most n_buckets + 1 rows on the driver
         offsets.append((b, acc, acc + c))
         acc += c
+    def ranks(q: float) -> set[int]:
+        pos = q * (n - 1)
+        if method == "nearest":
+            return {int(math.floor(pos + 0.5))}
+        return {int(pos // 1), int(-(-pos // 1))}
+
     wanted = {}
     for q in probs:
-        pos = q * (n - 1)
-        for k in {int(pos // 1), int(-(-pos // 1))}:
+        for k in ranks(q):
             wanted[k] = next(b for b, lo, hi in offsets if lo <= k < hi)
     buckets = sorted(set(wanted.values()))
     w = Window.partitionBy("_b").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
@@ -186,6 +196,9 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], n_buckets:
     out = {}
     for q in probs:
         pos = q * (n - 1)
+        if method == "nearest":
+            out[q] = value_at[int(math.floor(pos + 0.5))]
+            continue
         lo, hi = int(pos // 1), int(-(-pos // 1))
         frac = pos - lo
         out[q] = value_at[lo] + (value_at[hi] - value_at[lo]) * frac if hi != lo else value_at[lo]

@@ -221,18 +221,28 @@ def a22_overlap(spark, d):
                       F.count_if(F.col("_hit").isNull()).alias("novel"))
 
 
+def _nearest_sql(col: str, q: float, table_filter: str = "") -> str:
+    return (f"list_sort(list({col}) FILTER (WHERE {col} IS NOT NULL))"
+            f"[CAST(round({q} * (count({col}) - 1)) AS BIGINT) + 1]")
+
+
 @register("a23_describe", sql=f"""
-SELECT count(o_totalprice) AS count, {r('min(o_totalprice)')} AS min, {r('quantile_cont(o_totalprice, 0.25)')} AS p25,
-  {r('quantile_cont(o_totalprice, 0.5)')} AS p50, {r('quantile_cont(o_totalprice, 0.75)')} AS p75,
-  {r('max(o_totalprice)')} AS max, {r('avg(o_totalprice)')} AS mean FROM orders""")
+SELECT count(o_totalprice) AS count, count(*) - count(o_totalprice) AS null_count, {r('avg(o_totalprice)')} AS mean,
+  {r('stddev_samp(o_totalprice)')} AS std, {r('min(o_totalprice)')} AS min,
+  {r(_nearest_sql('o_totalprice', 0.25))} AS p25, {r(_nearest_sql('o_totalprice', 0.5))} AS p50,
+  {r(_nearest_sql('o_totalprice', 0.75))} AS p75, {r('max(o_totalprice)')} AS max FROM orders""")
 def a23_describe(spark, d):
+    """Describe a numeric target like Polars ``describe``: quartiles use the nearest rank."""
     from ..operators.ranking import exact_quantiles
     o = Tables(spark, d).orders
-    qs = exact_quantiles(o, "o_totalprice", [0.25, 0.5, 0.75])
-    agg = o.agg(F.count("o_totalprice").alias("count"), F.min("o_totalprice").alias("min"),
-                F.max("o_totalprice").alias("max"), F.avg("o_totalprice").alias("mean"))
-    return rounded(agg.select("count", "min", *[F.lit(qs[q]).cast("double").alias(f"p{int(q * 100)}") for q in (0.25, 0.5, 0.75)],
-                              "max", "mean"))
+    qs = exact_quantiles(o, "o_totalprice", [0.25, 0.5, 0.75], method="nearest")
+    agg = o.agg(F.count("o_totalprice").alias("count"),
+                (F.count(F.lit(1)) - F.count("o_totalprice")).alias("null_count"),
+                F.avg("o_totalprice").alias("mean"), F.stddev_samp("o_totalprice").alias("std"),
+                F.min("o_totalprice").alias("min"), F.max("o_totalprice").alias("max"))
+    return rounded(agg.select("count", "null_count", "mean", "std", "min",
+                              *[F.lit(qs[q]).cast("double").alias(f"p{int(q * 100)}") for q in (0.25, 0.5, 0.75)],
+                              "max"))
 
 
 @register("a25_confusion", sql="""

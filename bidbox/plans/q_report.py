@@ -103,8 +103,8 @@ def w04_rank_pct(spark, sf_dir):
 @register("a19_report", sql=_LUCK_SQL + f"""
 SELECT count(*) AS n_session_pairs_reportable, {r('avg(n_boards)')} AS mean_n_boards,
   {r('avg(luck_delta)')} AS mean_luck_delta, {r('stddev_samp(luck_delta)')} AS std_luck_delta,
-  {r('quantile_cont(luck_delta, 0.05)')} AS p05_luck_delta,
-  {r('quantile_cont(luck_delta, 0.95)')} AS p95_luck_delta,
+  {r("list_sort(list(luck_delta) FILTER (WHERE luck_delta IS NOT NULL))[CAST(round(0.05 * (count(luck_delta) - 1)) AS BIGINT) + 1]")} AS p05_luck_delta,
+  {r("list_sort(list(luck_delta) FILTER (WHERE luck_delta IS NOT NULL))[CAST(round(0.95 * (count(luck_delta) - 1)) AS BIGINT) + 1]")} AS p95_luck_delta,
   {r('avg(CAST(is_lucky_significant AS DOUBLE))')} AS pct_significantly_lucky,
   {r('avg(total_sigma)')} AS mean_total_sigma
 FROM l4 WHERE n_boards >= 3""")

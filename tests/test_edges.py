@@ -194,3 +194,12 @@ def test_keep_first_and_last(spark):
     first = {r.k: r.v for r in R.keep_first(df, ["k"], ["t"]).collect()}
     last = {r.k: r.v for r in R.keep_first(df, ["k"], ["t"], descending=True).collect()}
     assert first == {1: "b", 2: "c"} and last == {1: "a", 2: "c"}
+
+
+def test_exact_quantiles_nearest_rank(spark):
+    # nearest rank = value at round(q*(n-1)), halves away from zero (Polars default)
+    vals = [float(v) for v in range(10)] + [None]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    got = RK.exact_quantiles(df, "v", [0.05, 0.25, 0.5, 0.95], method="nearest")
+    # n=10: 0.05*9=0.45 -> 0; 0.25*9=2.25 -> 2; 0.5*9=4.5 -> 5; 0.95*9=8.55 -> 9
+    assert got == {0.05: 0.0, 0.25: 2.0, 0.5: 5.0, 0.95: 9.0}
