@@ -136,6 +136,11 @@ def classify_columns(columns: Sequence[str], registry: Sequence[tuple[str, str,
     return out
 
 
+def registry_usage(columns: Sequence[str], registry: Sequence[tuple[str, str, str]]) -> dict[str, int]:
+    """How many columns each registry regex classifies; a count of 0 marks an unused regex."""
+    return {rx: sum(1 for c in columns if re.fullmatch(rx, c)) for rx, _, _ in registry}
+
+
 def apply_registry(df: DataFrame, classes: Mapping[str, tuple[str, str]], groups: Sequence[str] | None = None,
                    deny: Sequence[str] = ()) -> DataFrame:
     """Project the columns of the wanted groups (minus denied names), cast to registry dtype."""

@@ -343,9 +343,9 @@ def o05_head(spark, d):
 
 @register("o06_sample")
 def o06_sample(spark, d):
-    """Deterministic 1,000-row sample (the limit is the feature); rows-only check."""
+    """Deterministic sample of 100,000 rows, or all rows when fewer (the limit is the feature)."""
     li = Tables(spark, d).lineitem
-    return R.sample_rows(li, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], 1000)
+    return R.sample_rows(li, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], 100_000)
 
 
 _O7_ID = "CASE WHEN o_orderkey % 7 = 0 THEN 'X' || CAST(o_orderkey AS VARCHAR) ELSE CAST(o_orderkey AS VARCHAR) END"

@@ -95,9 +95,9 @@ def test_vulnerability_cycle(spark):
 
 
 def test_makes_and_par(spark):
-    df = spark.createDataFrame([("NS: S4 4S H4/5 4/5D  NT7",)], "t string")
+    df = spark.createDataFrame([("NS: S4 4C H4/5 4/5D  NT7",)], "t string")
     rows = {(r.seat, r.strain): r.tricks for r in df.select(F.explode(H.parse_makes("t")).alias("m")).select("m.*").collect()}
-    assert rows[("N", "S")] == 10 and rows[("N", "H")] == 4 and rows[("S", "H")] == 5
+    assert rows[("N", "S")] == 4 and rows[("S", "C")] == 10 and rows[("N", "H")] == 4 and rows[("S", "H")] == 5
     assert rows[("N", "D")] == 10 and rows[("S", "D")] == 11 and rows[("S", "N")] == 7
     bad = spark.createDataFrame([("NS: S4 4S H4",)], "t string").select(H.parse_makes("t").alias("m")).first().m
     assert bad is None
@@ -203,3 +203,14 @@ def test_exact_quantiles_nearest_rank(spark):
     got = RK.exact_quantiles(df, "v", [0.05, 0.25, 0.5, 0.95], method="nearest")
     # n=10: 0.05*9=0.45 -> 0; 0.25*9=2.25 -> 2; 0.5*9=4.5 -> 5; 0.95*9=8.55 -> 9
     assert got == {0.05: 0.0, 0.25: 2.0, 0.5: 5.0, 0.95: 9.0}
+
+
+def test_makes_duplicate_strain_is_rejected(spark):
+    df = spark.createDataFrame([("NS: S4 4S H4 D5 N7",)], "t string")
+    assert df.select(H.parse_makes("t").alias("m")).first().m is None
+
+
+def test_registry_usage_reports_unused(spark):
+    from bidbox.operators import schema as SC
+    use = SC.registry_usage(["a_1", "a_2", "b"], [(r"a_\d", "g", "int"), (r"b", "g", "int"), (r"c", "g", "int")])
+    assert use == {r"a_\d": 2, "b": 1, "c": 0}
