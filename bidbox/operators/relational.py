@@ -259,6 +259,14 @@ def numeric_desc(col: str) -> Column:
     return F.expr(f"try_cast(`{col}` AS BIGINT)").desc_nulls_last()
 
 
+def date_desc(col: str, formats: Sequence[str] | None = None) -> list[Column]:
+    """Order date strings by their parsed date, newest first, unparsable last, then by text."""
+    from ..functions.coerce import DATE_FORMATS, lenient_timestamp
+
+    parsed = lenient_timestamp(col, formats or DATE_FORMATS)
+    return [parsed.desc_nulls_last(), F.col(col).asc()]
+
+
 # --- reshaping ---------------------------------------------------------------------
 
 def unpivot(df: DataFrame, ids: Sequence[str], values: Sequence[str], var: str, val: str) -> DataFrame:

@@ -360,6 +360,18 @@ def o07_numeric_sort(spark, d):
     return ids.orderBy(R.numeric_desc("id"), "id").limit(50)
 
 
+@register("o07_date_sort", sql="""
+WITH a AS (SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN strftime(o_orderdate, '%m/%d/%Y')
+  WHEN 2 THEN strftime(o_orderdate, '%Y%m%d') WHEN 3 THEN strftime(o_orderdate, '%Y%m%d%H:%M') ELSE 'n/a' END AS date_text FROM orders)
+SELECT o_orderkey, date_text FROM a ORDER BY coalesce(try_strptime(date_text, '%Y-%m-%d'), try_strptime(date_text, '%m/%d/%Y'),
+  try_strptime(date_text, '%Y%m%d'), try_strptime(date_text, '%Y%m%d%H:%M')) DESC NULLS LAST, date_text, o_orderkey LIMIT 100""")
+def o07_date_sort(spark, d):
+    """Newest 100 game dates among mixed-format date strings (unparsable text sorts last)."""
+    from .q_scalar import date_text
+    o = Tables(spark, d).orders.select("o_orderkey", date_text().alias("date_text"))
+    return o.orderBy(*R.date_desc("date_text"), "o_orderkey").limit(100)
+
+
 # --- U: reshaping ------------------------------------------------------------------
 
 _SEATS = {s: {"Player_ID": f"Player_ID_{s}"} for s in "NESW"}
