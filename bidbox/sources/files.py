@@ -120,10 +120,20 @@ def typed_load(spark: SparkSession, landed: Mapping[str, DataFrame], schemas: Ma
     return out
 
 
-def discover(spark: SparkSession, root: str, glob: str, schema: T.StructType, fmt: str = "json") -> DataFrame:
-    """Recursive discovery of files matching a glob under ``root`` (Spark lists in parallel)."""
-    return (spark.read.format(fmt).schema(schema).option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", glob).load(root))
+def discover(spark: SparkSession, root: str, glob: str, schema: T.StructType, fmt: str = "json",
+             max_files: int | None = None) -> DataFrame:
+    """Recursive discovery of files matching a glob under ``root`` (Spark lists in parallel).
+
+    ``max_files`` keeps the first N matching files in path order (the file list, one path per
+    file, is the only thing brought to the driver).
+    """
+    reader = (spark.read.format(fmt).schema(schema).option("recursiveFileLookup", "true")
+              .option("pathGlobFilter", glob))
+    df = reader.load(root)
+    if max_files is None:
+        return df
+    files = sorted(df.inputFiles())[:max_files]
+    return reader.load(files) if files else df.limit(0)
 
 
 def read_json_tolerant(spark: SparkSession, path: str, schema: T.StructType,

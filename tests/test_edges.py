@@ -214,3 +214,16 @@ def test_registry_usage_reports_unused(spark):
     from bidbox.operators import schema as SC
     use = SC.registry_usage(["a_1", "a_2", "b"], [(r"a_\d", "g", "int"), (r"b", "g", "int"), (r"c", "g", "int")])
     assert use == {r"a_\d": 2, "b": 1, "c": 0}
+
+
+def test_discover_limit_and_glob(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from bidbox.sources import files as FS
+    root = str(tmp_path / "land")
+    spark.range(40).withColumn("g", F.col("id") % 4).write.partitionBy("g").json(root)
+    spark.range(5).write.csv(root + "/decoy")
+    schema = T.StructType([T.StructField("id", T.LongType())])
+    assert FS.discover(spark, root, "*.json", schema).count() == 40
+    two = FS.discover(spark, root, "*.json", schema, max_files=2)
+    assert len(two.inputFiles()) == 2
