@@ -242,3 +242,22 @@ def j19_precedence(spark, d):
              .select("o_orderkey", (F.col("o_totalprice") * 1.1).alias("price"), F.lit("fresh").alias("origin")))
     hist = o.select("o_orderkey", F.col("o_totalprice").alias("price"), F.lit("history").alias("origin"))
     return rounded(J.precedence_merge([fresh, hist], ["o_orderkey"]))
+
+
+@register("j05_bucketed", sql="""
+SELECT l.l_orderkey, l.l_linenumber, l.l_quantity, o.o_custkey, o.o_orderdate
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""")
+def j05_bucketed(spark, d):
+    """J5 with co-located inputs: facts and orders bucketed on the order key join shuffle-free."""
+    import uuid
+
+    from ..session import scratch_path
+    from ..sources.files import bucketed_table
+    t = Tables(spark, d)
+    tag = uuid.uuid4().hex[:8]
+    li = bucketed_table(t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity"), f"bidbox_li_{tag}",
+                        scratch_path(spark, "bucket-li"), 16, ["l_orderkey"])
+    o = bucketed_table(t.orders.select("o_orderkey", "o_custkey", "o_orderdate"), f"bidbox_o_{tag}",
+                       scratch_path(spark, "bucket-o"), 16, ["o_orderkey"])
+    return li.join(o, li.l_orderkey == o.o_orderkey).select("l_orderkey", "l_linenumber", "l_quantity",
+                                                              "o_custkey", "o_orderdate")
