@@ -227,3 +227,15 @@ def test_discover_limit_and_glob(spark, tmp_path):
     assert FS.discover(spark, root, "*.json", schema).count() == 40
     two = FS.discover(spark, root, "*.json", schema, max_files=2)
     assert len(two.inputFiles()) == 2
+
+
+def test_hot_key_split_matches_window(spark):
+    # every key "hot" (threshold 1) must give the same matchpoints / ranks as the window path
+    rows = [(0 if i % 3 == 0 else i % 20, float(i % 37)) for i in range(2000)] + [(5, None)]
+    df = spark.createDataFrame(rows, "b int, s double")
+    a = {(r.b, r.s, r.MP, r.MP_Top) for r in RK.matchpoints(df, ["b"], "s").collect()}
+    h = {(r.b, r.s, r.MP, r.MP_Top) for r in RK.matchpoints(df, ["b"], "s", hot_threshold=1).collect()}
+    assert a == h
+    ra = {(r.b, r.s, r.p) for r in RK.average_rank(df, "s", "p", ["b"], divide_by_count=True).collect()}
+    rh = {(r.b, r.s, r.p) for r in RK.average_rank(df, "s", "p", ["b"], divide_by_count=True, hot_threshold=5).collect()}
+    assert ra == rh
