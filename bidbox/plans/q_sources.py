@@ -10,7 +10,7 @@ from ..sources import documents as D
 from ..sources import files as FS
 from ..sources import html as HT
 from .registry import Tables, register, table
-from .util import money
+from .util import money, r, rounded
 
 
 def _p(sf_dir: str, name: str) -> str:
@@ -109,12 +109,21 @@ def s11_compact(spark, d):
     return merged.groupBy("year").agg(F.count(F.lit(1)).alias("rows"))
 
 
-@register("s12_csv", sql="SELECT * FROM customer")
+@register("s12_csv", sql=f"""
+SELECT n_name AS nation, c_mktsegment AS segment, count(*) AS n_customers, {r('avg(c_acctbal)', 2)} AS avg_balance
+FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL""")
 def s12_csv(spark, d):
-    c = table(spark, d, "customer")
+    """A report table (nation x segment) written as report CSV (quoted text, bare numbers, BOM),
+    read back as text and parsed."""
+    t = Tables(spark, d)
+    rep = rounded(t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+                  .groupBy(F.col("n_name").alias("nation"), F.col("c_mktsegment").alias("segment"))
+                  .agg(F.count(F.lit(1)).alias("n_customers"), F.avg("c_acctbal").alias("avg_balance")), 2)
     path = scratch_path(spark, "s12")
-    FS.write_csv(c, path)
-    return spark.read.schema(c.schema).option("header", True).csv(path)
+    FS.write_report_csv(rep, path, order=["nation", "segment"])
+    schema = "nation string, segment string, n_customers long, avg_balance double"
+    back = spark.read.schema(schema).option("header", True).option("encoding", "UTF-8").csv(path)
+    return back
 
 
 @register("s13_json_sidecar", sql="""

@@ -109,6 +109,35 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).option("quoteAll", True).csv(path)
 
 
+def write_report_csv(df: DataFrame, path: str, order: Sequence[str] = (), bom: bool = True,
+                     max_rows: int = 1_000_000) -> None:
+    """S12 for report tables: non-numeric fields quoted (inner quotes doubled), numbers bare,
+    nulls empty, header first, optional UTF-8 BOM, one file.
+
+    Reports (feature importances, trial tables) are small; the bound is checked before the
+    single-file write (at most ``max_rows + 1`` rows are counted).
+    """
+    if df.limit(max_rows + 1).count() > max_rows:
+        raise ValueError(f"report has more than {max_rows} rows; write it with write_csv instead")
+    numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)}
+
+    def fmt(c: str):
+        col = F.col(f"`{c}`")
+        if c in numeric:
+            return F.coalesce(col.cast("string"), F.lit(""))
+        return F.when(col.isNull(), F.lit("")).otherwise(
+            F.concat(F.lit('"'), F.replace(col.cast("string"), F.lit('"'), F.lit('""')), F.lit('"')))
+
+    header = ("\ufeff" if bom else "") + ",".join('"' + c.replace('"', '""') + '"' for c in df.columns)
+    body = df.select(F.concat_ws(",", *[fmt(c) for c in df.columns]).alias("value"), F.lit(1).alias("_part"),
+                     *[F.col(f"`{c}`").alias(f"_o{i}") for i, c in enumerate(order)])
+    head = df.sparkSession.createDataFrame([(header, 0)], "value string, _part int")
+    for i, c in enumerate(order):
+        head = head.withColumn(f"_o{i}", F.lit(None).cast(dict(df.dtypes)[c]))
+    lines = head.unionByName(body).orderBy("_part", *[f"_o{i}" for i in range(len(order))])
+    lines.select("value").coalesce(1).write.mode("overwrite").text(path)
+
+
 def write_json_sidecar(df: DataFrame, path: str) -> None:
     """A one-row aggregate as JSON (a single small file)."""
     df.coalesce(1).write.mode("overwrite").json(path)

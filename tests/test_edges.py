@@ -239,3 +239,17 @@ def test_hot_key_split_matches_window(spark):
     ra = {(r.b, r.s, r.p) for r in RK.average_rank(df, "s", "p", ["b"], divide_by_count=True).collect()}
     rh = {(r.b, r.s, r.p) for r in RK.average_rank(df, "s", "p", ["b"], divide_by_count=True, hot_threshold=5).collect()}
     assert ra == rh
+
+
+def test_report_csv_quotes_non_numeric_with_bom(spark, tmp_path):
+    import glob
+
+    from bidbox.sources import files as FS
+    df = spark.createDataFrame([("b", 2, None), ('a "x", y', 1, 0.5)], "name string, n int, w double")
+    out = str(tmp_path / "rep")
+    FS.write_report_csv(df, out, order=["n"])
+    (part,) = glob.glob(out + "/part-*")
+    text = open(part, "rb").read().decode("utf-8")
+    assert text.startswith("﻿")
+    lines = text.lstrip("﻿").splitlines()
+    assert lines == ['"name","n","w"', '"a ""x"", y",1,0.5', '"b",2,']
