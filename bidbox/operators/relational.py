@@ -324,9 +324,10 @@ def column_catalogue(df: DataFrame, table: str, spark) -> DataFrame:
 
 def sequence_ids(df: DataFrame, prefix_cols: Sequence[str], count_col: str, out: str = "id",
                  sep: str = "-") -> DataFrame:
-    """U8: for each row make ids prefix-1..prefix-n, distinct (ordering left to the caller)."""
+    """U8: for each row make ids prefix-1..prefix-n, distinct, sorted descending."""
     return (df.select(F.explode(F.sequence(F.lit(1), F.col(count_col).cast("int"))).alias("_i"),
                       *prefix_cols)
               .select(F.concat_ws(sep, *[F.col(c).cast("string") for c in prefix_cols],
                                   F.col("_i").cast("string")).alias(out))
-              .distinct())
+              .distinct()
+              .orderBy(F.col(out).desc()))

@@ -76,10 +76,11 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str], fmt: str = "p
 
 
 def write_parquet(df: DataFrame, path: str, compression: str = "zstd", block_size: int = 16 * 1024 * 1024,
-                  max_records: int = 0) -> None:
-    """Parquet sink with zstd, row-group (block) size and optional file row cap."""
+                  max_records: int = 0, page_size: int = 1024 * 1024, zstd_level: int = 3) -> None:
+    """Parquet sink with zstd (level 3), row-group (block) size, page size, optional file row cap."""
     w = (df.write.mode("overwrite").option("compression", compression)
-         .option("parquet.block.size", str(block_size)))
+         .option("parquet.compression.codec.zstd.level", str(zstd_level))
+         .option("parquet.block.size", str(block_size)).option("parquet.page.size", str(page_size)))
     if max_records:
         w = w.option("maxRecordsPerFile", max_records)
     w.parquet(path)
