@@ -54,8 +54,14 @@ def board_rows(t: Tables) -> DataFrame:
 
 
 def scored_rows(t: Tables) -> DataFrame:
-    """Board rows with actual and predicted matchpoint percentages and master points."""
-    rows = board_rows(t)
+    """Board rows with actual and predicted matchpoint percentages and master points.
+
+    The board rows (a fact-to-order join) feed three branches (two matchpoint fields and the
+    main rows), so they are materialised once as a silver table and scanned three times.
+    """
+    from ..session import materialize
+
+    rows = materialize(board_rows(t), "board-rows")
     rows = matchpoints(rows, ["Board"], "Score_NS", "MP_NS", "MP_Top", "Pct_NS")
     rows = matchpoints(rows, ["Board"], "Pred_Score_NS", "MP_NS_Pred", "MP_Top_Pred", "Pct_NS_Pred")
     cust = t.customer.select(F.col("c_custkey"), F.col("c_acctbal").alias("MasterPoints_N"))

@@ -61,3 +61,14 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
     """A fresh, never-reused folder under the shared checkpoint dir for sinks and round trips."""
     base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/bidbox-{tag}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, tag: str):
+    """Write ``df`` once to a fresh folder under the shared checkpoint dir and read it back.
+
+    Used where one derived table feeds several branches of a plan (each branch would otherwise
+    recompute its joins): the write cuts lineage, survives executor loss, and the branches scan.
+    """
+    path = scratch_path(df.sparkSession, tag)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
