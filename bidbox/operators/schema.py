@@ -184,6 +184,17 @@ def schema_problems(schema: T.StructType) -> list[str]:
     return probs
 
 
+def same_columns(frames) -> list[str]:
+    """V6: differences between the column lists (names and types) of several batches; [] if equal."""
+    base = [(f.name, f.dataType.simpleString()) for f in frames[0].schema.fields]
+    diffs = []
+    for i, f in enumerate(frames[1:], start=1):
+        cols = [(x.name, x.dataType.simpleString()) for x in f.schema.fields]
+        if cols != base:
+            diffs.append(f"batch {i}: {sorted(set(cols) ^ set(base))}")
+    return diffs
+
+
 def retention(before: DataFrame, after: DataFrame, min_ratio: float = 0.5) -> DataFrame:
     """V5: one row (rows before, rows after, ratio, ok): both counts in one aggregate over a union."""
     tagged = (before.select(F.lit(True).alias("_before"))

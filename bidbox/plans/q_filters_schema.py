@@ -323,9 +323,12 @@ def p14_schema_search(spark, d):
 SELECT o_orderkey, CAST(o_totalprice AS FLOAT) AS o_totalprice, o_orderstatus FROM orders""")
 def v03_schema(spark, d):
     """Schema assertions on the model table: doubles are downcast, then nothing may be reported."""
-    o = Tables(spark, d).orders.select("o_orderkey", "o_totalprice", "o_orderstatus")
+    o = Tables(spark, d).orders.select("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderdate")
     out = SC.downcast_doubles(o)
     problems = SC.schema_problems(out.schema)
+    # V6: the yearly batches the table is written in must have the same columns
+    cut = F.lit("2000-01-01").cast("timestamp_ntz")
+    problems += SC.same_columns([out.where(F.col("o_orderdate") < cut), out.where(F.col("o_orderdate") >= cut)])
     if problems:
         raise SC.SchemaError(f"schema problems: {problems}")
-    return out
+    return out.drop("o_orderdate")

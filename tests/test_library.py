@@ -89,3 +89,14 @@ def test_self_sql_with_macros_and_args(spark):
     assert sorted(r.v for r in out.collect()) == [1, 3]
     with pytest.raises(Q.QueryRejected):
         Q.self_sql(spark, df, "SELECT {Col} AS v", macros={"Col": "x; DROP"})
+
+
+def test_same_columns_and_composite_key(spark):
+    from bidbox.functions import keys as K
+    a = spark.createDataFrame([(1, "x")], "k int, v string")
+    b = spark.createDataFrame([(1, 2.0)], "k int, v double")
+    assert SC.same_columns([a, a]) == [] and len(SC.same_columns([a, b])) == 1
+    df = spark.createDataFrame([(1, None), (1, None), (1, "a")], "k int, v string")
+    keys = df.select(K.composite_key("k", "v").alias("ck"))
+    assert keys.distinct().count() == 2                      # null is a value inside the key
+    assert SC.key_violations(keys, ["ck"]).count() == 1
