@@ -90,11 +90,17 @@ def i02_tumbling(spark, d):
 
 @register("i03_idempotent", sql="SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS rows FROM orders GROUP BY 1")
 def i03_idempotent(spark, d):
-    """Write all year partitions, then rebuild the recent ones: untouched partitions survive."""
+    """Write all year partitions, rebuild the recent ones, damage one and repair it: valid
+    partitions are skipped, the bad one is rebuilt, and a second pass finds nothing."""
     o = Tables(spark, d).orders.withColumn("year", F.year("o_orderdate"))
     path = scratch_path(spark, "i03")
     S.overwrite_partitions(o, path, ["year"])
     S.overwrite_partitions(o.where(F.col("year") >= 2000), path, ["year"])
+    # damage one shard (half its rows), then rebuild only the shards that no longer validate
+    S.overwrite_partitions(o.where((F.col("year") == 1998) & (F.col("o_orderkey") % 2 == 0)), path, ["year"])
+    rebuilt = S.rebuild_invalid_partitions(o, path, ["year"])
+    assert rebuilt == [(1998,)], rebuilt
+    assert S.rebuild_invalid_partitions(o, path, ["year"]) == []      # second run: nothing to do
     return spark.read.parquet(path).groupBy("year").agg(F.count(F.lit(1)).alias("rows"))
 
 

@@ -125,6 +125,34 @@ def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
        .partitionBy(*by).parquet(path))
 
 
+def rebuild_invalid_partitions(df: DataFrame, path: str, by: Sequence[str]) -> list[tuple]:
+    """Rewrite only the partitions whose stored row count differs from the source's.
+
+    Expected and stored counts are two aggregates with one row per partition (the partition
+    list is the only thing on the driver); valid partitions are left untouched and the bad
+    ones are replaced by a dynamic partition overwrite.  Returns the rebuilt partition keys.
+    """
+    by = list(by)
+    expected = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_exp"))
+    try:
+        stored = df.sparkSession.read.parquet(path).groupBy(*by).agg(F.count(F.lit(1)).alias("_got"))
+    except Exception:  # nothing written yet: every partition is missing
+        stored = expected.select(*by, F.lit(None).cast("long").alias("_got")).limit(0)
+    cmp = expected.join(stored, by, "full")
+    bad = [tuple(r[c] for c in by) for r in
+           cmp.where(~F.col("_exp").eqNullSafe(F.col("_got"))).select(*by).collect()]
+    if bad:
+        cond = None
+        for key in bad:
+            c = None
+            for col, v in zip(by, key):
+                e = F.col(col).eqNullSafe(F.lit(v))
+                c = e if c is None else (c & e)
+            cond = c if cond is None else (cond | c)
+        overwrite_partitions(df.where(cond), path, by)
+    return bad
+
+
 def retention_class(ts: Column, newest: Column, keep_days: int = 30, prune_days: int = 45) -> Column:
     """Keep (last keep_days), archive (up to prune_days), prune (older)."""
     age = F.datediff(F.to_date(newest), F.to_date(ts))
