@@ -13,7 +13,10 @@ from pyspark.sql import functions as F
 
 from .ranking import average_rank, exact_quantiles
 
-Z95 = 1.96  # fixed value: two-sided 95% normal quantile used for CI and significance
+# fixed values: two-sided 95% normal quantile (CI and significance) and the minimum number of
+# boards for a session-pair to enter the summary (fewer boards give no usable standard error)
+Z95 = 1.96
+MIN_BOARDS_FOR_REPORT = 4
 
 
 def safe_ratio(num: Column, den: Column) -> Column:
@@ -76,7 +79,7 @@ def luck_report(df: DataFrame, group_keys: Sequence[str] = ("session_id", "Pair_
     return sp
 
 
-def report_summary(report: DataFrame, min_boards: int = 0) -> DataFrame:
+def report_summary(report: DataFrame, min_boards: int = MIN_BOARDS_FOR_REPORT) -> DataFrame:
     """One-row summary of reportable session-pairs (mean, sample std, p05/p95, shares).
 
     p05/p95 follow the reference's default quantile rule, *nearest* rank round(q*(n-1)),

@@ -14,8 +14,10 @@ GROUP = ["session_id", "Pair_Number_NS"]
 
 
 def flagship(spark, sf_dir):
+    """Session x pair luck report, most lucky first (as the reference writes it)."""
     t = Tables(spark, sf_dir)
-    return rounded(luck_report(scored_rows(t), GROUP))
+    return rounded(luck_report(scored_rows(t), GROUP)).orderBy(F.col("luck_delta").desc_nulls_last(),
+                                                               *GROUP)
 
 
 _SP_SQL = f"""
@@ -107,9 +109,9 @@ SELECT count(*) AS n_session_pairs_reportable, {r('avg(n_boards)')} AS mean_n_bo
   {r("list_sort(list(luck_delta) FILTER (WHERE luck_delta IS NOT NULL))[CAST(round(0.95 * (count(luck_delta) - 1)) AS BIGINT) + 1]")} AS p95_luck_delta,
   {r('avg(CAST(is_lucky_significant AS DOUBLE))')} AS pct_significantly_lucky,
   {r('avg(total_sigma)')} AS mean_total_sigma
-FROM l4 WHERE n_boards >= 3""")
+FROM l4 WHERE n_boards >= 4""")
 def a19_report(spark, sf_dir):
     rep = luck_columns(session_pair_aggregate(scored_rows(Tables(spark, sf_dir)), GROUP, "Pct_NS",
                                               "Pct_NS_Pred", "Pct_NS_Pred_std",
                                               ("MasterPoints_N", "MasterPoints_S")), True)
-    return rounded(report_summary(rep, min_boards=3))
+    return rounded(report_summary(rep))
