@@ -236,10 +236,13 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
-def capped(df: DataFrame, order: Sequence[Column], limit: int | None = None,
+def capped(df: DataFrame, order: Sequence[Column], limit: int | str | None = None,
            default: int = 200, max_limit: int = 2000) -> DataFrame:
     """O3: clamp limit to [1, max_limit] (default when None), return rows + ``truncated`` flag."""
-    lim = default if limit is None else max(1, min(int(limit), max_limit))
+    try:
+        lim = default if limit is None else max(1, min(int(limit), max_limit))
+    except (TypeError, ValueError):  # a limit that is not an integer falls back to the default
+        lim = default
     taken = df.orderBy(*order).limit(lim + 1)
     w = Window.partitionBy().orderBy(*order)
     # ``taken`` has at most max_limit+1 rows: the global window is bounded by construction.

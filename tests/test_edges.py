@@ -253,3 +253,10 @@ def test_report_csv_quotes_non_numeric_with_bom(spark, tmp_path):
     assert text.startswith("﻿")
     lines = text.lstrip("﻿").splitlines()
     assert lines == ['"name","n","w"', '"a ""x"", y",1,0.5', '"b",2,']
+
+
+def test_capped_limit_clamp_and_default(spark):
+    df = spark.range(300)
+    assert R.capped(df, [F.col("id")], limit="abc").count() == 200     # not an integer -> default
+    assert R.capped(df, [F.col("id")], limit=0).count() == 1           # clamped to >= 1
+    assert R.capped(df, [F.col("id")], limit=10**9).count() == 300     # clamped to 2000, all rows
