@@ -140,22 +140,25 @@ def c10_key(spark, d):
 
 
 @register("c11_prefix", sql="""
-WITH a AS (SELECT l_orderkey, l_linenumber, CAST(o_custkey AS VARCHAR) || '-' || CAST(l_orderkey AS VARCHAR) || '-'
-  || CAST(l_linenumber AS VARCHAR) || '-' || CAST(l_partkey AS VARCHAR) AS board_result_id
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
-SELECT board_result_id, array_to_string(string_split(board_result_id, '-')[1:2], '-') AS event_id,
-  array_to_string(string_split(board_result_id, '-')[1:3], '-') AS session_id,
-  array_to_string(string_split(board_result_id, '-')[1:3], '-') || '-' || CAST(l_linenumber - 1 AS VARCHAR) AS session_board
-FROM a""")
+WITH a AS (SELECT CAST(o_custkey AS VARCHAR) || '-' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR)
+    || '-' || CAST(l_partkey AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR) AS board_result_id,
+  l_partkey % 36 + 1 AS board_number FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+b AS (SELECT board_result_id, board_number, array_to_string(string_split(board_result_id, '-')[1:4], '-') AS section_id,
+  array_to_string(string_split(board_result_id, '-')[1:3], '-') AS session_id FROM a)
+SELECT board_result_id, section_id, session_id, array_to_string(string_split(session_id, '-')[1:2], '-') AS event_id,
+  session_id || '-' || CAST(board_number - 1 AS VARCHAR) AS hand_record_id FROM b""")
 def c11_prefix(spark, d):
+    """Composite ids: section = first 4 dash parts of the result id, event = first 2 parts of the
+    session id, hand record = session-(board-1)."""
     t = Tables(spark, d)
     li, o = t.lineitem, t.orders.select("o_orderkey", "o_custkey")
     a = li.join(o, li.l_orderkey == o.o_orderkey).select(
-        "l_linenumber", F.concat_ws("-", "o_custkey", "l_orderkey", "l_linenumber", "l_partkey").alias("board_result_id"))
-    return a.select("board_result_id", K.dash_prefix("board_result_id", 2).alias("event_id"),
-                    K.dash_prefix("board_result_id", 3).alias("session_id"),
-                    F.concat(K.dash_prefix("board_result_id", 3), F.lit("-"),
-                             (F.col("l_linenumber") - 1).cast("string")).alias("session_board"))
+        F.concat_ws("-", "o_custkey", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("board_result_id"),
+        (F.col("l_partkey") % 36 + 1).alias("board_number"))
+    b = a.select("board_result_id", "board_number", K.dash_prefix("board_result_id", 4).alias("section_id"),
+                 K.dash_prefix("board_result_id", 3).alias("session_id"))
+    return b.select("board_result_id", "section_id", "session_id", K.dash_prefix("session_id", 2).alias("event_id"),
+                    F.concat("session_id", F.lit("-"), (F.col("board_number") - 1).cast("string")).alias("hand_record_id"))
 
 
 @register("c14_pair_id", sql=f"""
