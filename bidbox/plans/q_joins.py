@@ -29,17 +29,19 @@ def j01_left(spark, d):
 
 
 @register("j02_composite", sql="""
-SELECT l.l_orderkey, l.l_linenumber, f.o_totalprice AS final_price
-FROM lineitem l LEFT JOIN (SELECT o_orderkey, o_orderdate, o_totalprice FROM orders WHERE o_orderstatus = 'F') f
-  ON l.l_orderkey = f.o_orderkey AND l.l_shipdate >= f.o_orderdate""")
+SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, r.ret_price
+FROM lineitem l LEFT JOIN (SELECT l_orderkey AS ok, l_linenumber AS ln, l_extendedprice AS ret_price
+                           FROM lineitem WHERE l_returnflag = 'R') r
+  ON l.l_orderkey = r.ok AND l.l_linenumber = r.ln""")
 def j02_composite(spark, d):
-    t = Tables(spark, d)
-    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_shipdate").alias("l")
-    f = (t.orders.where(F.col("o_orderstatus") == "F")
-         .select("o_orderkey", "o_orderdate", F.col("o_totalprice").alias("final_price")).alias("f"))
-    out = li.join(f, (F.col("l.l_orderkey") == F.col("f.o_orderkey")) &
-                  (F.col("l.l_shipdate") >= F.col("f.o_orderdate")), "left")
-    return out.select("l.l_orderkey", "l.l_linenumber", "f.final_price")
+    """Left join on two keys with different names; the right side is pre-filtered (returns only)."""
+    li = Tables(spark, d).lineitem
+    left = li.select("l_orderkey", "l_linenumber", "l_partkey")
+    right = (li.where(F.col("l_returnflag") == "R")
+             .select(F.col("l_orderkey").alias("ok"), F.col("l_linenumber").alias("ln"),
+                     F.col("l_extendedprice").alias("ret_price")))
+    out = left.join(right, (left.l_orderkey == right.ok) & (left.l_linenumber == right.ln), "left")
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", "ret_price")
 
 
 @register("j03_keyed_concat", sql="""
