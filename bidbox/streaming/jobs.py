@@ -78,21 +78,31 @@ def split_late(spark: SparkSession, landing: str, schema: T.StructType, ts_col:
     """Rows later than the watermark (max event time of earlier batches - delay) go to a
     side table instead of being dropped; both outputs together keep every row.
 
-    The running maximum is read back from the on-time sink (one small aggregate per batch).
+    Each micro-batch writes to its own ``batch_id=<n>`` folder in both sinks (overwrite), so a
+    retried batch rewrites the same files instead of appending twice.  The running maximum is
+    read from the on-time rows of earlier batches (one small aggregate per batch).
     """
-    for p in (on_time, late):
-        spark.createDataFrame([], schema).write.mode("ignore").parquet(p)
+    def read_sink(ss: SparkSession, path: str, before: int | None = None) -> DataFrame:
+        try:
+            df = ss.read.parquet(path)
+        except Exception:  # no batch written yet
+            return ss.createDataFrame([], schema)
+        if before is not None:
+            df = df.where(F.col("batch_id") < before)
+        return df.drop("batch_id")
 
     def route(batch: DataFrame, batch_id: int) -> None:
         ss = batch.sparkSession
-        prev = ss.read.schema(schema).parquet(on_time).agg(F.max(ts_col).alias("m")).first()["m"]
+        prev = read_sink(ss, on_time, batch_id).agg(F.max(ts_col).alias("m")).first()["m"]
         if prev is None:
-            batch.write.mode("append").parquet(on_time)
-            return
-        mark = F.lit(prev).cast(dict(batch.dtypes)[ts_col]) - F.expr(f"INTERVAL {int(delay_seconds)} SECONDS")
-        tagged = batch.withColumn("_late", F.col(ts_col) < mark)
-        tagged.where(~F.col("_late")).drop("_late").write.mode("append").parquet(on_time)
-        tagged.where(F.col("_late")).drop("_late").write.mode("append").parquet(late)
+            tagged = batch.withColumn("_late", F.lit(False))
+        else:
+            mark = F.lit(prev).cast(dict(batch.dtypes)[ts_col]) - F.expr(f"INTERVAL {int(delay_seconds)} SECONDS")
+            tagged = batch.withColumn("_late", F.col(ts_col) < mark)
+        tagged = tagged.persist()
+        tagged.where(~F.col("_late")).drop("_late").write.mode("overwrite").parquet(f"{on_time}/batch_id={batch_id}")
+        tagged.where(F.col("_late")).drop("_late").write.mode("overwrite").parquet(f"{late}/batch_id={batch_id}")
+        tagged.unpersist()
 
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
@@ -101,7 +111,7 @@ def split_late(spark: SparkSession, landing: str, schema: T.StructType, ts_col:
          .writeStream.foreachBatch(route).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     _run(q)
-    return spark.read.schema(schema).parquet(on_time), spark.read.schema(schema).parquet(late)
+    return read_sink(spark, on_time), read_sink(spark, late)
 
 
 # --- batch windows and partition maintenance --------------------------------------------

@@ -45,3 +45,15 @@ def test_stream_dedupe_equals_batch_distinct(spark):
     base.unionByName(base.where("id % 7 = 0")).write.parquet(landing)
     out = S.dedupe_stream(spark, landing, schema, ["id"], "ts", "1 hour", _tmp("dds") + "/s", _tmp("ddc"))
     assert sorted(r.id for r in out.collect()) == list(range(300))
+
+
+def test_late_router_replay_is_idempotent(spark):
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("ts", T.TimestampNTZType())])
+    landing, ok, late = _tmp("lr") + "/l", _tmp("ok") + "/o", _tmp("late") + "/x"
+    rows = spark.range(100).select("id", F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_interval(0,0,0,0,id,0,0)").alias("ts"))
+    rows.where("id >= 50").write.parquet(landing)
+    S.split_late(spark, landing, schema, "ts", 3600, ok, late, _tmp("c1"))
+    rows.where("id < 50").write.mode("append").parquet(landing)
+    a, b = S.split_late(spark, landing, schema, "ts", 3600, ok, late, _tmp("c2"))
+    # the second call had a fresh checkpoint: every batch was replayed into the same folders
+    assert a.count() + b.count() == 100 and a.select("id").distinct().count() + b.select("id").distinct().count() == 100
