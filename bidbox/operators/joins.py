@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SUFFIX_RE = r"_(x|y|left|right)$"  # fixed value: suffixes that signal a join-name collision
@@ -148,3 +148,46 @@ def collision_columns(columns: Sequence[str]) -> list[str]:
     import re
 
     return [c for c in columns if re.search(SUFFIX_RE, c)]
+
+
+def asof_join(left: DataFrame, right: DataFrame, key: Sequence[str], ts: str, right_cols: Sequence[str],
+              tie: str | None = None, n_partitions: int | None = None) -> DataFrame:
+    """As-of join: each left row gets the right row of the same key with the greatest
+    ``ts`` <= its own (a right row at the same instant counts; ``tie`` orders equal right times).
+
+    Skew-safe: both sides are unioned and range-partitioned on (key, ts), so one key's rows are
+    cut into runs across tasks.  Inside a run, a running ``last(... ignore nulls)`` finds the
+    latest right row; a run starting without one takes the key's last right row from earlier
+    partitions (a carry table with one row per (partition, key)).  No pairs are formed.
+    """
+    key = list(key)
+    order_tie = F.col(tie) if tie else F.lit(0)
+    r_struct = F.struct(*[F.col(c).alias(c) for c in right_cols])
+    l_cols = [c for c in left.columns if c not in key and c != ts]
+    lside = left.select(*key, ts, F.lit(1).alias("_kind"), F.lit(None).cast("long").alias("_tie"),
+                        F.struct(*[F.col(c) for c in l_cols]).alias("_l"),
+                        F.lit(None).cast(right.select(r_struct.alias("x")).schema["x"].dataType).alias("_r"))
+    rside = right.select(*key, ts, F.lit(0).alias("_kind"), order_tie.cast("long").alias("_tie"),
+                         F.lit(None).cast(lside.schema["_l"].dataType).alias("_l"), r_struct.alias("_r"))
+    u = lside.unionByName(rside)
+    n = n_partitions or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Materialise the runs once: range bounds come from sampling, and branches that re-ran the
+    # exchange could sample different bounds, so partition ids must be fixed before reuse.
+    from ..session import materialize
+
+    runs = materialize(u.repartitionByRange(n, *key, ts, "_kind", "_tie")
+                       .withColumn("_pid", F.spark_partition_id()), "asof-runs")
+    order = [F.col(ts), F.col("_kind"), F.col("_tie")]
+    local = runs.withColumn("_last", F.last("_r", ignorenulls=True).over(
+        Window.partitionBy("_pid", *key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)))
+    carry = (runs.where(F.col("_r").isNotNull()).groupBy("_pid", *key)
+             .agg(F.max_by("_r", F.struct(*order)).alias("_c")))
+    # a (partition, key) run without right rows still needs the carry from earlier partitions
+    runs_keys = runs.select("_pid", *key).distinct()
+    allk = runs_keys.join(carry, ["_pid", *key], "left")
+    carry_in = allk.withColumn("_cin", F.last("_c", ignorenulls=True).over(
+        Window.partitionBy(*key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))).drop("_c")
+    out = (local.where(F.col("_kind") == 1).join(carry_in, ["_pid", *key], "left")
+           .withColumn("_m", F.coalesce("_last", "_cin")))
+    return out.select(*key, ts, *[F.col(f"_l.{c}").alias(c) for c in l_cols],
+                      *[F.col(f"_m.{c}").alias(c) for c in right_cols])

@@ -39,8 +39,8 @@ def below_counts(d: DataFrame, keys: Sequence[str], value: str, count_col: str =
     to an exact distributed prefix sum: each hot key's distinct values are cut into 64
     order-preserving buckets at approximate quantiles (a partial aggregate over hot rows only),
     each (key, bucket) is summed by its own window, and a bucket's offset is the key's total in
-    earlier buckets (a table of at most 64 rows per hot key).  Nothing runs eagerly on the
-    driver, and with no hot key the hot branch is an empty filter over shared exchanges.
+    earlier buckets (a table of at most 64 rows per hot key).  The per-key bounds are written
+    once (a small table) so every branch buckets alike.
     """
     keys = list(keys)
     if hot_threshold is None:
@@ -61,7 +61,12 @@ def below_counts(d: DataFrame, keys: Sequence[str], value: str, count_col: str =
     # (key, bucket) and per-bucket offsets from a table of one row per (key, bucket)
     n_b = 64
     probs = [i / n_b for i in range(1, n_b)]
-    qb = hot.groupBy(*keys).agg(F.percentile_approx(F.col(value).cast("double"), probs, 10000).alias("_qb"))
+    # the bounds (one row per hot key) are materialised so both branches below bucket alike:
+    # an approximate sketch merged in another order could give other bounds
+    from ..session import materialize
+
+    qb = materialize(hot.groupBy(*keys).agg(
+        F.percentile_approx(F.col(value).cast("double"), probs, 10000).alias("_qb")), "hot-bounds")
     hb = hot.join(qb, keys, "left").withColumn(
         "_bk", F.size(F.filter("_qb", lambda b: b < F.col(value).cast("double")))).drop("_qb")
     local = hb.withColumn("_loc", F.coalesce(F.sum(count_col).over(

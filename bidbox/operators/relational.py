@@ -186,7 +186,12 @@ def experience_count(df: DataFrame, key: Sequence[str], order: Sequence[str], ou
         return df.withColumn(out, F.row_number().over(w) - 1)
     key, order = list(key), list(order)
     n = n_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    runs = df.repartitionByRange(n, *key, *order).withColumn("_pid", F.spark_partition_id())
+    # Materialise the runs once: range bounds come from sampling, and branches that re-ran the
+    # exchange could sample different bounds, so partition ids must be fixed before reuse.
+    from ..session import materialize
+
+    runs = materialize(df.repartitionByRange(n, *key, *order).withColumn("_pid", F.spark_partition_id()),
+                       "rownum-runs")
     local = runs.withColumn("_local", F.row_number().over(Window.partitionBy("_pid", *key).orderBy(*order)))
     counts = runs.groupBy("_pid", *key).agg(F.count(F.lit(1)).alias("_c"))
     before = Window.partitionBy(*key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

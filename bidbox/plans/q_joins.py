@@ -263,3 +263,17 @@ def j05_bucketed(spark, d):
                        scratch_path(spark, "bucket-o"), 16, ["o_orderkey"])
     return li.join(o, li.l_orderkey == o.o_orderkey).select("l_orderkey", "l_linenumber", "l_quantity",
                                                               "o_custkey", "o_orderdate")
+
+
+@register("j20_asof", sql="""
+WITH p AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase'),
+v AS (SELECT event_id AS view_id, user_id, ts AS view_ts FROM events WHERE event_type = 'view')
+SELECT p.event_id, p.user_id, p.ts, v.view_id, v.view_ts FROM p ASOF LEFT JOIN v ON p.user_id = v.user_id AND p.ts >= v.view_ts""")
+def j20_asof(spark, d):
+    """Latest view at or before each purchase of the same user, with the skew-safe as-of operator."""
+    e = Tables(spark, d).events
+    p = e.where(F.col("event_type") == "purchase").select("user_id", "ts", "event_id")
+    v = (e.where(F.col("event_type") == "view")
+         .select("user_id", "ts", F.col("event_id").alias("view_id"), F.col("ts").alias("view_ts")))
+    return J.asof_join(p, v, ["user_id"], "ts", ["view_id", "view_ts"], tie="view_id").select(
+        "event_id", "user_id", "ts", "view_id", "view_ts")
