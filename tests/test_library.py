@@ -100,3 +100,18 @@ def test_same_columns_and_composite_key(spark):
     keys = df.select(K.composite_key("k", "v").alias("ck"))
     assert keys.distinct().count() == 2                      # null is a value inside the key
     assert SC.key_violations(keys, ["ck"]).count() == 1
+
+
+def test_asof_join_matches_brute_force_with_hot_key(spark):
+    import random
+    rnd = random.Random(7)
+    left = [(0 if i % 3 else rnd.randint(1, 5), rnd.randint(0, 500), i) for i in range(600)]
+    right = [(0 if i % 2 else rnd.randint(1, 5), rnd.randint(0, 500), 1000 + i) for i in range(400)]
+    L = spark.createDataFrame(left, "k int, t int, lid int")
+    Rt = spark.createDataFrame(right, "k int, t int, rid int").withColumn("rt", F.col("t"))
+    got = {(r.lid, r.rid) for r in J.asof_join(L, Rt, ["k"], "t", ["rid", "rt"], tie="rid", n_partitions=8).collect()}
+    want = set()
+    for k, t, lid in left:
+        cands = [(rt, rid) for rk, rt, rid in right if rk == k and rt <= t]
+        want.add((lid, max(cands)[1] if cands else None))
+    assert got == want
