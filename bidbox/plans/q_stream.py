@@ -122,7 +122,7 @@ c AS (SELECT CASE WHEN date_diff('day', CAST(o_orderdate AS DATE), CAST((SELECT
 SELECT retention, count(*) AS rows FROM c GROUP BY retention""")
 def i06_retention(spark, d):
     o = Tables(spark, d).orders
-    newest = o.agg(F.max("o_orderdate").alias("m")).first()["m"]
+    newest = o.agg(F.max("o_orderdate").cast("string").alias("m")).first()["m"]   # text: time-zone free
     cls = S.retention_class(F.col("o_orderdate"), F.lit(newest).cast("timestamp_ntz"))
     return o.select(cls.alias("retention")).groupBy("retention").agg(F.count(F.lit(1)).alias("rows"))
 

@@ -93,7 +93,9 @@ def split_late(spark: SparkSession, landing: str, schema: T.StructType, ts_col:
 
     def route(batch: DataFrame, batch_id: int) -> None:
         ss = batch.sparkSession
-        prev = read_sink(ss, on_time, batch_id).agg(F.max(ts_col).alias("m")).first()["m"]
+        # the running maximum crosses the driver as text: a Python datetime literal would be
+        # shifted by the session time zone when it meets a timestamp_ntz column
+        prev = read_sink(ss, on_time, batch_id).agg(F.max(ts_col).cast("string").alias("m")).first()["m"]
         if prev is None:
             tagged = batch.withColumn("_late", F.lit(False))
         else:

@@ -57,3 +57,18 @@ def test_late_router_replay_is_idempotent(spark):
     a, b = S.split_late(spark, landing, schema, "ts", 3600, ok, late, _tmp("c2"))
     # the second call had a fresh checkpoint: every batch was replayed into the same folders
     assert a.count() + b.count() == 100 and a.select("id").distinct().count() + b.select("id").distinct().count() == 100
+
+
+def test_results_do_not_depend_on_session_time_zone(spark):
+    import __spark_entry__ as E
+    q = E.queries()
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        out = {}
+        for tz in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            out[tz] = {n: sorted(tuple(r) for r in q[n](spark, "/root/testdata/sf0.001").collect())
+                       for n in ("i06_retention", "i11_late")}
+        assert out["UTC"] == out["America/New_York"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
