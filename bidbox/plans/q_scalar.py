@@ -226,13 +226,13 @@ PAIR_JSON_SQL = """CASE WHEN o_orderkey % 11 = 0 THEN NULL WHEN o_orderkey % 4 =
 
 
 @register("c12_json_pair", sql=f"""
-WITH a AS (SELECT o_orderkey, {PAIR_JSON_SQL} AS pair_acbl FROM orders),
-b AS (SELECT a.*, (coalesce(from_json(pair_acbl, '["VARCHAR"]'), []::VARCHAR[]) || [NULL::VARCHAR, NULL::VARCHAR])[1:2] AS p FROM a)
-SELECT o_orderkey, pair_acbl, p[1] AS Player_ID_A, p[2] AS Player_ID_B FROM b""")
+WITH a AS (SELECT o_orderkey, {PAIR_JSON_SQL} AS pair_ids_json FROM orders),
+b AS (SELECT a.*, (coalesce(from_json(pair_ids_json, '["VARCHAR"]'), []::VARCHAR[]) || [NULL::VARCHAR, NULL::VARCHAR])[1:2] AS p FROM a)
+SELECT o_orderkey, pair_ids_json, p[1] AS Player_ID_A, p[2] AS Player_ID_B FROM b""")
 def c12_json_pair(spark, d):
-    o = Tables(spark, d).orders.select("o_orderkey", pair_json_text().alias("pair_acbl"))
-    p = CO.pad_to(CO.json_string_array("pair_acbl"), 2)
-    return o.select("o_orderkey", "pair_acbl", F.get(p, 0).alias("Player_ID_A"), F.get(p, 1).alias("Player_ID_B"))
+    o = Tables(spark, d).orders.select("o_orderkey", pair_json_text().alias("pair_ids_json"))
+    p = CO.pad_to(CO.json_string_array("pair_ids_json"), 2)
+    return o.select("o_orderkey", "pair_ids_json", F.get(p, 0).alias("Player_ID_A"), F.get(p, 1).alias("Player_ID_B"))
 
 
 @register("c13_safe_cast", sql="""
