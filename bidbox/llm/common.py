@@ -9,6 +9,7 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from bidbox.session import materialize, scratch_path
 
@@ -58,7 +59,7 @@ def ship(spark: SparkSession) -> None:
         _shipped.add(context.applicationId)
 
 
-def arrow_map(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
+def arrow_map(df: DataFrame, fn: Callable, schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with a function of this package."""
     ship(df.sparkSession)
     return df.mapInArrow(fn, schema)

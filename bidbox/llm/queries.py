@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bidbox.llm import bagminhash, mixing
-from bidbox.llm.common import read_table
+from bidbox.llm import bagminhash, langmix, mixing, repetition, toxicity
+from bidbox.llm.common import fold, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: No dealt operator is expressible in SQL as a whole; tests/llm holds the brute-force versions.
@@ -33,3 +33,26 @@ def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bagminhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+def _held_out() -> Column:
+    """A null id is in no fold."""
+    return F.coalesce(fold() == 0, F.lit(False)).alias("held_out")
+
+
+@query
+def op6_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return langmix.identify(docs, langmix.learn(docs)).select("doc_id", _held_out(), "lang_pred", "score", F.size("mixture").alias("n_languages"))
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    found = toxicity.score(docs, toxicity.learn(docs, labels))
+    return found.select("doc_id", _held_out(), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("offending").alias("n_offending"))
+
+
+@query
+def op8_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.repetition(read_table(spark, sf_dir, "documents")).drop("spans")
