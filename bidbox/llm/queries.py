@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bidbox.llm import bagminhash, langmix, mixing, repetition, toxicity
+from bidbox.llm import bagminhash, langmix, lattice, licences, mixing, repetition, spm, toxicity
 from bidbox.llm.common import fold, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +56,20 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition(read_table(spark, sf_dir, "documents")).drop("spans")
+
+
+@query
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spm.digest(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scan(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.size("matches").alias("n_matches"), F.array_join(F.array_sort(F.array_distinct("matches.licence")), " AND ").alias("licences"),
+                        F.array_join(F.flatten("matches.sentences"), " ").alias("sentence_ids"))
+
+
+@query
+def op10_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_duplicates(read_table(spark, sf_dir, "embeddings"))
