@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bidbox.llm import bagminhash, langmix, lattice, licences, mixing, repetition, spm, toxicity
-from bidbox.llm.common import fold, read_table
+from bidbox.llm import bagminhash, langmix, lattice, licences, mixing, repetition, spm, toxicity, warc
+from bidbox.llm.common import fold, read_table, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: No dealt operator is expressible in SQL as a whole; tests/llm holds the brute-force versions.
@@ -73,3 +73,13 @@ def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write(read_table(spark, sf_dir, "pages"), path)
+    found = warc.transactions(warc.read(spark, path))
+    meta = lambda k: F.col("metadata.fields")[k].cast("long")
+    return found.select(meta("page-id").alias("page_id"), F.coalesce("response.payload_bytes", meta("payload-bytes")).alias("payload_bytes"),
+                        F.col("response.digest").alias("payload_digest"), F.col("response.type").alias("record_type"), meta("refers-to-page-id").alias("refers_to"))
