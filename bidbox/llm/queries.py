@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bidbox.llm import bagminhash, langmix, lattice, licences, mixing, repetition, spm, toxicity, warc
-from bidbox.llm.common import fold, read_table, scratch_path
+from bidbox.llm import bagminhash, langmix, lattice, licences, linejoin, mixing, repetition, spm, toxicity, warc
+from bidbox.llm.common import fold, read_table, row_key, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: No dealt operator is expressible in SQL as a whole; tests/llm holds the brute-force versions.
@@ -83,3 +83,12 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     meta = lambda k: F.col("metadata.fields")[k].cast("long")
     return found.select(meta("page-id").alias("page_id"), F.coalesce("response.payload_bytes", meta("payload-bytes")).alias("payload_bytes"),
                         F.col("response.digest").alias("payload_digest"), F.col("response.type").alias("record_type"), meta("refers-to-page-id").alias("refers_to"))
+
+
+@query
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    found = linejoin.kept_lines(docs).withColumnRenamed("doc_id", "id")
+    rows = docs.select("doc_id", row_key().alias("key"))
+    return (rows.join(found, rows["doc_id"].eqNullSafe(found["id"]) & (rows["key"] == found["key"]), "left")
+            .select("doc_id", F.coalesce("n_lines", F.lit(0)).alias("n_lines"), F.coalesce(F.col("n_lines") - F.size("kept"), F.lit(0)).alias("n_removed"), F.coalesce("n_links", F.lit(0)).alias("n_links"), "kept"))
