@@ -12,8 +12,9 @@ so a long text costs about one point a shingle.
 
 Candidates.  Documents with the same bag collapse to one representative (the smallest id).  Each band of registers
 is a bucket.  Buckets are never expanded into all pairs: every member is first compared with the bucket's smallest
-document, links found there are joined to components, and only members that are still in different components
-are compared further, in blocks.
+document, and links found there are joined to components.  Members still outside the smallest document's component are then
+compared block by block: first with the few of each block whose signatures agree most, and after joining those links with
+every member of another component whose signature agrees enough to be a link at all.
 """
 
 from __future__ import annotations
@@ -32,6 +33,12 @@ from bidbox.llm.textnp import CHUNK_BYTES, Chunk, chunks, lists, mix, rolled, si
 
 #: 24 bands of 4 registers: a pair at similarity 0.8 shares no band with probability 3e-6.
 BANDS, ROWS = 24, 4
+#: Registers of a signature; the first BANDS * ROWS make the bands, all of them estimate a pair's similarity.
+REGISTERS = 256
+#: A pair whose estimate lies this far under the threshold is no link: at 0.8 that is 4 standard deviations.
+SLACK = 0.1
+#: Candidates that a document outside the main component names first, in each block.
+FIRST = 4
 WORDS = 5
 #: Members of a block of a bucket; blocks are compared pairwise in separate groups.
 BLOCK = 512
@@ -103,13 +110,13 @@ def _signed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at, chunk in chunks(texts):
             ids = batch.column(0).slice(at, chunk.rows)
             owner, shingle, count = bags(chunk)
-            reg = signatures(chunk.rows, owner, shingle, count, BANDS * ROWS)
+            reg = signatures(chunk.rows, owner, shingle, count, REGISTERS)
             size = np.bincount(owner, weights=count, minlength=chunk.rows).astype(np.int64)
             weigh = mix(shingle + _GOLD) * mix(count.astype(np.uint64) + _GOLD)
             bag = np.zeros((2, chunk.rows), np.uint64)
             np.add.at(bag[0], owner, weigh)
             np.add.at(bag[1], owner, mix(weigh ^ _GOLD))
-            bits = reg.view(np.uint64).reshape(chunk.rows, BANDS, ROWS)
+            bits = reg.view(np.uint64)[:, :BANDS * ROWS].reshape(chunk.rows, BANDS, ROWS)
             key = np.zeros((chunk.rows, BANDS), np.uint64) + np.arange(1, BANDS + 1, dtype=np.uint64)
             for j in range(ROWS):
                 key = mix(key ^ bits[:, :, j]) * _GOLD
@@ -175,30 +182,53 @@ def _could(a: str, b: str, threshold: float) -> Column:
     return F.least(F.col(a), F.col(b)) >= threshold * F.greatest(F.col(a), F.col(b))
 
 
-def _block_pairs(threshold: float):
-    """Pairs of different components, one block against another, whose signatures agree in about the threshold's share of registers.
-
-    At similarity 0.8 fewer than half of 96 registers agree with probability 1e-11.
-    """
-    least = (threshold - 0.3) * BANDS * ROWS
+def _block_pairs(threshold: float, first: int | None):
+    """Pairs of different components, one block against another, whose signatures agree in enough registers; the ``first`` best of each row or all."""
+    least = (threshold - SLACK) * REGISTERS
 
     def pairs(group: pa.Table) -> pa.Table:
         few, all_ = (group.filter(pc.equal(group["side"], side)) for side in (0, 1))
-        a, b = (np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint8).reshape(len(t), BANDS * ROWS) for t in (few, all_))
+        a, b = (np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint8).reshape(len(t), REGISTERS) for t in (few, all_))
         ia, ca, sa, _ = (few[c].to_numpy() for c in ("doc_id", "comp", "size", "minor"))
         ib, cb, sb, minor = (all_[c].to_numpy() for c in ("doc_id", "comp", "size", "minor"))
         out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for i in range(len(ia)):
             ok = (cb != ca[i]) & (~minor | (ib > ia[i])) & (np.minimum(sb, sa[i]) >= threshold * np.maximum(sb, sa[i]))
             at = np.flatnonzero(ok)
-            at = at[(b[at] == a[i]).sum(axis=1) >= least]
+            agree = (b[at] == a[i]).sum(axis=1)
+            at, agree = at[agree >= least], agree[agree >= least]
+            if first is not None and len(at) > first:
+                at = at[np.argsort(-agree, kind="stable")[:first]]
             out_a.append(np.full(len(at), ia[i]))
             out_b.append(ib[at])
-        return pa.table({"a": np.concatenate(out_a), "b": np.concatenate(out_b)})
+        x, y = np.concatenate(out_a), np.concatenate(out_b)
+        return pa.table({"a": np.minimum(x, y), "b": np.maximum(x, y)})
 
     return pairs
 
 
+def _apart(members: DataFrame, reps: DataFrame, comp: DataFrame, threshold: float, first: int | None) -> DataFrame | None:
+    """Candidate pairs between members of a bucket that are in different components; None if no bucket has any.
+
+    The members outside the component of the bucket's smallest document are compared with all others, in blocks.
+    """
+    put = members.join(comp.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("comp", F.coalesce("component", "doc_id")).drop("component")
+    hub = put.groupBy("band").agg(F.min(F.struct("doc_id", "comp")).alias("hub"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n")).where("lo != hi AND n > 2")
+    rest = put.join(hub.select("band", "n", "hub"), "band").where("doc_id != hub.doc_id").withColumn("minor", F.col("comp") != F.col("hub.comp"))
+    rest = materialize(rest.select("doc_id", "size", "comp", "band", "n", "minor"), "bag")
+    few = rest.where("minor").groupBy("band").agg(F.count("*").alias("few"))
+    rest = rest.join(few, "band")
+    if not few.limit(1).count():
+        return None
+    wide, deep = F.ceil(F.col("n") / BLOCK).cast("int"), F.ceil(F.col("few") / BLOCK).cast("int")
+    rest = (rest.join(reps.select("doc_id", "sig"), "doc_id")
+            .withColumn("x", F.pmod(F.xxhash64(F.lit(1), "doc_id"), deep).cast("int")).withColumn("y", F.pmod(F.xxhash64(F.lit(2), "doc_id"), wide).cast("int")))
+    cols = ["band", "x", "y", "side", "doc_id", "size", "comp", "minor", "sig"]
+    one = rest.where("minor").withColumn("y", F.explode(F.sequence(F.lit(0), wide - 1))).withColumn("side", F.lit(0)).select(*cols)
+    two = rest.withColumn("x", F.explode(F.sequence(F.lit(0), deep - 1))).withColumn("side", F.lit(1)).select(*cols)
+    return arrow_groups(one.union(two), ["band", "x", "y"], _block_pairs(threshold, first), "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.8) -> DataFrame:
     """(doc_id, class_id, kept) of every row: class_id is the smallest id reachable by links of similarity >= threshold.
 
@@ -216,27 +246,20 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     first = (members.join(hubs.select("band", "hub.doc_id", "hub.size").toDF("band", "a", "size_a"), "band")
              .where((F.col("a") != F.col("doc_id")) & _could("size", "size_a", threshold))
              .select("a", F.col("doc_id").alias("b")).distinct())
-    linked = materialize(verified(first, texts, threshold), "bag")
+    tried = materialize(first, "bag")
+    linked = materialize(verified(tried, texts, threshold), "bag")
     comp = components(linked)
-
-    # what is still apart inside a bucket: only there can a link be missing.  The members outside the smallest
-    # document's component are compared with all others, block by block.
-    put = members.join(comp.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("comp", F.coalesce("component", "doc_id")).drop("component")
-    hub = put.groupBy("band").agg(F.min_by(F.struct("doc_id", "comp"), "doc_id").alias("hub"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n")).where("lo != hi AND n > 2")
-    rest = put.join(hub.select("band", "n", "hub"), "band").where("doc_id != hub.doc_id").withColumn("minor", F.col("comp") != F.col("hub.comp"))
-    rest = materialize(rest.select("doc_id", "size", "comp", "band", "n", "minor"), "bag")
-    few = rest.where("minor").groupBy("band").agg(F.count("*").alias("few"))
-    rest = rest.join(few, "band")
-    if few.limit(1).count():
-        wide, deep = F.ceil(F.col("n") / BLOCK).cast("int"), F.ceil(F.col("few") / BLOCK).cast("int")
-        rest = (rest.join(reps.select("doc_id", "sig"), "doc_id")
-                .withColumn("x", F.pmod(F.xxhash64(F.lit(1), "doc_id"), deep).cast("int")).withColumn("y", F.pmod(F.xxhash64(F.lit(2), "doc_id"), wide).cast("int")))
-        cols = ["band", "x", "y", "side", "doc_id", "size", "comp", "minor", "sig"]
-        against = rest.where("minor").withColumn("y", F.explode(F.sequence(F.lit(0), wide - 1))).withColumn("side", F.lit(0)).select(*cols)
-        against = against.union(rest.withColumn("x", F.explode(F.sequence(F.lit(0), deep - 1))).withColumn("side", F.lit(1)).select(*cols))
-        more = materialize(arrow_groups(against, ["band", "x", "y"], _block_pairs(threshold), "a long, b long").distinct(), "bag")
-        if more.limit(1).count():
-            comp = components(linked.union(materialize(verified(more, texts, threshold), "bag")))
+    for best in (FIRST, None):
+        more = _apart(members, reps, comp, threshold, best)
+        if more is None:
+            break
+        more = materialize(more.join(tried, ["a", "b"], "left_anti"), "bag")
+        if not more.limit(1).count():
+            continue
+        links = materialize(verified(more, texts, threshold), "bag")
+        tried, linked = tried.union(more), linked.union(links)
+        if links.limit(1).count():
+            comp = components(linked)
     final = reps.join(comp.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(*same, F.coalesce("component", "doc_id").alias("class_id"))
     found = marks.select("doc_id", *same).join(final, same).groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
     out = docs.select(F.col(doc_id).cast("long").alias("doc_id")).join(found, "doc_id", "left").withColumn("class_id", F.coalesce("class_id", "doc_id"))
