@@ -67,6 +67,10 @@ def bags(chunk: Chunk, words: int = WORDS) -> tuple[np.ndarray, np.ndarray, np.n
     return owner[at], s[at], np.diff(np.append(at, len(s)))
 
 
+def _times_gold(n: int) -> np.uint64:
+    return np.uint64(n * int(_GOLD) % (1 << 64))
+
+
 def _unit(h: np.ndarray) -> np.ndarray:
     """Uniform in (0, 1]."""
     return ((h >> np.uint64(11)).astype(np.float64) + 1.0) * 2.0**-53
@@ -83,13 +87,13 @@ def signatures(rows: int, owner: np.ndarray, shingle: np.ndarray, count: np.ndar
         if not len(live):
             break
         rate = float(m) * float(high - low)
-        key = mix(shingle[live] + _GOLD * np.uint64(k + 1))
+        key = mix(shingle[live] + _times_gold(k + 1))
         own, upto, time = owner[live], count[live], np.zeros(len(live))
         step = 0
         latest = reg.max(axis=1)
         while len(own):
             step += 1
-            a = mix(key ^ (np.uint64(step) * _GOLD))
+            a = mix(key ^ _times_gold(step))
             b = mix(a + _GOLD)
             time = time - np.log(_unit(a)) / rate
             near = time < latest[own]
