@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from bidbox.llm.common import arrow_groups, arrow_map, materialize, row_key
 from bidbox.llm.components import components
-from bidbox.llm.textnp import CHUNK_BYTES, Chunk, chunks, lists, mix, rolled, signed
+from bidbox.llm.textnp import CHUNK_BYTES, Chunk, chunks, grouped_order, lists, mix, rolled, signed
 
 #: 24 bands of 4 registers: a pair at similarity 0.8 shares no band with probability 3e-6.
 BANDS, ROWS = 24, 4
@@ -59,7 +59,7 @@ def bags(chunk: Chunk, words: int = WORDS) -> tuple[np.ndarray, np.ndarray, np.n
         at = int(np.searchsorted(row, r))
         one = rolled(h[at:at + n[r]], int(n[r]))
         s, owner = np.append(s, mix(one + np.uint64(n[r]))), np.append(owner, r)
-    order = np.lexsort((s, owner))
+    order = grouped_order(owner, s)
     s, owner = s[order], owner[order]
     new = np.ones(len(s), bool)
     new[1:] = (s[1:] != s[:-1]) | (owner[1:] != owner[:-1])
@@ -161,7 +161,7 @@ def _similar(chunk: Chunk, pairs: int, threshold: float) -> np.ndarray:
     """Whether row i and row pairs + i of the chunk reach the weighted Jaccard threshold."""
     owner, shingle, count = bags(chunk)
     pair = owner % pairs
-    order = np.lexsort((shingle, pair))
+    order = grouped_order(pair, shingle)
     pair, shingle, count = pair[order], shingle[order], count[order]
     same = np.flatnonzero((pair[1:] == pair[:-1]) & (shingle[1:] == shingle[:-1]))
     both = np.bincount(pair[same], weights=np.minimum(count[same], count[same + 1]), minlength=pairs)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bidbox.llm.common import arrow_map, id_key, materialize, row_key
-from bidbox.llm.textnp import Chunk, chunks, lists, mix, rolled, signed
+from bidbox.llm.textnp import Chunk, chunks, grouped_order, lists, mix, rolled, signed
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -47,7 +47,7 @@ def line_sets(chunk: Chunk, words: int = WORDS) -> tuple[np.ndarray, np.ndarray,
     whole = (row[:n] == row[words - 1:]) & (at[:n] == at[words - 1:]) if n else np.zeros(0, bool)
     s, row, at = s[whole], row[:n][whole], at[:n][whole]
     place = at + row  # grows with every line and every text
-    order = np.lexsort((s, place))
+    order = grouped_order(place - place[0], s) if n and len(s) else np.zeros(0, np.int64)
     s, row, at, place = s[order], row[order], at[order], place[order]
     new = np.ones(len(s), bool)
     new[1:] = (s[1:] != s[:-1]) | (place[1:] != place[:-1])
@@ -100,11 +100,11 @@ def _prefixes(levels: np.ndarray, threshold: float):
             for _, chunk in chunks(batch.column(0)):
                 s, line, _, _, size = line_sets(chunk)
                 k1, k2 = _keys(s, line, len(size))
-                _, once = np.unique(np.stack([k1, k2]), axis=1, return_index=True)
+                _, once = np.unique(k1 ^ mix(k2), return_index=True)
                 mine = np.zeros(len(size), bool)
                 mine[once] = True
                 s, line = s[mine[line]], line[mine[line]]
-                order = np.lexsort((s, levels[_bucket(s)], line))
+                order = np.argsort(line * 256 + levels[_bucket(s)], kind="stable")  # the hashes are in order already
                 s, line = s[order], line[order]
                 position = np.arange(len(line)) - np.searchsorted(line, line)
                 n = size[line]
@@ -115,21 +115,25 @@ def _prefixes(levels: np.ndarray, threshold: float):
 
 
 def _sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(cid, its shingles) for the lines that each row names."""
+    """(cid, its first line, its shingles) for the lines that each row names."""
     for batch in batches:
-        wanted = [{int(w["line"]): int(w["cid"]) for w in x} for x in batch.column(0).to_pylist()]
+        wanted = [{int(w["line"]): w for w in x} for x in batch.column(0).to_pylist()]
         for at, chunk in chunks(batch.column(1)):
             s, line, row, number, size = line_sets(chunk)
-            cid = [wanted[at + r].get(k) for r, k in zip(row.tolist(), number.tolist(), strict=True)]
-            use = np.array([c is not None for c in cid], bool)
+            found = [wanted[at + r].get(k) for r, k in zip(row.tolist(), number.tolist(), strict=True)]
+            use = np.array([w is not None for w in found], bool)
             keep = use[line] if len(line) else np.zeros(0, bool)
-            yield pa.RecordBatch.from_arrays([pa.array([c for c in cid if c is not None], pa.int64()), lists(signed(s[keep]), size[use], pa.int64())], names=["cid", "tokens"])
+            found = [w for w in found if w]
+            yield pa.RecordBatch.from_arrays([pa.array([w["cid"] for w in found], pa.int64()), pa.array([w["first"] for w in found], _PLACE), lists(signed(s[keep]), size[use], pa.int64())], names=["cid", "first", "tokens"])
+
+
+_PLACE = pa.struct([("doc_id", pa.int64()), ("key", pa.int64()), ("line", pa.int32())])
 
 
 def line_matches(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(lines, classes, links).
 
-    lines: doc_id, key (text fingerprint), line, n, k1, k2.  classes: cid, first (doc_id, key, line), lines.  links: a, b (class ids), jaccard.
+    Links come with the class whose first line is the later one.  lines: doc_id, key (text fingerprint), line, n, k1, k2.  classes: cid, first (doc_id, key, line), lines.  links: a, b (class ids), jaccard, later.
     """
     spark = docs.sparkSession
     src = docs.select(F.col(doc_id).cast("long").alias("doc_id"), row_key(text).alias("key"), F.col(text).alias("text"))
@@ -157,13 +161,14 @@ def line_matches(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     pairs = materialize(pairs.select("a", "b").distinct(), "line")
 
     ids = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
-    wanted = ids.join(classes, "cid").groupBy(F.coalesce(F.col("first.doc_id").cast("string"), F.lit("")).alias("id_key"), F.col("first.key").alias("key")).agg(F.collect_list(F.struct(F.col("first.line").alias("line"), "cid")).alias("wanted"))
+    wanted = ids.join(classes, "cid").groupBy(F.coalesce(F.col("first.doc_id").cast("string"), F.lit("")).alias("id_key"), F.col("first.key").alias("key")).agg(F.collect_list(F.struct(F.col("first.line").alias("line"), "cid", "first")).alias("wanted"))
     texts = docs.select(id_key(doc_id).alias("id_key"), row_key(text).alias("key"), F.col(text).alias("text"))
-    sets = materialize(arrow_map(wanted.join(texts, ["id_key", "key"]).select("wanted", "text"), _sets_of, "cid long, tokens array<long>").dropDuplicates(["cid"]), "line")
-    both_sets = pairs.join(sets.select(F.col("cid").alias("a"), F.col("tokens").alias("ta")), "a").join(sets.select(F.col("cid").alias("b"), F.col("tokens").alias("tb")), "b")
+    sets = materialize(arrow_map(wanted.join(texts, ["id_key", "key"]).select("wanted", "text"), _sets_of, "cid long, first struct<doc_id:long,key:long,line:int>, tokens array<long>"), "line")
+    both_sets = pairs.join(sets.select(F.col("cid").alias("a"), F.col("first").alias("fa"), F.col("tokens").alias("ta")), "a").join(sets.select(F.col("cid").alias("b"), F.col("first").alias("fb"), F.col("tokens").alias("tb")), "b")
     common = F.size(F.array_intersect("ta", "tb"))
-    links = both_sets.select("a", "b", common.alias("c"), (F.size("ta") + F.size("tb")).alias("s")).select("a", "b", (F.col("c") / (F.col("s") - F.col("c"))).alias("jaccard"))
-    return lines, classes, materialize(links.where(F.col("jaccard") >= threshold), "line")
+    links = both_sets.select("a", "b", common.alias("c"), (F.size("ta") + F.size("tb")).alias("s"), F.when(F.col("fb") < F.col("fa"), F.col("a")).otherwise(F.col("b")).alias("later"))
+    links = links.select("a", "b", (F.col("c") / (F.col("s") - F.col("c"))).alias("jaccard"), "later").where(F.col("jaccard") >= threshold)
+    return lines, classes, materialize(links.distinct(), "line")  # a text that is repeated under its id gives its sets twice
 
 
 def _broadcast_prefixes(shared, threshold: float):
@@ -180,10 +185,8 @@ def kept_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", t
     that is repeated under its id counts once and both rows keep the same lines.  Null, empty and blank texts have no row.
     """
     lines, classes, links = line_matches(docs, doc_id=doc_id, text=text, threshold=threshold)
-    first = classes.select("cid", "first")
-    ends = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    later = (ends.join(first.withColumnRenamed("cid", "a").withColumnRenamed("first", "fa"), "a").join(first.withColumnRenamed("cid", "b").withColumnRenamed("first", "fb"), "b")
-             .groupBy(F.col("a").alias("cid")).agg(F.count("*").alias("degree"), F.max(F.when(F.col("fb") < F.col("fa"), 1).otherwise(0)).alias("goes")))
+    ends = links.select(F.explode(F.array("a", "b")).alias("cid"), "later")
+    later = ends.groupBy("cid").agg(F.count("*").alias("degree"), F.max((F.col("cid") == F.col("later")).cast("int")).alias("goes"))
     stays = classes.join(later, "cid", "left").select("cid", "first", F.coalesce("degree", F.lit(0)).alias("degree"), (F.coalesce("goes", F.lit(0)) == 0).alias("stays"))
     kept = stays.where("stays").groupBy(F.col("first.doc_id").alias("doc_id"), F.col("first.key").alias("key")).agg(F.array_sort(F.collect_list("first.line")).alias("kept"))
     total = lines.select("doc_id", "key", "line").distinct().groupBy("doc_id", "key").agg(F.count("*").alias("n_lines"))

@@ -98,6 +98,21 @@ class Chunk:
         return mix((self._sums[ends] - self._sums[starts]) * down[starts])
 
 
+def grouped_order(owner: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Order by owner (small integers) and then by 64-bit value: one sort of a joined key, exact by falling back on ties."""
+    if not len(owner):
+        return np.zeros(0, np.int64)
+    bits = np.uint64(int(owner.max()).bit_length())
+    if not bits:
+        return np.argsort(values)
+    key = (owner.astype(np.uint64) << (np.uint64(64) - bits)) | (values >> bits)
+    order = np.argsort(key)
+    k, v = key[order], values[order]
+    if ((k[1:] == k[:-1]) & (v[1:] != v[:-1])).any():
+        return np.lexsort((values, owner))
+    return order
+
+
 def rolled(h: np.ndarray, k: int) -> np.ndarray:
     """Hash of every k consecutive entries of ``h`` (len(h) - k + 1 values)."""
     n = len(h) - k + 1
