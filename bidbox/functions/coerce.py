@@ -35,23 +35,28 @@ def coerce_text(col: str | Column, declared_type: str, nullable: bool = True) ->
     REAL/FLOAT/DOUBLE: parseable -> float text, other text kept.  TEXT: kept.
     Null/'' -> null when the column is nullable (numeric) else ''.  NOT NULL is never null.
     """
-    t = declared_type.upper()
     s = _c(col).cast("string")
-    is_null_or_empty = s.isNull() | (s == "")
-    if "INT" in t or t == "BOOL":
-        low = F.lower(s)
-        coerced = (F.when(low == "true", F.lit("1")).when(low == "false", F.lit("0"))
-                   .when(s.rlike(r"^[+-]?\d+$"), s.try_cast("long").cast("string"))
-                   .otherwise(s))
-    elif any(k in t for k in ("REAL", "FLOA", "DOUB")):
-        f = s.try_cast("double")
-        coerced = F.when(f.isNotNull(), f.cast("string")).otherwise(s)
-    else:
-        if nullable:
-            return s
-        return F.when(is_null_or_empty, F.lit("")).otherwise(s)
-    empty_as = F.lit(None).cast("string") if nullable else F.lit("")
-    return F.when(is_null_or_empty, empty_as).otherwise(coerced)
+    affinity = _affinity(declared_type)
+    if affinity == "text":
+        return s if nullable else F.coalesce(s, F.lit(""))
+    given = F.nullif(s, F.lit(""))
+    text = F.coalesce(_CANONICAL[affinity](given), given)
+    return text if nullable else F.coalesce(text, F.lit(""))
+
+
+def _affinity(declared_type: str) -> str:
+    name = declared_type.upper()
+    if name == "BOOL" or "INT" in name:
+        return "integer"
+    return "real" if any(part in name for part in ("REAL", "FLOA", "DOUB")) else "text"
+
+
+# for each numeric affinity the canonical text of a cell, null where the cell is no such value
+_CANONICAL = {
+    "integer": lambda s: F.coalesce(F.create_map(F.lit("true"), F.lit("1"), F.lit("false"), F.lit("0"))[F.lower(s)],
+                                    F.when(s.rlike(r"^[+-]?\d+$"), s.try_cast("long")).cast("string")),
+    "real": lambda s: s.try_cast("double").cast("string"),
+}
 
 
 def json_string_array(col: str | Column) -> Column:

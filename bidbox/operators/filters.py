@@ -8,8 +8,6 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# beyond this many literal values an IN-list becomes a semi join against a key frame
-ISIN_LIMIT = 10_000
 
 
 def required(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -58,20 +56,11 @@ def in_year(col: str, year: int) -> Column:
 
 
 def in_keys(df: DataFrame, col: str, keys: Sequence | DataFrame) -> DataFrame:
-    """membership of the stringified column in a key list.
-
-    A short Python list becomes an IN predicate (pushed down); a long list or a DataFrame of
-    keys becomes a left-semi join, so the list never has to travel through the driver.
-    """
+    """membership of the stringified column in a key list or a one-column frame: a left-semi join."""
     s = F.col(col).cast("string")
-    if isinstance(keys, DataFrame):
-        k = keys.select(keys.columns[0]).withColumnRenamed(keys.columns[0], "_key")
-        return df.join(k, s == F.col("_key").cast("string"), "left_semi")
-    keys = [str(k) for k in keys]
-    if len(keys) <= ISIN_LIMIT:
-        return df.where(s.isin(keys))
-    spark = df.sparkSession
-    k = spark.createDataFrame([(x,) for x in keys], "_key string")
+    if not isinstance(keys, DataFrame):
+        keys = df.sparkSession.createDataFrame([(str(k),) for k in keys], "_key string")
+    k = keys.select(F.col(keys.columns[0]).cast("string").alias("_key"))
     return df.join(k, s == F.col("_key"), "left_semi")
 
 

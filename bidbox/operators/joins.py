@@ -1,9 +1,7 @@
 """Join operators (J*): lookups, role-playing joins, anti/semi joins, precedence merges.
 
-Sizing rule: a side is broadcast only behind a proven bound (:func:`bounded_broadcast` counts
-at most ``max_rows + 1`` rows); otherwise the join is left to the planner, where AQE picks
-broadcast from runtime sizes or falls back to a shuffled sort-merge join and splits skewed
-partitions.
+No join here is forced: the planner broadcasts a side whose size in bytes is under its threshold, AQE
+corrects the choice from run-time sizes and splits skewed partitions of shuffled joins.
 """
 
 from __future__ import annotations
@@ -16,12 +14,6 @@ from pyspark.sql import functions as F
 SUFFIX_RE = r"_(x|y|left|right)$"  # fixed value: suffixes that signal a join-name collision
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows (checked, not assumed)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def lookup_chain(fact: DataFrame, steps: Sequence[tuple[DataFrame, Sequence[tuple[str, str]]]],
                  how: str = "left") -> DataFrame:
     """Chain of fact->dimension joins; each step is (dim, [(fact_col, dim_col), ...])."""

@@ -4,8 +4,7 @@ Both are written so that a hot key never lands whole in one task:
 
 * Matchpoints first collapse the field to one row per (board, score) with a
   map-side partial aggregate.  The running "beaten" counts over that reduced frame are
-  a window per board, except for boards with very many distinct scores, which are split
-  off and summed by an exact distributed prefix sum (:func:`below_counts`).  The join back
+  an exact distributed prefix sum (:func:`below_counts`).  The join back
   is an equi-join on (board, score) that AQE may broadcast or skew-split.
 * A global rank (no partition key) is an exact distributed prefix sum: distinct
   values are range-bucketed by approximate quantiles (bounded number of buckets),
@@ -22,66 +21,32 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-# suggested threshold for ``hot_threshold``: a key with more distinct values than this is
-# "hot" and gets an exact distributed prefix sum instead of one window task
-HOT_KEY_DISTINCT_VALUES = 2_000_000
-
-
-def below_counts(d: DataFrame, keys: Sequence[str], value: str, count_col: str = "_n_eq",
-                 hot_threshold: int | None = None) -> DataFrame:
+def below_counts(d: DataFrame, keys: Sequence[str], value: str, count_col: str = "_n_eq") -> DataFrame:
     """Add ``_n_lt`` (sum of ``count_col`` over smaller values of the same key) and ``_n_field``
     (sum over the key) to a table of distinct (key, value) rows.
 
-    ``hot_threshold=None`` (default) uses one window per key.  With a threshold, hot groups
-    are split: per-key totals (a partial aggregate) are joined onto the rows; that join is an ordinary
-    shuffle join that AQE may skew-split.  Keys with at most ``hot_threshold`` distinct values
-    get the running sum from a window per key.  Hotter keys are routed, inside the same plan,
-    to an exact distributed prefix sum: each hot key's distinct values are cut into 64
-    order-preserving buckets at approximate quantiles (a partial aggregate over hot rows only),
-    each (key, bucket) is summed by its own window, and a bucket's offset is the key's total in
-    earlier buckets (a table of at most 64 rows per hot key).  The per-key bounds are written
-    once (a small table) so every branch buckets alike.
+    An exact distributed prefix sum: the rows are range-partitioned on (key, value), which cuts a
+    hot key into runs of several tasks.  Each (key, run) is summed by its own window, and a run's
+    offset is the key's total in earlier runs (a table of one row per key and run).  The
+    partitioned rows are written once, so every branch sees the same runs.
     """
-    keys = list(keys)
-    if hot_threshold is None:
-        # default plan: one window per key over the distinct values (cheapest when no key is hot)
-        by_key = Window.partitionBy(*keys)
-        return (d.withColumn("_n_lt", F.coalesce(F.sum(count_col).over(
-                    by_key.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-                 .withColumn("_n_field", F.sum(count_col).over(by_key)))
-    thr = hot_threshold
-    totals = d.groupBy(*keys).agg(F.sum(count_col).alias("_n_field"), F.count(F.lit(1)).alias("_n_vals"))
-    tagged = d.join(totals, keys, "left")
-    below = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    cold = (tagged.where(F.col("_n_vals") <= thr)
-            .withColumn("_n_lt", F.coalesce(F.sum(count_col).over(below), F.lit(0))))
-    hot = tagged.where(F.col("_n_vals") > thr)
-    # hot keys: ~n_vals/thr order-preserving buckets per key from approximate quantiles of the
-    # key's distinct values (a partial aggregate over hot rows only), then a window per
-    # (key, bucket) and per-bucket offsets from a table of one row per (key, bucket)
-    n_b = 64
-    probs = [i / n_b for i in range(1, n_b)]
-    # the bounds (one row per hot key) are materialised so both branches below bucket alike:
-    # an approximate sketch merged in another order could give other bounds
     from ..session import materialize
 
-    qb = materialize(hot.groupBy(*keys).agg(
-        F.percentile_approx(F.col(value).cast("double"), probs, 10000).alias("_qb")), "hot-bounds")
-    hb = hot.join(qb, keys, "left").withColumn(
-        "_bk", F.size(F.filter("_qb", lambda b: b < F.col(value).cast("double")))).drop("_qb")
-    local = hb.withColumn("_loc", F.coalesce(F.sum(count_col).over(
-        Window.partitionBy(*keys, "_bk").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    per = hb.groupBy(*keys, "_bk").agg(F.sum(count_col).alias("_c"))
-    off = per.withColumn("_off", F.coalesce(F.sum("_c").over(
-        Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    hot_out = (local.join(off.drop("_c"), [*keys, "_bk"])
-               .withColumn("_n_lt", F.col("_off") + F.col("_loc")).drop("_bk", "_loc", "_off"))
-    return cold.unionByName(hot_out).drop("_n_vals")
+    keys = list(keys)
+    runs = materialize(d.repartitionByRange(*keys, value).withColumn("_run", F.spark_partition_id()), "runs")
+    per_run = runs.groupBy(*keys, "_run").agg(F.sum(count_col).alias("_c"))
+    by_key = Window.partitionBy(*keys)
+    earlier = by_key.orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (per_run.withColumn("_off", F.coalesce(F.sum("_c").over(earlier), F.lit(0)))
+               .withColumn("_n_field", F.sum("_c").over(by_key)).drop("_c"))
+    inside = Window.partitionBy(*keys, "_run").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    return (runs.withColumn("_loc", F.coalesce(F.sum(count_col).over(inside), F.lit(0)))
+            .join(offsets, [*keys, "_run"])
+            .withColumn("_n_lt", F.col("_off") + F.col("_loc")).drop("_run", "_loc", "_off"))
 
 
 def matchpoints(df: DataFrame, board_cols: Sequence[str], score_col: str,
-                mp_col: str = "MP", top_col: str = "MP_Top", pct_col: str = "Pct",
-                hot_threshold: int | None = None) -> DataFrame:
+                mp_col: str = "MP", top_col: str = "MP_Top", pct_col: str = "Pct") -> DataFrame:
     """Matchpoints of each result against its board field.
 
     MP = results with a lower score + half of the other results with an equal score;
@@ -92,7 +57,7 @@ def matchpoints(df: DataFrame, board_cols: Sequence[str], score_col: str,
     field = (df.where(F.col(score_col).isNotNull())
              .groupBy(*board_cols, score_col)
              .agg(F.count(F.lit(1)).alias("_n_eq")))
-    field = below_counts(field, board_cols, score_col, hot_threshold=hot_threshold)
+    field = below_counts(field, board_cols, score_col)
     out = df.join(field, on=[*board_cols, score_col], how="left")
     mp = F.col("_n_lt") + (F.col("_n_eq") - 1) / F.lit(2.0)
     top = F.col("_n_field") - 1
@@ -103,17 +68,16 @@ def matchpoints(df: DataFrame, board_cols: Sequence[str], score_col: str,
             .drop("_n_eq", "_n_lt", "_n_field"))
 
 
-def _rank_within(df: DataFrame, partition_cols: Sequence[str], col: str,
-                 hot_threshold: int | None = None) -> DataFrame:
-    """(partition.., value, n_eq, n_lt) over distinct values, hot partitions split (see below_counts)."""
+def _rank_within(df: DataFrame, partition_cols: Sequence[str], col: str) -> DataFrame:
+    """(partition.., value, n_eq, n_lt) over distinct values (see below_counts)."""
     d = (df.where(F.col(col).isNotNull() & ~F.isnan(F.col(col)))
          .groupBy(*partition_cols, col).agg(F.count(F.lit(1)).alias("_n_eq")))
-    return below_counts(d, partition_cols, col, hot_threshold=hot_threshold).drop("_n_field")
+    return below_counts(d, partition_cols, col).drop("_n_field")
 
 
 def average_rank(df: DataFrame, col: str, out_col: str,
                  partition_cols: Sequence[str] = (), divide_by_count: bool = False,
-                 n_buckets: int = 512, hot_threshold: int | None = None) -> DataFrame:
+                 n_buckets: int = 512) -> DataFrame:
     """Average-tie rank (1-based) of ``col``; null/NaN stays null.
 
     With ``divide_by_count`` the rank is divided by the number of rows in the partition,
@@ -123,7 +87,7 @@ def average_rank(df: DataFrame, col: str, out_col: str,
     partition_cols = list(partition_cols)
     x = F.col(col)
     if partition_cols:
-        ranks = _rank_within(df, partition_cols, col, hot_threshold)
+        ranks = _rank_within(df, partition_cols, col)
         totals = df.groupBy(*partition_cols).agg(F.count(F.lit(1)).alias("_n_all"))
         out = (df.join(ranks, on=[*partition_cols, col], how="left")
                  .join(totals, on=partition_cols, how="left"))
@@ -152,7 +116,7 @@ def _global_rank(df: DataFrame, col: str, n_buckets: int) -> DataFrame:
     row = df.agg(F.percentile_approx(F.when(~F.isnan(F.col(col)), F.col(col).cast("double")), probs, 10000).alias("b"),
                  F.count(F.lit(1)).alias("n")).first()
     total = int(row["n"])
-    bounds = sorted({float(b) for b in (row["b"] or [])})
+    bounds = sorted({float(b) for b in (row["b"] or []) if math.isfinite(b)})
     splits = [float("-inf"), *bounds, float("inf")]
     if len(splits) < 3:
         splits = [float("-inf"), 0.0, float("inf")]
@@ -177,14 +141,6 @@ def _distinct_counts(df: DataFrame, col: str) -> DataFrame:
             .groupBy(col).agg(F.count(F.lit(1)).alias("_n_eq")))
 
 
-def rank_over_ties_expr(value: Column, partition: Sequence[str]) -> Column:
-    """Average-tie rank as a plain window expression, for small frames (reports, fixtures)."""
-    w = Window.partitionBy(*partition).orderBy(value.asc_nulls_last())
-    ties = Window.partitionBy(*partition, value)
-    return F.when(value.isNotNull(),
-                  F.rank().over(w) + (F.count(F.lit(1)).over(ties) - 1) / F.lit(2.0))
-
-
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], n_buckets: int = 512,
                     method: str = "linear") -> dict[float, float | None]:
     """Exact quantiles without gathering all values in one task.
@@ -207,7 +163,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], n_buckets:
     n = int(row["n"])
     if n == 0:
         return {q: None for q in probs}
-    splits = [float("-inf"), *sorted({float(b) for b in (row["b"] or [])}), float("inf")]
+    splits = [float("-inf"), *sorted({float(b) for b in (row["b"] or []) if math.isfinite(b)}), float("inf")]
     if len(splits) < 3:
         splits = [float("-inf"), 0.0, float("inf")]
     distinct = clean.groupBy("_x").agg(F.count(F.lit(1)).alias("_n"))

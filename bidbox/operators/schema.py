@@ -171,12 +171,14 @@ def key_violations(df: DataFrame, key: Sequence[str], nullable_unique: bool = Fa
     return d.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
 
 
-def schema_problems(schema: T.StructType) -> list[str]:
-    """V3: doubles in a float-only table, join-suffix collisions, leftover strings, nested types."""
+def schema_problems(schema: T.StructType, keep_strings: Sequence[str] | None = None) -> list[str]:
+    """V3: doubles in a float-only table, join-suffix collisions, nested types, and strings outside ``keep_strings`` if that is given."""
     probs = []
     for f in schema.fields:
         if isinstance(f.dataType, T.DoubleType):
             probs.append(f"{f.name}: double")
+        if keep_strings is not None and isinstance(f.dataType, T.StringType) and f.name not in keep_strings:
+            probs.append(f"{f.name}: string")
         if re.search(r"_(x|y|left|right)$", f.name):
             probs.append(f"{f.name}: join suffix")
         if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
@@ -195,6 +197,23 @@ def same_columns(frames) -> list[str]:
     return diffs
 
 
+def parallel_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
+    """V7: rows of parallel reductions of one table, and whether all have the same number: (reduction, n, equal)."""
+    parts = [f.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("reduction"), "n") for name, f in frames.items()]
+    counts = parts[0]
+    for p in parts[1:]:
+        counts = counts.unionByName(p)
+    same = counts.agg((F.min("n") == F.max("n")).alias("equal"))
+    return counts.crossJoin(F.broadcast(same))  # one row against one row a reduction
+
+
+def assert_equal_counts(frames: Mapping[str, DataFrame]) -> None:
+    """V7: raise unless all reductions have the same number of rows."""
+    rows = parallel_counts(frames).collect()
+    if not all(r["equal"] for r in rows):
+        raise SchemaError(f"parallel reductions differ: {[(r['reduction'], r['n']) for r in rows]}")
+
+
 def retention(before: DataFrame, after: DataFrame, min_ratio: float = 0.5) -> DataFrame:
     """V5: one row (rows before, rows after, ratio, ok): both counts in one aggregate over a union."""
     tagged = (before.select(F.lit(True).alias("_before"))

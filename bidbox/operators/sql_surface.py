@@ -1,27 +1,23 @@
 """Ad-hoc SQL over registered tables (Q1-Q3): temp views + ``spark.sql`` with a read-only guard.
 
-Catalyst parses, analyses and optimises the statement; this module only registers views,
-expands identifier macros, rejects statements that are not plain queries, and caps rows.
+Catalyst parses, analyses and optimises the statement.  This module registers views, expands identifier
+macros, caps rows, and checks the *parsed* statement: it must be one query over registered names, without
+scripts and without functions that reach out of Spark.  The text itself is passed on untouched.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Iterable, Iterator, Mapping
 
+from pyspark.errors import ParseException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .relational import capped
 
-# fixed values: statement shapes that are refused (anything that is not a query, or that
-# names files directly)
-_FORBIDDEN = re.compile(
-    r"\b(insert|update|delete|merge|create|drop|alter|truncate|cache|uncache|refresh|set|reset|add|"
-    r"load|msck|grant|revoke|use|call|export|copy)\b", re.IGNORECASE)
-_FILE_REF = re.compile(r"\b(parquet|csv|json|orc|text|avro|binaryfile|delta|jdbc)\s*\.\s*`", re.IGNORECASE)
-_LEAD = re.compile(r"^\s*(\(\s*)*(select|with|from|values|table)\b", re.IGNORECASE)
-_COMMENTS = re.compile(r"--[^\n]*|/\*.*?\*/", re.DOTALL)
+# fixed values: functions that call into the JVM or read files
+_REFUSED_FUNCTIONS = {"reflect", "try_reflect", "java_method", "read_files", "input_file_name", "input_file_block_start", "input_file_block_length"}
 _STRINGS = re.compile(r"'(?:[^'\\]|\\.)*'")
 
 
@@ -29,19 +25,64 @@ class QueryRejected(ValueError):
     pass
 
 
-def guard(sql: str) -> str:
-    """Q3: allow a single read-only query; no DDL/DML, no direct file relations, no chaining."""
-    body = _COMMENTS.sub(" ", sql)
-    bare = _STRINGS.sub("''", body)
-    if ";" in bare.strip().rstrip(";"):
-        raise QueryRejected("only one statement is allowed")
-    if not _LEAD.match(bare):
-        raise QueryRejected("only SELECT/WITH/FROM queries are allowed")
-    if _FORBIDDEN.search(bare):
-        raise QueryRejected("statement is not read-only")
-    if _FILE_REF.search(bare):
-        raise QueryRejected("direct file access is not allowed")
-    return body.strip().rstrip(";")
+def _seq(scala_seq) -> Iterator:
+    for i in range(scala_seq.size()):
+        yield scala_seq.apply(i)
+
+
+def _walk(node) -> Iterator:
+    """A plan node or expression of the parsed statement with all below it, subqueries and CTEs included."""
+    yield node
+    kind = node.getClass().getSimpleName()
+    if kind == "UnresolvedWith":
+        for cte in _seq(node.cteRelations()):
+            yield from _walk(cte._2())
+    for child in _seq(node.children()):
+        yield from _walk(child)
+    for name in ("expressions", "innerChildren"):
+        if hasattr(node, name) and kind != "UnresolvedWith":
+            try:
+                below = getattr(node, name)()
+            except Exception:  # noqa: BLE001 - Py4J offers every name; the node has no such method
+                continue
+            for child in _seq(below.toSeq()):
+                yield from _walk(child)
+    if node.getClass().getName().startswith("org.apache.spark.sql.catalyst.expressions.") and "Subquery" in kind or kind in ("Exists", "ListQuery"):
+        yield from _walk(node.plan())
+
+
+def guard(spark: SparkSession, sql: str, names: Iterable[str]) -> str:
+    """Q3: the text if it is one read-only query over ``names`` (and its own CTEs), else :class:`QueryRejected`.
+
+    Refused: commands and other statements, several statements, scripts (TRANSFORM .. USING), relations that are not registered (files
+    in any quoting are such), table functions that read files, and functions that call Java.
+    """
+    try:
+        plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql)
+    except Exception as e:  # a Py4J error that wraps Spark's ParseException
+        if isinstance(e, ParseException) or "ParseException" in str(e):
+            raise QueryRejected(f"not one SQL query: {str(e).splitlines()[0][:200]}") from None
+        raise
+    known = {n.lower() for n in names}
+    nodes = list(_walk(plan))
+    kinds = [(n, n.getClass().getSimpleName(), n.getClass().getName()) for n in nodes]
+    for n, kind, _ in kinds:
+        if kind == "UnresolvedWith":
+            known |= {cte._1().lower() for cte in _seq(n.cteRelations())}
+    for n, kind, full in kinds:
+        if "ScriptTransformation" in kind:
+            raise QueryRejected("scripts are not allowed")
+        if kind.endswith(("Command", "Statement")) or ".command." in full or kind.startswith(("Create", "Drop", "Alter", "InsertInto", "Insert", "DeleteFrom", "Update", "MergeInto", "Set", "Reset", "Show", "Describe", "Cache", "Uncache", "Refresh", "Load", "Truncate", "Call", "Explain", "AddColumns", "CompoundBody")):
+            raise QueryRejected("the statement is not read-only")
+        if kind == "UnresolvedRelation":
+            parts = [str(p) for p in _seq(n.multipartIdentifier())]
+            if len(parts) != 1 or parts[0].lower() not in known:
+                raise QueryRejected(f"unknown relation {'.'.join(parts)}")
+        if kind in ("UnresolvedFunction", "UnresolvedTableValuedFunction"):
+            name = [str(p) for p in _seq(n.nameParts() if kind == "UnresolvedFunction" else n.name())]
+            if name[-1].lower() in _REFUSED_FUNCTIONS:
+                raise QueryRejected(f"function {name[-1]} is not allowed")
+    return sql
 
 
 def register_views(tables: Mapping[str, DataFrame], prefix: str = "") -> list[str]:
@@ -59,8 +100,8 @@ def session_sql(spark: SparkSession, tables: Mapping[str, DataFrame], sql: str,
     With ``limit`` the result is capped through O3 (clamped to 1..2000 plus a ``truncated``
     flag); the order is all output columns, so the kept rows are deterministic.
     """
-    register_views(tables)
-    df = spark.sql(guard(sql), args=dict(args or {}))
+    names = register_views(tables)
+    df = spark.sql(guard(spark, sql, names), args=dict(args or {}))
     if limit is None:
         return df
     return capped(df, [F.col(f"`{c}`") for c in df.columns], limit=limit)
@@ -93,4 +134,4 @@ def self_sql(spark: SparkSession, df: DataFrame, sql: str, macros: Mapping[str,
     if not _HAS_FROM.search(_STRINGS.sub("''", q)):
         q = f"FROM {view} {q.strip()}"
     df.createOrReplaceTempView(view)
-    return spark.sql(guard(q), args=dict(args or {}))
+    return spark.sql(guard(spark, q, [view]), args=dict(args or {}))

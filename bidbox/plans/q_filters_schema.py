@@ -269,6 +269,19 @@ def v04_key_unique(spark, d):
     return out.withColumn("is_unique", F.col("n") == F.col("n_distinct"))
 
 
+@register("v07_parallel", sql=f"""
+WITH s AS ({SEAT_ROWS_SQL}),
+c AS (SELECT 'N' AS reduction, count(DISTINCT Board) AS n FROM s WHERE Player_ID_N IS NOT NULL
+      UNION ALL SELECT 'S', count(DISTINCT Board) FROM s WHERE Player_ID_S IS NOT NULL
+      UNION ALL SELECT 'E', count(DISTINCT Board) FROM s WHERE Player_ID_E IS NOT NULL
+      UNION ALL SELECT 'W', count(DISTINCT Board) FROM s WHERE Player_ID_W IS NOT NULL)
+SELECT reduction, n, (SELECT min(n) = max(n) FROM c) AS equal FROM c""")
+def v07_parallel(spark, d):
+    """One row a board from each seat's players: do the four reductions have equal counts?"""
+    s = seat_rows(Tables(spark, d))
+    return SC.parallel_counts({x: s.where(F.col(f"Player_ID_{x}").isNotNull()).select("Board").distinct() for x in "NSEW"})
+
+
 @register("v05_retention", sql=f"""
 WITH c AS (SELECT (SELECT count(*) FROM lineitem) AS rows_before,
   (SELECT count(*) FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_size < 25) AS rows_after)

@@ -21,8 +21,8 @@ def j01_left(spark, d):
     li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey")
     o = t.orders.select("o_orderkey", "o_custkey")
     c = t.customer.select("c_custkey", "c_nationkey")
-    n = J.bounded_broadcast(t.nation.select("n_nationkey", "n_name", "n_regionkey"), 10_000)
-    rg = J.bounded_broadcast(t.region.select("r_regionkey", "r_name"), 10_000)
+    n = t.nation.select("n_nationkey", "n_name", "n_regionkey")
+    rg = t.region.select("r_regionkey", "r_name")
     out = J.lookup_chain(li, [(o, [("l_orderkey", "o_orderkey")]), (c, [("o_custkey", "c_custkey")]),
                               (n, [("c_nationkey", "n_nationkey")]), (rg, [("n_regionkey", "r_regionkey")])])
     return out.select("l_orderkey", "l_linenumber", "l_partkey", "o_custkey", "c_nationkey", "n_name", "r_name")
@@ -88,8 +88,8 @@ def j06_chain(spark, d):
     c = t.customer.select("c_custkey", "c_nationkey")
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
     li = t.lineitem.select("l_orderkey")
-    n = J.bounded_broadcast(t.nation.select("n_nationkey", "n_name", "n_regionkey"), 10_000)
-    rg = J.bounded_broadcast(t.region.select("r_regionkey", "r_name"), 10_000)
+    n = t.nation.select("n_nationkey", "n_name", "n_regionkey")
+    rg = t.region.select("r_regionkey", "r_name")
     games = li.join(o, li.l_orderkey == o.o_orderkey).drop("l_orderkey").dropDuplicates(["o_orderkey"])
     out = (c.join(games, c.c_custkey == games.o_custkey)
             .join(n, c.c_nationkey == n.n_nationkey).join(rg, n.n_regionkey == rg.r_regionkey))
@@ -121,8 +121,8 @@ SELECT c.c_custkey, n.n_name, rg.r_name FROM customer c JOIN nation n ON c.c_nat
 JOIN region rg ON n.n_regionkey = rg.r_regionkey""")
 def j09_broadcast(spark, d):
     t = Tables(spark, d)
-    n = J.bounded_broadcast(t.nation.select("n_nationkey", "n_name", "n_regionkey"), 10_000)
-    rg = J.bounded_broadcast(t.region.select("r_regionkey", "r_name"), 10_000)
+    n = t.nation.select("n_nationkey", "n_name", "n_regionkey")
+    rg = t.region.select("r_regionkey", "r_name")
     c = t.customer.select("c_custkey", "c_nationkey")
     return (c.join(n, c.c_nationkey == n.n_nationkey).join(rg, n.n_regionkey == rg.r_regionkey)
              .select("c_custkey", "n_name", "r_name"))

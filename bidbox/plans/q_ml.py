@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import handrec as H
 from ..operators import joins as J
 from ..operators import ml as ML
+from ..operators import personal as PE
 from ..operators import relational as R
 from .bindings import SCORED_ROWS_SQL, SEAT_ROWS_SQL, scored_rows, seat_columns, seat_rows
 from .registry import Tables, register
@@ -89,11 +90,11 @@ def m02_residual(spark, d):
 
 @register("m03_isotonic")
 def m03_isotonic(spark, d):
-    """Rows-only: isotonic recalibration of the predicted pct, fitted on one hash half."""
+    """Rows-only: isotonic recalibration of the predicted pct, fitted on one hash half, for all rows."""
     s = scored_rows(Tables(spark, d)).select("session_id", "Board", "l_orderkey", "l_partkey", "l_suppkey",
                                             "Pct_NS", "Pct_NS_Pred")
     cal = ML.isotonic_recalibrate(s, "Pct_NS_Pred", "Pct_NS", ["l_orderkey", "l_partkey", "l_suppkey", "Board"])
-    return rounded(cal.select("session_id", "Board", "l_orderkey", "Pct_NS", "Pct_NS_Pred", "calibrated"))
+    return rounded(cal.select("session_id", "Board", "l_orderkey", "Pct_NS", "Pct_NS_Pred", "fit_half", "calibrated"))
 
 
 @register("m04_ensemble", sql=f"""
@@ -117,22 +118,28 @@ def m05_oof(spark, d):
 
 
 def _doc_frame(t: Tables) -> DataFrame:
+    """All documents, with a label where there is one."""
     docs = t.documents.select("doc_id", "n_chars", "lang", "source")
-    return docs.join(t.labels.select("doc_id", F.col("quality").cast("double").alias("label")), "doc_id", "inner")
+    rows = docs.join(t.labels.select("doc_id", F.col("quality").cast("double").alias("label")), "doc_id", "left")
+    return rows.withColumn("log_chars", F.log1p("n_chars")).withColumn("held_out", ML.fold_of(["doc_id"], k=5) == 0)
+
+
+def _train(df: DataFrame) -> DataFrame:
+    return df.where(F.col("label").isNotNull() & ~F.col("held_out"))
 
 
 @register("m06_classifier")
 def m06_classifier(spark, d):
-    """Rows-only: logistic regression of document quality on length, language and source."""
-    df = _doc_frame(Tables(spark, d)).withColumn("log_chars", F.log1p("n_chars"))
-    model, _ = ML.fit_classifier(df, ["log_chars"], ["lang", "source"], "label", "logistic")
-    return rounded(ML.predictions(model, df, ["doc_id", "label"]))
+    """Rows-only: logistic regression of document quality, fitted on labelled rows outside the held-out fold, scoring all documents."""
+    df = _doc_frame(Tables(spark, d))
+    model, _ = ML.fit_classifier(_train(df), ["log_chars"], ["lang", "source"], "label", "logistic")
+    return rounded(ML.predictions(model, df, ["doc_id", "label", "held_out"]))
 
 
 @register("m07_importance")
 def m07_importance(spark, d):
     """Rows-only: GBT feature importances for the same task."""
-    df = _doc_frame(Tables(spark, d)).withColumn("log_chars", F.log1p("n_chars"))
+    df = _train(_doc_frame(Tables(spark, d)))
     model, feats = ML.fit_classifier(df, ["log_chars"], ["lang", "source"], "label", "gbt")
     return rounded(ML.importances(spark, model, feats))
 
@@ -212,3 +219,51 @@ def c23_personal(spark, d):
         F.coalesce(declarer.isNotNull() & (decl_side != pair), F.lit(False)).alias("opponents_declared"),
         (F.col("Round") == 7).alias("is_passout"),
         ((vul == "Both") | (vul == pair)).alias("my_side_vul"))
+
+
+# --- C23 / F15: sections, pairs and boards of a player ----------------------------------------
+
+_VIEW_SQL = f"""
+WITH s AS ({SEAT_ROWS_SQL}),
+b AS (SELECT s.*, CASE WHEN Board % 2 = 0 THEN 'A' ELSE 'B' END AS section_name, Round AS Pair_Number_NS, l_orderkey % 7 + 1 AS Pair_Number_EW,
+        CASE WHEN Board % 13 <> 0 THEN substr('NESW', CAST(Board % 4 + 1 AS INTEGER), 1) END AS Declarer_Direction FROM s),
+r AS (SELECT b.*, CASE Declarer_Direction WHEN 'N' THEN Player_ID_N WHEN 'E' THEN Player_ID_E WHEN 'S' THEN Player_ID_S WHEN 'W' THEN Player_ID_W END AS Declarer_ID FROM b),
+w AS (SELECT session_id, min(Player_ID_E) AS p FROM r WHERE Player_ID_E IS NOT NULL GROUP BY session_id),
+seated AS (SELECT session_id, section_name, Board, Round, l_orderkey, 0 AS rank, 'N' AS seat, Player_ID_N AS pid, Player_ID_S AS partner, Pair_Number_NS AS pair FROM r
+  UNION ALL SELECT session_id, section_name, Board, Round, l_orderkey, 1, 'S', Player_ID_S, Player_ID_N, Pair_Number_NS FROM r
+  UNION ALL SELECT session_id, section_name, Board, Round, l_orderkey, 2, 'E', Player_ID_E, Player_ID_W, Pair_Number_EW FROM r
+  UNION ALL SELECT session_id, section_name, Board, Round, l_orderkey, 3, 'W', Player_ID_W, Player_ID_E, Pair_Number_EW FROM r),
+me AS (SELECT * FROM (SELECT seated.*, row_number() OVER (PARTITION BY seated.session_id ORDER BY rank, Board, Round, l_orderkey) AS rn
+       FROM seated JOIN w ON seated.session_id = w.session_id AND seated.pid = w.p) WHERE rn = 1),
+v AS (SELECT r.*, me.pid, me.seat, me.partner, CASE WHEN me.seat IN ('N', 'S') THEN 'NS' ELSE 'EW' END AS side, r.section_name = me.section_name AS sec,
+        coalesce(CASE WHEN me.seat IN ('N', 'S') THEN r.Pair_Number_NS ELSE r.Pair_Number_EW END = me.pair, FALSE) AS same_pair FROM r JOIN me ON r.session_id = me.session_id),
+f AS (SELECT v.*, sec AND same_pair AS mine FROM v)
+SELECT session_id, Board, Round, l_orderkey, CAST(pid AS VARCHAR) AS player_id, seat AS Player_Direction,
+  CASE WHEN side = 'NS' THEN 'EW' ELSE 'NS' END AS Opponent_Pair_Direction, sec AS My_Section, sec AS Our_Section, mine AS My_Pair, mine AS Our_Pair,
+  mine AS Boards_I_Played, mine AS Boards_We_Played, mine AS Our_Boards, mine AND coalesce(Declarer_ID = pid, FALSE) AS Boards_I_Declared,
+  mine AND coalesce(Declarer_ID = partner, FALSE) AS Boards_Partner_Declared,
+  mine AND coalesce((CASE WHEN Declarer_Direction IN ('N', 'S') THEN 'NS' ELSE 'EW' END) <> side AND Declarer_Direction IS NOT NULL, FALSE) AS Boards_Opponent_Declared,
+  mine AND (coalesce(Declarer_ID = pid, FALSE) OR coalesce(Declarer_ID = partner, FALSE)) AS Boards_We_Declared FROM f"""
+
+
+def _session_view(t: Tables) -> DataFrame:
+    s = seat_rows(t)
+    s = (s.withColumn("section_name", F.when(F.col("Board") % 2 == 0, "A").otherwise("B"))
+         .withColumn("Pair_Number_NS", F.col("Round")).withColumn("Pair_Number_EW", F.col("l_orderkey") % 7 + 1)
+         .withColumn("Declarer_Direction", F.when(F.col("Board") % 13 != 0, F.substring(F.lit("NESW"), (F.col("Board") % 4 + 1).cast("int"), 1))))
+    declarer = F.coalesce(*[F.when(F.col("Declarer_Direction") == x, F.col(f"Player_ID_{x}")) for x in "NESW"])
+    s = s.withColumn("Declarer_ID", declarer)
+    wanted = s.groupBy("session_id").agg(F.min("Player_ID_E").alias("player_id")).where("player_id IS NOT NULL")
+    out = PE.personalise(s, wanted, "session_id", ["Board", "Round", "l_orderkey"])
+    return out.select("session_id", "Board", "Round", "l_orderkey", "player_id", "Player_Direction", "Opponent_Pair_Direction", *PE.FLAGS)
+
+
+@register("c23_session", sql=_VIEW_SQL)
+def c23_session(spark, d):
+    """Each session seen by one of its players: section, pair and declarer flags."""
+    return _session_view(Tables(spark, d))
+
+
+@register("f15_only_my_boards", sql=f"SELECT * FROM ({_VIEW_SQL}) WHERE Boards_I_Played")
+def f15_only_my_boards(spark, d):
+    return PE.only_my_boards(_session_view(Tables(spark, d)))

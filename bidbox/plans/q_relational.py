@@ -352,24 +352,24 @@ _O7_ID = "CASE WHEN o_orderkey % 7 = 0 THEN 'X' || CAST(o_orderkey AS VARCHAR) E
 
 
 @register("o07_numeric_sort", sql=f"""
-SELECT {_O7_ID} AS id FROM orders ORDER BY TRY_CAST(id AS BIGINT) DESC NULLS LAST, id LIMIT 50""")
+SELECT {_O7_ID} AS id FROM orders ORDER BY TRY_CAST(id AS BIGINT) DESC NULLS LAST, id""")
 def o07_numeric_sort(spark, d):
     o = Tables(spark, d).orders
     ids = o.select(F.when(F.col("o_orderkey") % 7 == 0, F.concat(F.lit("X"), F.col("o_orderkey").cast("string")))
                    .otherwise(F.col("o_orderkey").cast("string")).alias("id"))
-    return ids.orderBy(R.numeric_desc("id"), "id").limit(50)
+    return ids.orderBy(R.numeric_desc("id"), "id")
 
 
 @register("o07_date_sort", sql="""
 WITH a AS (SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN strftime(o_orderdate, '%m/%d/%Y')
   WHEN 2 THEN strftime(o_orderdate, '%Y%m%d') WHEN 3 THEN strftime(o_orderdate, '%Y%m%d%H:%M') ELSE 'n/a' END AS date_text FROM orders)
 SELECT o_orderkey, date_text FROM a ORDER BY coalesce(try_strptime(date_text, '%Y-%m-%d'), try_strptime(date_text, '%m/%d/%Y'),
-  try_strptime(date_text, '%Y%m%d'), try_strptime(date_text, '%Y%m%d%H:%M')) DESC NULLS LAST, date_text, o_orderkey LIMIT 100""")
+  try_strptime(date_text, '%Y%m%d'), try_strptime(date_text, '%Y%m%d%H:%M')) DESC NULLS LAST, date_text, o_orderkey""")
 def o07_date_sort(spark, d):
-    """Newest 100 game dates among mixed-format date strings (unparsable text sorts last)."""
+    """Game dates in mixed formats, newest first (unparsable text sorts last)."""
     from .q_scalar import date_text
     o = Tables(spark, d).orders.select("o_orderkey", date_text().alias("date_text"))
-    return o.orderBy(*R.date_desc("date_text"), "o_orderkey").limit(100)
+    return o.orderBy(*R.date_desc("date_text"), "o_orderkey")
 
 
 # --- U: reshaping ------------------------------------------------------------------

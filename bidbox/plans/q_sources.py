@@ -105,7 +105,7 @@ def s11_compact(spark, d):
     o = table(spark, d, "orders").withColumn("year", F.year("o_orderdate"))
     shards = scratch_path(spark, "s11-shards")
     FS.write_partitioned(o, shards, ["year"], max_records=1_000)
-    merged = FS.compact(spark, shards, scratch_path(spark, "s11-merged"), "o_orderdate", 4)
+    merged = FS.compact(spark, shards, scratch_path(spark, "s11-merged"), "o_orderdate")
     return merged.groupBy("year").agg(F.count(F.lit(1)).alias("rows"))
 
 

@@ -64,6 +64,40 @@ def q03_guard(spark, d):
                          "-- status counts\nSELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus;")
 
 
+#: Statements that the guard is asked about, and whether it lets them through.
+_PROBES = (
+    ("SELECT 'p/*q*/r' AS a, 'a--b' AS b FROM orders", True),
+    ("SELECT o_orderkey AS `set`, o_custkey AS load FROM orders", True),
+    ("WITH x AS (SELECT * FROM orders) SELECT count(*) FROM x", True),
+    ("SELECT * FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer)", False),
+    ("SELECT reflect('java.lang.System', 'currentTimeMillis') FROM orders", False),
+    ("SELECT java_method('java.lang.System', 'currentTimeMillis') FROM orders", False),
+    ("SELECT TRANSFORM(o_orderkey) USING 'cat' AS (x) FROM orders", False),
+    ("SELECT * FROM `parquet`.`/tmp/x`", False),
+    ("SELECT * FROM parquet.`/tmp/x`", False),
+    ("SELECT * FROM orders WHERE EXISTS (SELECT 1 FROM csv.`/tmp/x`)", False),
+    ("DROP TABLE orders", False),
+    ("INSERT INTO orders SELECT * FROM orders", False),
+    ("SET spark.sql.ansi.enabled = false", False),
+    ("SELECT 1; SELECT 2", False),
+)
+
+
+@register("q03_probes", sql="SELECT probe, accepted, n FROM (VALUES "
+          + ", ".join("('" + q.replace("'", "''") + f"', {str(ok).lower()})" for q, ok in _PROBES)
+          + ") AS t(probe, accepted), (SELECT count(*) AS n FROM orders)")
+def q03_probes(spark, d):
+    """Each probe with the guard's verdict, beside the row count of the table it asks about."""
+    def verdict(sql: str) -> bool:
+        try:
+            return bool(Q.guard(spark, sql, ["orders"]))
+        except Q.QueryRejected:
+            return False
+
+    rows = spark.createDataFrame([(q, verdict(q)) for q, _ in _PROBES], "probe string, accepted boolean")
+    return rows.crossJoin(table(spark, d, "orders").agg(F.count(F.lit(1)).alias("n")))  # one row on the right
+
+
 _same("""
 (SELECT o_custkey AS k FROM orders WHERE o_orderstatus = 'F'
  INTERSECT SELECT c_custkey FROM customer WHERE c_acctbal > 0)

@@ -31,11 +31,13 @@ def i01_file_stream(spark, d):
 
 @register("i07_stream_dedupe", sql="SELECT event_id, user_id, value FROM events")
 def i07_stream_dedupe(spark, d):
-    """History plus re-sent copies (every 10th event twice) deduplicated within the watermark."""
+    """History first, then a second wave of late rows and re-sent copies (every 10th event), merged by key."""
     e = Tables(spark, d).events
     landing, sink, ckpt = (scratch_path(spark, x) for x in ("i07-landing", "i07-sink", "i07-ckpt"))
-    e.unionByName(e.where(F.col("event_id") % 10 == 0)).write.mode("append").parquet(landing)
-    out = S.dedupe_stream(spark, landing, EVENT_SCHEMA, ["event_id"], "ts", "1 day", sink, ckpt)
+    e.where(F.col("event_id") % 3 != 0).write.mode("append").parquet(landing)
+    S.dedupe_stream(spark, landing, EVENT_SCHEMA, ["event_id"], sink, ckpt)
+    e.where((F.col("event_id") % 3 == 0) | (F.col("event_id") % 10 == 0)).write.mode("append").parquet(landing)
+    out = S.dedupe_stream(spark, landing, EVENT_SCHEMA, ["event_id"], sink, ckpt)
     return out.select("event_id", "user_id", "value")
 
 
@@ -50,7 +52,7 @@ def i05_upsert(spark, d):
     keys = li.select("l_partkey", F.when(F.col("l_partkey") % 11 == 0, F.lit(None).cast("string"))
                      .otherwise(F.substring(F.lit("NESW"), (F.col("l_suppkey") % 4 + 1).cast("int"), 1)).alias("Dealer"))
     landing, cache, ckpt = (scratch_path(spark, x) for x in ("i05-landing", "i05-cache", "i05-ckpt"))
-    keys.repartition(6).write.mode("append").parquet(landing)
+    keys.write.mode("append").parquet(landing)
     return S.upsert_novel_keys(spark, landing, _KEY_SCHEMA, ["l_partkey", "Dealer"], cache, ckpt)
 
 

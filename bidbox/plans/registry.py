@@ -29,30 +29,9 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-# tables whose size grows with the scale factor (dimension tables like nation/region do not)
-SCALED = {"lineitem", "orders", "customer", "part", "supplier", "events", "documents", "pages",
-          "conversations", "embeddings", "labels", "benchmark"}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one of the driver's parquet tables (column pruning/pushdown happen at the scan).
-
-    Scan-parallelism guard: a file that is one unsplittable row group yields one scan task,
-    which would run every narrow operator after it on one core.  When a scaled table comes
-    back with fewer splits than the cluster's default parallelism it is spread round-robin;
-    filters and column pruning still reach the scan below the exchange.  On real inputs
-    (many files / row groups) the split count exceeds the parallelism and nothing is added.
-    """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if name in SCALED:
-        try:
-            par = spark.sparkContext.defaultParallelism
-            splits = df.rdd.getNumPartitions()
-        except Exception:  # e.g. a Spark Connect session has no RDD view: leave the scan as is
-            return df
-        if splits < par:
-            df = df.repartition(par)
-    return df
+    """Read one of the driver's parquet tables (column pruning and pushdown happen at the scan)."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 class Tables:

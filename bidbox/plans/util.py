@@ -6,27 +6,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# fixed values: floats are presented on a 1e-6 grid.  The grid is shifted by 0.137 units so
-# that exact short decimals (x/2, x/4, x/16 of cent values) never sit on a .5 boundary,
-# where two engines summing in different orders could round apart.
+#: Floats of query results are rounded to so many digits.
 DIGITS = 6
-SHIFT = 0.137
 
 
 def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    """Present every float/double column on the shifted 10^-digits grid.
+    """Present every float/double column at ``digits`` digits, halves away from zero.
 
-    Operators stay unrounded; only registered query outputs pass through here.  The same
-    IEEE sequence (multiply, subtract, round half away from zero, divide) runs in Spark and
-    in the DuckDB twin :func:`r`, so equal inputs give bit-equal outputs.
+    Operators stay unrounded; only registered query outputs pass through here.  Values are first
+    brought to three digits more, so that a sum's last bits, which depend on the order of
+    summation, cannot decide a half.  The same steps run in the DuckDB twin :func:`r`.
     """
     cols = []
-    scale = float(10 ** digits)
+    fine, step, scale = float(10 ** (digits + 3)), 1000.0, float(10 ** digits)
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             # "+ 0.0" turns a -0.0 (from rounding a small negative) into 0.0 in both engines
-            cols.append((F.round(c.cast("double") * scale - SHIFT) / scale + F.lit(0.0)).alias(f.name))
+            cols.append((F.round(F.round(c.cast("double") * fine) / step) / scale + F.lit(0.0)).alias(f.name))
         else:
             cols.append(c)
     return df.select(*cols)
@@ -39,4 +36,4 @@ def money(col: str) -> F.Column:
 
 def r(expr: str, digits: int = DIGITS) -> str:
     """SQL twin of :func:`rounded` for one expression."""
-    return f"(ROUND(CAST({expr} AS DOUBLE) * 1e{digits} - {SHIFT}) / 1e{digits} + 0.0)"
+    return f"(ROUND(ROUND(CAST({expr} AS DOUBLE) * 1e{digits + 3}) / 1e3) / 1e{digits} + 0.0)"

@@ -4,12 +4,14 @@ Settings that matter at scale:
 * AQE on (runtime coalescing, skew-join splitting, runtime broadcast choice).
 * ANSI on (Spark 4 default): bad casts raise; lenient paths use ``try_cast``.
 * UTC session time zone so dates compare equal to the DuckDB oracle.
-* A checkpoint directory is only set when the cluster did not name one.
+* A checkpoint directory is only set in local mode, and there only if none is named.  A cluster must name one: a folder of
+  one machine would be missed by the others.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -42,16 +44,18 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; set a local one only if none is configured.
+    """Return the shared checkpoint folder.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder (HDFS/S3/ABFS); we read it
-    from the session.  Only when it is unset (tests, local bench) do we make one.
+    On a cluster ``spark.checkpoint.dir`` names a shared folder (HDFS/S3/ABFS); it is read
+    from the session, and an error is raised if it is unset.  In local mode one is made.
     """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="bidbox-ckpt-")
     spark.sparkContext.setCheckpointDir(conf_dir)
     return spark.sparkContext.getCheckpointDir() or conf_dir
@@ -72,3 +76,9 @@ def materialize(df, tag: str):
     path = scratch_path(df.sparkSession, tag)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists in whatever store the path names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p))

@@ -51,23 +51,21 @@ def validated_scan(spark: SparkSession, root: str, manifest: DataFrame) -> DataF
     """Read every file under ``root`` and check it against a manifest (file, rows).
 
     A listed file that is missing, an unlisted extra file, or a row-count difference raises.
-    The comparison is two anti joins and one join over per-file counts (one row per file).
+    One full outer join of the manifest with the per-file counts, in one pass over the files.
     """
     df = spark.read.parquet(root)
     seen = file_manifest(df).select("file", F.col("rows").alias("rows_seen"))
-    m = manifest.select("file", "rows")
-    missing = m.join(seen, "file", "left_anti").limit(5).collect()
-    extra = seen.join(m, "file", "left_anti").limit(5).collect()
-    wrong = (m.join(seen, "file").where(F.col("rows") != F.col("rows_seen"))).limit(5).collect()
-    if missing or extra or wrong:
-        raise ManifestError(f"manifest mismatch: missing={missing} extra={extra} wrong_rows={wrong}")
+    m = manifest.select("file", F.col("rows").alias("rows_listed"))
+    wrong = m.join(seen, "file", "full_outer").where(~F.col("rows_listed").eqNullSafe(F.col("rows_seen"))).limit(5).collect()
+    if wrong:
+        raise ManifestError(f"manifest mismatch (file, rows listed, rows seen): {[tuple(r) for r in wrong]}")
     return df
 
 
 def write_partitioned(df: DataFrame, path: str, by: Sequence[str], fmt: str = "parquet",
                       compression: str = "zstd", max_records: int = 0) -> None:
-    """Partitioned write; one shuffle clusters rows of a partition value into few files."""
-    w = df.repartition(*[F.col(c) for c in by]).write.mode("overwrite").partitionBy(*by)
+    """Partitioned write; AQE's rebalance clusters a partition value's rows and cuts a large value into several tasks."""
+    w = df.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by)
     if fmt == "parquet":
         w = w.option("compression", compression)
     if max_records:
@@ -97,10 +95,11 @@ def bucketed_table(df: DataFrame, name: str, path: str, n_buckets: int, by: Sequ
     return df.sparkSession.table(name)
 
 
-def compact(spark: SparkSession, src: str, dst: str, order_col: str, n_files: int) -> DataFrame:
-    """Merge shard files into ``n_files`` range-partitioned files (empty shards contribute nothing)."""
+def compact(spark: SparkSession, src: str, dst: str, order_col: str, file_bytes: int = 128 << 20) -> DataFrame:
+    """Merge shard files into range-partitioned files of about ``file_bytes`` (empty shards contribute nothing)."""
     df = spark.read.parquet(src)
-    df.repartitionByRange(n_files, order_col).sortWithinPartitions(order_col).write.mode("overwrite") \
+    total = df.select("_metadata.file_path", "_metadata.file_size").distinct().agg(F.sum("file_size")).first()[0] or 0
+    df.repartitionByRange(max(1, -(-int(total) // file_bytes)), order_col).sortWithinPartitions(order_col).write.mode("overwrite") \
         .option("compression", "zstd").parquet(dst)
     return spark.read.parquet(dst)
 
@@ -110,16 +109,12 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).option("quoteAll", True).csv(path)
 
 
-def write_report_csv(df: DataFrame, path: str, order: Sequence[str] = (), bom: bool = True,
-                     max_rows: int = 1_000_000) -> None:
-    """S12 for report tables: non-numeric fields quoted (inner quotes doubled), numbers bare,
-    nulls empty, header first, optional UTF-8 BOM, one file.
+def write_report_csv(df: DataFrame, path: str, order: Sequence[str] = (), bom: bool = True) -> None:
+    """S12 for report tables: non-numeric fields quoted (inner quotes doubled), numbers bare, nulls empty.
 
-    Reports (feature importances, trial tables) are small; the bound is checked before the
-    single-file write (at most ``max_rows + 1`` rows are counted).
+    Rows are sorted by ``order`` across files (range partitions); every file starts with the header
+    and, unless ``bom`` is false, a UTF-8 byte-order mark.
     """
-    if df.limit(max_rows + 1).count() > max_rows:
-        raise ValueError(f"report has more than {max_rows} rows; write it with write_csv instead")
     numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)}
 
     def fmt(c: str):
@@ -130,13 +125,17 @@ def write_report_csv(df: DataFrame, path: str, order: Sequence[str] = (), bom: b
             F.concat(F.lit('"'), F.replace(col.cast("string"), F.lit('"'), F.lit('""')), F.lit('"')))
 
     header = ("\ufeff" if bom else "") + ",".join('"' + c.replace('"', '""') + '"' for c in df.columns)
-    body = df.select(F.concat_ws(",", *[fmt(c) for c in df.columns]).alias("value"), F.lit(1).alias("_part"),
-                     *[F.col(f"`{c}`").alias(f"_o{i}") for i, c in enumerate(order)])
-    head = df.sparkSession.createDataFrame([(header, 0)], "value string, _part int")
-    for i, c in enumerate(order):
-        head = head.withColumn(f"_o{i}", F.lit(None).cast(dict(df.dtypes)[c]))
-    lines = head.unionByName(body).orderBy("_part", *[f"_o{i}" for i in range(len(order))])
-    lines.select("value").coalesce(1).write.mode("overwrite").text(path)
+    rows = df.orderBy(*order) if order else df
+
+    def lines(batches):
+        import pyarrow as pa
+
+        yield pa.RecordBatch.from_pydict({"value": [header]})
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0)], names=["value"])
+
+    body = rows.select(F.concat_ws(",", *[fmt(c) for c in df.columns]).alias("value"))
+    body.mapInArrow(lines, "value string").write.mode("overwrite").text(path)
 
 
 def write_json_sidecar(df: DataFrame, path: str) -> None:

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import path_exists
+
 
 def _run(query) -> None:
     query.awaitTermination()
@@ -33,22 +35,29 @@ def ingest_new_files(spark: SparkSession, landing: str, schema: T.StructType, si
     return spark.read.schema(schema).parquet(sink)
 
 
-def dedupe_stream(spark: SparkSession, landing: str, schema: T.StructType, key: Sequence[str], ts_col: str,
-                  delay: str, sink: str, checkpoint: str) -> DataFrame:
-    """Live + history without duplicates: watermark + ``dropDuplicatesWithinWatermark``.
+def dedupe_stream(spark: SparkSession, landing: str, schema: T.StructType, key: Sequence[str], sink: str, checkpoint: str) -> DataFrame:
+    """Live + history without duplicates, by key and without a time limit: a late row is merged like any other.
 
-    The event-time column is cast to ``timestamp`` (watermarks need it, not ``timestamp_ntz``).
+    Each micro-batch appends the rows whose key no earlier batch has written (null-safe), to its own
+    ``batch_id=<n>`` folder in overwrite mode, so a retried batch rewrites the same files.
     """
-    s = spark.readStream.schema(schema).parquet(landing).withColumn(ts_col, F.col(ts_col).cast("timestamp"))
-    d = s.withWatermark(ts_col, delay).dropDuplicatesWithinWatermark(list(key))
-    q = (d.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
-         .outputMode("append").trigger(availableNow=True).start())
+    key = list(key)
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        fresh = batch.dropDuplicates(key)
+        if path_exists(batch.sparkSession, sink):
+            done = batch.sparkSession.read.schema(f"{schema.toDDL()}, batch_id long").parquet(sink).where(F.col("batch_id") != batch_id).select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(key)])
+            fresh = fresh.join(done, [fresh[c].eqNullSafe(done[f"_k{i}"]) for i, c in enumerate(key)], "left_anti")
+        fresh.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+
+    q = (spark.readStream.schema(schema).parquet(landing).writeStream.foreachBatch(merge)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     _run(q)
-    return spark.read.parquet(sink)
+    return spark.read.schema(schema).parquet(sink) if path_exists(spark, sink) else spark.createDataFrame([], schema)
 
 
 def upsert_novel_keys(spark: SparkSession, landing: str, schema: T.StructType, key: Sequence[str],
-                      cache: str, checkpoint: str, max_files_per_trigger: int = 2) -> DataFrame:
+                      cache: str, checkpoint: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Incremental cache: each micro-batch appends only keys not in the cache yet.
 
     Keys are compared null-safely.  A retried batch finds its own earlier rows in the cache and
@@ -65,7 +74,10 @@ def upsert_novel_keys(spark: SparkSession, landing: str, schema: T.StructType, k
         novel = fresh.join(existing, cond, "left_anti")
         novel.write.mode("append").parquet(cache)
 
-    q = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(landing)
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    q = (reader.parquet(landing)
          .writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     _run(q)
@@ -83,10 +95,9 @@ def split_late(spark: SparkSession, landing: str, schema: T.StructType, ts_col:
     read from the on-time rows of earlier batches (one small aggregate per batch).
     """
     def read_sink(ss: SparkSession, path: str, before: int | None = None) -> DataFrame:
-        try:
-            df = ss.read.parquet(path)
-        except Exception:  # no batch written yet
+        if not path_exists(ss, path):  # no batch written yet
             return ss.createDataFrame([], schema)
+        df = ss.read.parquet(path)
         if before is not None:
             df = df.where(F.col("batch_id") < before)
         return df.drop("batch_id")
@@ -133,23 +144,25 @@ def month_windows(df: DataFrame, date_col: str, k: int, max_date: Column | None
 
 def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
     """Dynamic partition overwrite: only the partitions present in ``df`` are replaced."""
-    (df.repartition(*by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (df.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(*by).parquet(path))
 
 
 def rebuild_invalid_partitions(df: DataFrame, path: str, by: Sequence[str]) -> list[tuple]:
-    """Rewrite only the partitions whose stored row count differs from the source's.
+    """Rewrite only the partitions whose stored rows differ from the source's in number or content (order-free hashes).
 
-    Expected and stored counts are two aggregates with one row per partition (the partition
+    Expected and stored fingerprints are two aggregates with one row per partition (the partition
     list is the only thing on the driver); valid partitions are left untouched and the bad
     ones are replaced by a dynamic partition overwrite.  Returns the rebuilt partition keys.
     """
     by = list(by)
-    expected = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_exp"))
-    try:
-        stored = df.sparkSession.read.parquet(path).groupBy(*by).agg(F.count(F.lit(1)).alias("_got"))
-    except Exception:  # nothing written yet: every partition is missing
-        stored = expected.select(*by, F.lit(None).cast("long").alias("_got")).limit(0)
+    values = [c for c in df.columns if c not in by]
+    state = F.struct(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(*values)).alias("x"), F.sum(F.pmod(F.xxhash64(*values), F.lit(1 << 31))).alias("s"))
+    expected = df.groupBy(*by).agg(state.alias("_exp"))
+    if path_exists(df.sparkSession, path):
+        stored = df.sparkSession.read.parquet(path).groupBy(*by).agg(state.alias("_got"))
+    else:  # every partition is missing
+        stored = expected.select(*by, F.col("_exp").alias("_got")).limit(0)
     cmp = expected.join(stored, by, "full")
     bad = [tuple(r[c] for c in by) for r in
            cmp.where(~F.col("_exp").eqNullSafe(F.col("_got"))).select(*by).collect()]

@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from bidbox.functions import contract as CT
@@ -144,12 +145,16 @@ def test_whole_row_anti_nulls_never_match(spark):
 
 
 def test_sql_guard(spark):
-    for bad in ["DROP TABLE x", "SELECT 1; SELECT 2", "SELECT * FROM parquet.`/tmp/x`", "INSERT INTO t VALUES (1)"]:
+    spark.range(3).createOrReplaceTempView("t")
+    for bad in ("DROP TABLE t", "SELECT 1; SELECT 2", "INSERT INTO t SELECT 1", "SELECT * FROM parquet.`/x`", "SELECT * FROM `parquet`.`/x`", "SHOW TABLES", "EXPLAIN SELECT 1",
+                "SELECT reflect('java.lang.System', 'nanoTime')", "SELECT TRANSFORM(id) USING 'cat' AS (x) FROM t", "SELECT * FROM t JOIN other ON true",
+                "SELECT (SELECT max(x) FROM csv.`/x`) FROM t", "WITH a AS (SELECT * FROM json.`/x`) SELECT * FROM a", "SET a = b", "SELECT"):
         with pytest.raises(Q.QueryRejected):
-            Q.guard(bad)
-    assert Q.guard("-- c\nWITH a AS (SELECT 1 AS x) SELECT x FROM a;").startswith("WITH")
-    with pytest.raises(Q.QueryRejected):
-        Q.expand_macros("SELECT {Nope}", {})
+            Q.guard(spark, bad, ["t"])
+    for good in ("-- c\nWITH a AS (SELECT 1 AS x) SELECT x FROM a;", "SELECT 'p/*q*/r', 'a--b' FROM t", "SELECT id AS load, id AS `set` FROM T", "FROM t SELECT id",
+                 "SELECT * FROM t WHERE EXISTS (SELECT 1 FROM t u WHERE u.id = t.id)", "SELECT explode(sequence(1, 3)) FROM t", "VALUES (1), (2)"):
+        assert Q.guard(spark, good, ["t"]) == good
+    assert spark.sql(Q.guard(spark, "SELECT 'p/*q*/r' AS x", [])).first().x == "p/*q*/r"
 
 
 def test_capped_flag(spark):
@@ -229,16 +234,17 @@ def test_discover_limit_and_glob(spark, tmp_path):
     assert len(two.inputFiles()) == 2
 
 
-def test_hot_key_split_matches_window(spark):
-    # every key "hot" (threshold 1) must give the same matchpoints / ranks as the window path
-    rows = [(0 if i % 3 == 0 else i % 20, float(i % 37)) for i in range(2000)] + [(5, None)]
+def test_hot_key_over_many_tasks(spark):
+    # one key holds most rows: its prefix sum runs over several tasks and equals a plain window
+    rows = [(0 if i % 10 else i % 20, float(i % 371)) for i in range(4000)] + [(5, None), (5, float("inf")), (6, float("-inf"))]
     df = spark.createDataFrame(rows, "b int, s double")
-    a = {(r.b, r.s, r.MP, r.MP_Top) for r in RK.matchpoints(df, ["b"], "s").collect()}
-    h = {(r.b, r.s, r.MP, r.MP_Top) for r in RK.matchpoints(df, ["b"], "s", hot_threshold=1).collect()}
-    assert a == h
-    ra = {(r.b, r.s, r.p) for r in RK.average_rank(df, "s", "p", ["b"], divide_by_count=True).collect()}
-    rh = {(r.b, r.s, r.p) for r in RK.average_rank(df, "s", "p", ["b"], divide_by_count=True, hot_threshold=5).collect()}
-    assert ra == rh
+    w, ties = Window.partitionBy("b").orderBy("s"), Window.partitionBy("b", "s")
+    known = df.where("s IS NOT NULL")
+    want = {(r.b, r.s, r.mp) for r in known.select("b", "s", (F.rank().over(w) - 1 + (F.count("*").over(ties) - 1) / 2).alias("mp")).collect()}
+    assert {(r.b, r.s, r.MP) for r in RK.matchpoints(df, ["b"], "s").collect() if r.s is not None} == want
+    whole = Window.orderBy("s")
+    want = {(r.s, r.p) for r in known.select("s", (F.rank().over(whole) + (F.count("*").over(Window.partitionBy("s")) - 1) / 2).alias("p")).collect()}
+    assert {(r.s, r.p) for r in RK.average_rank(df, "s", "p").collect() if r.s is not None} == want
 
 
 def test_report_csv_quotes_non_numeric_with_bom(spark, tmp_path):
@@ -248,10 +254,9 @@ def test_report_csv_quotes_non_numeric_with_bom(spark, tmp_path):
     df = spark.createDataFrame([("b", 2, None), ('a "x", y', 1, 0.5)], "name string, n int, w double")
     out = str(tmp_path / "rep")
     FS.write_report_csv(df, out, order=["n"])
-    (part,) = glob.glob(out + "/part-*")
-    text = open(part, "rb").read().decode("utf-8")
-    assert text.startswith("﻿")
-    lines = text.lstrip("﻿").splitlines()
+    parts = [open(p, "rb").read().decode("utf-8") for p in sorted(glob.glob(out + "/part-*"))]
+    assert all(p.startswith("﻿") for p in parts)  # every file has its header
+    lines = [parts[0].lstrip("﻿").splitlines()[0]] + [x for p in parts for x in p.splitlines()[1:]]
     assert lines == ['"name","n","w"', '"a ""x"", y",1,0.5', '"b",2,']
 
 
@@ -260,3 +265,48 @@ def test_capped_limit_clamp_and_default(spark):
     assert R.capped(df, [F.col("id")], limit="abc").count() == 200     # not an integer -> default
     assert R.capped(df, [F.col("id")], limit=0).count() == 1           # clamped to >= 1
     assert R.capped(df, [F.col("id")], limit=10**9).count() == 300     # clamped to 2000, all rows
+
+
+def test_rounding_of_query_results(spark):
+    from bidbox.plans.util import rounded
+    r = rounded(spark.createDataFrame([(10.006, -0.0, 1.005e-6)], "a double, b double, c double"), 2).first()
+    assert (r.a, r.b, r.c) == (10.01, 0.0, 0.0)
+
+
+def test_personal_flags_and_filter(spark):
+    from bidbox.operators import personal as PE
+    rows = [("s", "A", 1, 1, 1, 5, 10, 20, 30, 40, "N", 10), ("s", "A", 2, 1, 1, 6, 10, 21, 30, 41, "E", 21), ("s", "B", 3, 1, 1, 5, 11, 22, 31, 42, None, None),
+            ("s", "A", 4, 2, 2, 5, 12, 20, 32, 40, "S", 32)]
+    df = spark.createDataFrame(rows, "session_id string, section_name string, Board int, Round int, Pair_Number_NS int, Pair_Number_EW int, Player_ID_N int, Player_ID_E int, "
+                                     "Player_ID_S int, Player_ID_W int, Declarer_Direction string, Declarer_ID int")
+    asked = spark.createDataFrame([("s", "30"), ("s", "999")], "session_id string, player_id string")
+    got = {r.Board: r for r in PE.personalise(df, asked).collect()}
+    assert {b: r.Boards_I_Played for b, r in got.items()} == {1: True, 2: True, 3: False, 4: False}
+    assert got[1].Boards_Partner_Declared and got[1].Boards_We_Declared and not got[1].Boards_I_Declared
+    assert got[2].Boards_Opponent_Declared and got[1].Opponent_Pair_Direction == "EW" and got[4].My_Section and not got[3].My_Section
+    assert sorted(r.Board for r in PE.only_my_boards(PE.personalise(df, asked)).collect()) == [1, 2]
+
+
+def test_parallel_counts(spark):
+    from bidbox.operators import schema as SC
+    SC.assert_equal_counts({"a": spark.range(3), "b": spark.range(3, 6)})
+    with pytest.raises(SC.SchemaError):
+        SC.assert_equal_counts({"a": spark.range(3), "b": spark.range(4)})
+    assert "s: string" in SC.schema_problems(spark.sql("SELECT 'x' AS s, 'y' AS t").schema, keep_strings=["t"])
+
+
+def test_no_scratch_folder_off_local_mode(spark, monkeypatch):
+    from bidbox import session as SE
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Fake:
+        sparkContext = Context()
+        conf = type("C", (), {"get": staticmethod(lambda k, d=None: d)})
+
+    with pytest.raises(RuntimeError):
+        SE.ensure_checkpoint_dir(Fake())

@@ -1,5 +1,5 @@
 """Library behaviours on small inline fixtures: malformed documents, constraint checks,
-strict/lenient schema operations, manifests, bounded broadcasts, the SQL self view."""
+strict/lenient schema operations, manifests, the SQL self view."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -57,9 +57,9 @@ def test_strict_and_lenient_schema_ops(spark):
     assert SC.schema_problems(df.schema) == ["b: double"]
 
 
-def test_in_keys_long_list_becomes_semi_join(spark):
+def test_in_keys_is_a_semi_join(spark):
     df = spark.range(50).withColumnRenamed("id", "k")
-    keys = [str(i) for i in range(0, FL.ISIN_LIMIT + 5)]
+    keys = [str(i) for i in range(0, 10_005)]
     assert FL.in_keys(df, "k", keys[:3]).count() == 3
     assert FL.in_keys(df, "k", keys).count() == 50
 
@@ -74,15 +74,6 @@ def test_manifest_mismatch_raises(spark, tmp_path):
         FS.validated_scan(spark, root, bad)
 
 
-def test_bounded_broadcast_checks_size(spark):
-    small = spark.range(10)
-    big = spark.range(1000)
-    j1 = spark.range(100).join(J.bounded_broadcast(small, 100), "id")
-    j2 = spark.range(100).join(J.bounded_broadcast(big, 100), "id")
-    assert "BroadcastHashJoin" in j1._jdf.queryExecution().executedPlan().toString() or j1.count() == 10
-    assert j2.count() == 100
-
-
 def test_self_sql_with_macros_and_args(spark):
     df = spark.createDataFrame([(1, "N"), (2, "S"), (3, "N")], "x int, seat string")
     out = Q.self_sql(spark, df, "SELECT {Col} AS v WHERE seat = :s", macros={"Col": "x"}, args={"s": "N"})

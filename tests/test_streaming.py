@@ -42,9 +42,13 @@ def test_stream_dedupe_equals_batch_distinct(spark):
     landing = _tmp("dd") + "/l"
     base = spark.range(300).select(F.col("id"), F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_interval(0,0,0,0,0,0,id)").alias("ts"),
                                    (F.col("id") * 0.5).alias("v"))
-    base.unionByName(base.where("id % 7 = 0")).write.parquet(landing)
-    out = S.dedupe_stream(spark, landing, schema, ["id"], "ts", "1 hour", _tmp("dds") + "/s", _tmp("ddc"))
-    assert sorted(r.id for r in out.collect()) == list(range(300))
+    sink, ckpt = _tmp("dds") + "/s", _tmp("ddc")
+    base.where("id >= 20").unionByName(base.where("id % 7 = 0 AND id >= 20")).write.parquet(landing)
+    S.dedupe_stream(spark, landing, schema, ["id"], sink, ckpt)
+    base.where("id < 20 OR id % 7 = 0").write.mode("append").parquet(landing)  # late rows in a second batch
+    assert sorted(r.id for r in S.dedupe_stream(spark, landing, schema, ["id"], sink, ckpt).collect()) == list(range(300))
+    again = S.dedupe_stream(spark, landing, schema, ["id"], sink, _tmp("ddc2"))  # a lost checkpoint: everything is replayed
+    assert sorted(r.id for r in again.collect()) == list(range(300))
 
 
 def test_late_router_replay_is_idempotent(spark):
