@@ -170,14 +170,9 @@ def _similar(chunk: Chunk, pairs: int, threshold: float) -> np.ndarray:
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose texts reach the threshold.
-
-    The texts of ids that occur in a pair are fetched once; they then travel by id in two equi-joins.
-    """
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    few = materialize(texts.join(ids, "doc_id", "left_semi"), "bag")
-    with_a = pairs.join(few.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-    with_b = with_a.join(few.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
+    """The pairs (a, b) whose texts reach the threshold; the texts travel by id in two equi-joins."""
+    with_a = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a")
+    with_b = with_a.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b")
     return arrow_map(with_b.select("a", "b", "text_a", "text_b"), _verify(threshold), "a long, b long").distinct()
 
 
@@ -193,6 +188,8 @@ def _block_pairs(threshold: float, first: int | None):
     def pairs(group: pa.Table) -> pa.Table:
         few, all_ = (group.filter(pc.equal(group["side"], side)) for side in (0, 1))
         a, b = (np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint8).reshape(len(t), REGISTERS) for t in (few, all_))
+        band = few["band_no"][0].as_py() if len(few) else 0
+        keys_a, keys_b = (t["bands"].combine_chunks().flatten().to_numpy().reshape(len(t), BANDS) for t in (few, all_))
         ia, ca, sa, _ = (few[c].to_numpy() for c in ("doc_id", "comp", "size", "minor"))
         ib, cb, sb, minor = (all_[c].to_numpy() for c in ("doc_id", "comp", "size", "minor"))
         out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -201,6 +198,8 @@ def _block_pairs(threshold: float, first: int | None):
             at = np.flatnonzero(ok)
             agree = (b[at] == a[i]).sum(axis=1)
             at, agree = at[agree >= least], agree[agree >= least]
+            here = (keys_b[at] == keys_a[i]).argmax(axis=1) == band  # a pair counts in the first band that it shares
+            at, agree = at[here], agree[here]
             if first is not None and len(at) > first:
                 at = at[np.argsort(-agree, kind="stable")[:first]]
             out_a.append(np.full(len(at), ia[i]))
@@ -219,15 +218,15 @@ def _apart(members: DataFrame, reps: DataFrame, comp: DataFrame, threshold: floa
     put = members.join(comp.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("comp", F.coalesce("component", "doc_id")).drop("component")
     hub = put.groupBy("band").agg(F.min(F.struct("doc_id", "comp")).alias("hub"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n")).where("lo != hi AND n > 2")
     rest = put.join(hub.select("band", "n", "hub"), "band").where("doc_id != hub.doc_id").withColumn("minor", F.col("comp") != F.col("hub.comp"))
-    rest = materialize(rest.select("doc_id", "size", "comp", "band", "n", "minor"), "bag")
+    rest = materialize(rest.select("doc_id", "size", "comp", "band", "band_no", "n", "minor"), "bag")
     few = rest.where("minor").groupBy("band").agg(F.count("*").alias("few"))
     rest = rest.join(few, "band")
     if not few.limit(1).count():
         return None
     wide, deep = F.ceil(F.col("n") / BLOCK).cast("int"), F.ceil(F.col("few") / BLOCK).cast("int")
-    rest = (rest.join(reps.select("doc_id", "sig"), "doc_id")
+    rest = (rest.join(reps.select("doc_id", "sig", "bands"), "doc_id")
             .withColumn("x", F.pmod(F.xxhash64(F.lit(1), "doc_id"), deep).cast("int")).withColumn("y", F.pmod(F.xxhash64(F.lit(2), "doc_id"), wide).cast("int")))
-    cols = ["band", "x", "y", "side", "doc_id", "size", "comp", "minor", "sig"]
+    cols = ["band", "band_no", "x", "y", "side", "doc_id", "size", "comp", "minor", "sig", "bands"]
     one = rest.where("minor").withColumn("y", F.explode(F.sequence(F.lit(0), wide - 1))).withColumn("side", F.lit(0)).select(*cols)
     two = rest.withColumn("x", F.explode(F.sequence(F.lit(0), deep - 1))).withColumn("side", F.lit(1)).select(*cols)
     return arrow_groups(one.union(two), ["band", "x", "y"], _block_pairs(threshold, first), "a long, b long").distinct()
@@ -245,12 +244,15 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     same = ["bag1", "bag2", "size"]
     reps = materialize(marks.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.min_by(F.struct("bands", "sig"), "doc_id").alias("x"))
                        .select(F.col("rep").alias("doc_id"), *same, "x.bands", "x.sig"), "bag")
-    members = materialize(reps.select("doc_id", "size", F.explode("bands").alias("band")), "bag")
+    members = materialize(reps.select("doc_id", "size", F.posexplode("bands").alias("band_no", "band")), "bag")
     hubs = members.groupBy("band").agg(F.min(F.struct("doc_id", "size")).alias("hub"), F.count("*").alias("n")).where("n > 1")
     first = (members.join(hubs.select("band", "hub.doc_id", "hub.size").toDF("band", "a", "size_a"), "band")
              .where((F.col("a") != F.col("doc_id")) & _could("size", "size_a", threshold))
              .select("a", F.col("doc_id").alias("b")).distinct())
     tried = materialize(first, "bag")
+    # texts that share a bucket are fetched once for all rounds
+    shared = members.join(hubs.select("band"), "band").select("doc_id").distinct()
+    texts = materialize(texts.join(shared.hint("merge"), "doc_id", "left_semi"), "bag")
     linked = materialize(verified(tried, texts, threshold), "bag")
     comp = components(linked)
     for best in (FIRST, None):
