@@ -18,6 +18,7 @@ from .relational import capped
 
 # fixed values: functions that call into the JVM or read files
 _REFUSED_FUNCTIONS = {"reflect", "try_reflect", "java_method", "read_files", "input_file_name", "input_file_block_start", "input_file_block_length"}
+_SUBQUERIES = {"ScalarSubquery", "Exists", "ListQuery", "LateralSubquery", "FunctionTableSubqueryArgumentExpression"}
 _STRINGS = re.compile(r"'(?:[^'\\]|\\.)*'")
 
 
@@ -47,7 +48,7 @@ def _walk(node) -> Iterator:
                 continue
             for child in _seq(below.toSeq()):
                 yield from _walk(child)
-    if node.getClass().getName().startswith("org.apache.spark.sql.catalyst.expressions.") and "Subquery" in kind or kind in ("Exists", "ListQuery"):
+    if kind in _SUBQUERIES:
         yield from _walk(node.plan())
 
 

@@ -49,24 +49,13 @@ l4 AS (SELECT l3.*, abs(z_luck) > 1.96 AS is_lucky_significant,
        FROM (SELECT l3.*, ROUND(pair_mp_avg * 1e9) / 1e9 AS mp_key FROM l3) l3)
 """
 
-_REPORT_COLS = ["session_id", "Pair_Number_NS", "n_boards"] + [r(c) for c in (
+_REPORT_COLS = ["session_id", "Pair_Number_NS", "n_boards"] + [f"{r(c)} AS {c}" for c in (
     "actual_session_pct", "predicted_session_pct", "actual_board_std", "pred_board_std",
     "mean_board_pred_sigma", "pair_mp_avg", "luck_delta", "sem", "model_sigma_session",
-    "total_sigma", "ci_lo", "ci_hi", "z_luck")] + ["is_lucky_significant", r("skill_pct")]
+    "total_sigma", "ci_lo", "ci_hi", "z_luck")] + ["is_lucky_significant", f"{r('skill_pct')} AS skill_pct"]
 
 
-def _aliased(cols):
-    out = []
-    for c in cols:
-        if c.startswith("(ROUND(CAST("):
-            name = c[len("(ROUND(CAST("):].split(" AS DOUBLE")[0]
-            out.append(f"{c} AS {name}")
-        else:
-            out.append(c)
-    return ", ".join(out)
-
-
-register("c21_luck", sql=_LUCK_SQL + f"SELECT {_aliased(_REPORT_COLS)} FROM l4")(flagship)
+register("c21_luck", sql=_LUCK_SQL + f"SELECT {', '.join(_REPORT_COLS)} FROM l4")(flagship)
 
 
 @register("w07_matchpoints", sql=f"""

@@ -148,10 +148,10 @@ def test_sql_guard(spark):
     spark.range(3).createOrReplaceTempView("t")
     for bad in ("DROP TABLE t", "SELECT 1; SELECT 2", "INSERT INTO t SELECT 1", "SELECT * FROM parquet.`/x`", "SELECT * FROM `parquet`.`/x`", "SHOW TABLES", "EXPLAIN SELECT 1",
                 "SELECT reflect('java.lang.System', 'nanoTime')", "SELECT TRANSFORM(id) USING 'cat' AS (x) FROM t", "SELECT * FROM t JOIN other ON true",
-                "SELECT (SELECT max(x) FROM csv.`/x`) FROM t", "WITH a AS (SELECT * FROM json.`/x`) SELECT * FROM a", "SET a = b", "SELECT"):
+                "SELECT (SELECT max(x) FROM csv.`/x`) FROM t", "WITH a AS (SELECT * FROM json.`/x`) SELECT * FROM a", "SET a = b", "SELECT", "SELECT * FROM t WHERE id IN (SELECT id FROM csv.`/x`)"):
         with pytest.raises(Q.QueryRejected):
             Q.guard(spark, bad, ["t"])
-    for good in ("-- c\nWITH a AS (SELECT 1 AS x) SELECT x FROM a;", "SELECT 'p/*q*/r', 'a--b' FROM t", "SELECT id AS load, id AS `set` FROM T", "FROM t SELECT id",
+    for good in ("-- c\nWITH a AS (SELECT 1 AS x) SELECT x FROM a;", "SELECT 'p/*q*/r', 'a--b' FROM t", "SELECT id AS load, id AS `set` FROM T", "FROM t SELECT id", "SELECT * FROM t WHERE id IN (SELECT id FROM t)", "SELECT (SELECT max(id) FROM t), u.id FROM t, LATERAL (SELECT t.id) u",
                  "SELECT * FROM t WHERE EXISTS (SELECT 1 FROM t u WHERE u.id = t.id)", "SELECT explode(sequence(1, 3)) FROM t", "VALUES (1), (2)"):
         assert Q.guard(spark, good, ["t"]) == good
     assert spark.sql(Q.guard(spark, "SELECT 'p/*q*/r' AS x", [])).first().x == "p/*q*/r"
