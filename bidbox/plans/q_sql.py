@@ -95,7 +95,7 @@ def q03_probes(spark, d):
             return False
 
     rows = spark.createDataFrame([(q, verdict(q)) for q, _ in _PROBES], "probe string, accepted boolean")
-    return rows.crossJoin(table(spark, d, "orders").agg(F.count(F.lit(1)).alias("n")))  # one row on the right
+    return rows.crossJoin(Tables(spark, d).orders.agg(F.count(F.lit(1)).alias("n")))  # one row on the right
 
 
 _same("""
