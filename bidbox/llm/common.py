@@ -44,11 +44,16 @@ def fold(doc_id: str = "doc_id") -> Column:
 
 
 _shipped: set[str] = set()
+#: Rows of a batch that goes to a Python worker, unless the session sets its own: batches of long texts stay small.
+BATCH_ROWS = "2000"
+_BATCH_KEY, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
 
 
 def ship(spark: SparkSession) -> None:
     """Give executors this package, once a Spark application (they need not have the driver's folders)."""
     context = spark.sparkContext
+    if spark.conf.get(_BATCH_KEY) == _BATCH_DEFAULT and context.getConf().get(_BATCH_KEY) is None:
+        spark.conf.set(_BATCH_KEY, BATCH_ROWS)
     if context.applicationId not in _shipped:
         root = Path(__file__).resolve().parents[2]
         at = tempfile.mkdtemp(prefix="bidbox-code-")  # the driver serves the archive from here while the application runs

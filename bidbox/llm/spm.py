@@ -32,9 +32,11 @@ from bidbox.llm.common import arrow_map
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: Words remembered between batches (and tasks of one Python worker); the memory is emptied beyond it.
-MOST_WORDS = 400_000
+MOST_WORDS = 150_000
+#: Neighbouring pieces whose stability is remembered.
+MOST_PAIRS = 150_000
 #: Bytes of text whose distinct words are sorted together.
-SLICE = 8 << 20
+SLICE = 2 << 20
 _CUT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
 #: Fixed values of the file format: model and piece types.
@@ -92,7 +94,7 @@ class Model:
 
     def stable(self, a: str, b: str) -> bool:
         """Whether BPE leaves the pieces a and b of their joined text as they are; an empty a asks whether b is one piece."""
-        if len(self._stable) > 1_000_000:
+        if len(self._stable) > MOST_PAIRS:
             self._stable.clear()
         known = self._stable[a, b] = self.merge(a + b) == ([a, b] if a else [b])
         return known

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 SPACE = np.zeros(256, bool)
 SPACE[[32, *range(9, 14)]] = True
 
