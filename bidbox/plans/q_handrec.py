@@ -378,16 +378,18 @@ def a24_ev(spark, d):
     expectations (clubs vs diamonds) tie exactly; ties go to the lower level, then the
     higher strain letter.
     """
-    li = Tables(spark, d).lineitem.select("l_partkey", (F.col("l_quantity").cast("int") % 14).alias("tricks"))
-    dist = li.groupBy("l_partkey", "tricks").agg(F.count(F.lit(1)).alias("n"))
-    tot = dist.groupBy("l_partkey").agg(F.sum("n").alias("total"))
-    vul = H.vul_from_board(F.col("l_partkey") % 16 + 1).isin("NS", "Both")
-    grid = (dist.join(tot, "l_partkey").withColumn("vul", vul)
-                .withColumn("level", F.explode(F.sequence(F.lit(1), F.lit(7))))
-                .withColumn("strain", F.explode(F.array(*[F.lit(x) for x in "CDHSN"]))))
+    tricks = F.col("l_quantity").cast("int") % 14
+    li = Tables(spark, d).lineitem.select("l_partkey", tricks.alias("tricks"))
+    counts = li.groupBy("l_partkey").agg(F.count("tricks").alias("total"), F.array(*[F.count_if(F.col("tricks") == k) for k in range(14)]).alias("n"))
+    # 35 contracts, vulnerable or not, with their score for each number of tricks: 70 rows whatever the data
+    cells = (spark.range(2 * 7).select((F.col("id") % 2 == 1).alias("vul"), (F.floor(F.col("id") / 2) + 1).cast("int").alias("level"))
+             .withColumn("strain", F.explode(F.array(*[F.lit(x) for x in "CDHSN"])))
+             .withColumn("tricks", F.explode(F.sequence(F.lit(0), F.lit(13)))))
     score = S.contract_score("level", "strain", F.lit(""), "vul", "tricks")
-    ev = (grid.groupBy("l_partkey", "level", "strain")
-              .agg(F.sum(F.col("n") * score).alias("ev_num"), F.first("total").alias("total")))
+    table = cells.groupBy("vul", "level", "strain").agg(F.transform(F.array_sort(F.collect_list(F.struct("tricks", score.alias("s")))), lambda x: x["s"]).alias("scores"))
+    vul = H.vul_from_board(F.col("l_partkey") % 16 + 1).isin("NS", "Both")
+    ev = counts.withColumn("vul", vul).join(F.broadcast(table), "vul").withColumn(
+        "ev_num", F.aggregate(F.zip_with("n", "scores", lambda n, x: n * x), F.lit(0).cast("long"), lambda a, x: a + x))
     best = ev.groupBy("l_partkey").agg(
         F.max_by(F.concat(F.col("level").cast("string"), "strain"),
                  F.struct("ev_num", (-F.col("level")).alias("neg_level"), "strain")).alias("best_contract"),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import contract as CT
+from ..operators import joins as J
 from ..operators import relational as R
 from ..operators import sql_surface as Q
 from .bindings import SEAT_ROWS_SQL, SCORED_ROWS_SQL, scored_rows, seat_rows
@@ -157,18 +158,10 @@ SELECT a.event_id, count(c.event_id) AS n_next_hour FROM events a
 LEFT JOIN events c ON a.user_id = c.user_id AND c.ts > a.ts AND c.ts <= a.ts + INTERVAL 1 HOUR
 GROUP BY a.event_id""")
 def q04j_range_join(spark, d):
-    """Range join as an equi-join on (user, hour bucket) plus the exact range filter.
-
-    Each right row is offered to its own bucket and the previous one, so every pair within
-    one hour meets in exactly one bucket; no per-user all-pairs comparison is planned.
-    """
+    """Events of the same user in the next hour: a count over a RANGE frame, no pair is built."""
     return Q.session_sql(spark, _tables(spark, d, ["events"]), """
-        WITH e AS (SELECT event_id, user_id, ts, CAST(floor(unix_seconds(CAST(ts AS TIMESTAMP)) / 3600) AS BIGINT) AS b
-                   FROM events),
-        c AS (SELECT event_id, user_id, ts, explode(array(b, b - 1)) AS jb FROM e)
-        SELECT a.event_id, count(c.event_id) AS n_next_hour FROM e a
-        LEFT JOIN c ON a.user_id = c.user_id AND a.b = c.jb AND c.ts > a.ts AND c.ts <= a.ts + INTERVAL 1 HOUR
-        GROUP BY a.event_id""")
+        SELECT event_id, count(*) OVER (PARTITION BY user_id ORDER BY unix_micros(CAST(ts AS TIMESTAMP))
+                                        RANGE BETWEEN 1L FOLLOWING AND 3600000000L FOLLOWING) AS n_next_hour FROM events""")
 
 
 @register("q04k_asof", sql="""
@@ -176,18 +169,11 @@ WITH p AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase
 v AS (SELECT event_id AS view_id, user_id, ts AS view_ts FROM events WHERE event_type = 'view')
 SELECT p.event_id, v.view_id, v.view_ts FROM p ASOF LEFT JOIN v ON p.user_id = v.user_id AND p.ts >= v.view_ts""")
 def q04k_asof(spark, d):
-    """As-of join: the latest view at or before each purchase of the same user, as a running
-    ``last(... IGNORE NULLS)`` window over the union of both streams (no pairwise join)."""
-    return Q.session_sql(spark, _tables(spark, d, ["events"]), """
-        WITH u AS (SELECT event_id, user_id, ts, event_type,
-                          CASE WHEN event_type = 'view' THEN 0 ELSE 1 END AS kind FROM events
-                   WHERE event_type IN ('view', 'purchase')),
-        w AS (SELECT u.*,
-                last(CASE WHEN kind = 0 THEN event_id END, TRUE) OVER (PARTITION BY user_id ORDER BY ts, kind, event_id
-                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS view_id,
-                last(CASE WHEN kind = 0 THEN ts END, TRUE) OVER (PARTITION BY user_id ORDER BY ts, kind, event_id
-                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS view_ts FROM u)
-        SELECT event_id, view_id, view_ts FROM w WHERE kind = 1""")
+    """As-of join: the latest view at or before each purchase of the same user (the skew-safe operator)."""
+    e = _tables(spark, d, ["events"])["events"]
+    bought = e.where("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    seen = e.where("event_type = 'view'").select(F.col("event_id").alias("view_id"), "user_id", "ts", F.col("ts").alias("view_ts"))
+    return J.asof_join(bought, seen, ["user_id"], "ts", ["view_id", "view_ts"], tie="view_id").select("event_id", "view_id", "view_ts")
 
 
 # --- Q5: vectorised UDF --------------------------------------------------------------
@@ -195,19 +181,10 @@ def q04k_asof(spark, d):
 @F.pandas_udf(T.StringType())
 def lead_udf(s: pd.Series) -> pd.Series:
     """Q5: the opening-lead normaliser as an Arrow-batched pandas UDF (same rule as C2)."""
-    suits, ranks = CT.SUITS, CT.RANKS
-
-    def one(x):
-        if x is None or not isinstance(x, str):
-            return None
-        x = x.replace("10", "T")
-        if len(x) != 2:
-            return None
-        if x[0] not in suits:
-            x = x[1] + x[0]
-        return x if x[0] in suits and x[1] in ranks else None
-
-    return s.map(one)
+    x = s.str.replace("10", "T", regex=False)
+    x = x.where(x.str.len() == 2)
+    x = x.where(x.str[0].isin(list(CT.SUITS)), x.str[1] + x.str[0])
+    return x.where(x.str[0].isin(list(CT.SUITS)) & x.str[1].isin(list(CT.RANKS)))
 
 
 @register("q05_udf", sql=f"""
