@@ -36,6 +36,11 @@ HEADLINE = [
     "s18_html_links",
     "i12_session_windows",
     "m01_ridge",
+    "m03_isotonic",
+    "j20_asof",
+    "s12_csv",
+    "i05_upsert",
+    "i07_stream_dedupe",
 ]
 
 
