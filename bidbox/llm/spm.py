@@ -32,13 +32,16 @@ from bidbox.llm.common import arrow_map
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: Words remembered between batches (and tasks of one Python worker); the memory is emptied beyond it.
-MOST_WORDS = 150_000
+MOST_WORDS = 200_000
 #: Neighbouring pieces whose stability is remembered.
-MOST_PAIRS = 150_000
+MOST_PAIRS = 300_000
 #: Bytes of text whose distinct words are sorted together.
 SLICE = 2 << 20
 _CUT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
+#: Codes beside ids: no piece before the first, and the first code of a character that is no piece.
+_NONE, _CHARACTER = 1 << 23, 1 << 21
+
 #: Fixed values of the file format: model and piece types.
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -65,10 +68,15 @@ class Model:
         self.score = [p.score for p in m.pieces]
         if any(MARK in p.lstrip(MARK) for p in self.id):
             raise ValueError("a piece holds a mark after another character")
-        self.longest = max(map(len, self.id))
+        import ahocorasick
+
+        self.finder = ahocorasick.Automaton()  # all pieces that end at each character, longest first
+        for piece, i in self.id.items():
+            self.finder.add_word(piece, (i, len(piece)))
+        self.finder.make_automaton()
         self.unknown_score = min(self.score[i] for i in self.id.values()) - 10.0
         self.known: dict[str, bytes] = {}
-        self._stable: dict[tuple[str, str], bool] = {}
+        self._stable: dict[int, bool] = {}
 
     # words ----------------------------------------------------------------------------------------------
 
@@ -92,65 +100,82 @@ class Model:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def stable(self, a: str, b: str) -> bool:
-        """Whether BPE leaves the pieces a and b of their joined text as they are; an empty a asks whether b is one piece."""
+    def stable(self, key: int) -> bool:
+        """Whether BPE leaves the two pieces of a key as they are; without a first piece, whether it makes the second whole."""
         if len(self._stable) > MOST_PAIRS:
             self._stable.clear()
-        known = self._stable[a, b] = self.merge(a + b) == ([a, b] if a else [b])
+        a, b = key >> 24, key & 0xFFFFFF
+        right = self.spelling(b)
+        if a == _NONE:
+            known = self.merge(right) == [right]
+        else:
+            left = self.spelling(a)
+            known = self.merge(left + right) == [left, right]
+        self._stable[key] = known
         return known
 
-    def segment_sorted(self, words: list[str]) -> Iterator[list[str]]:
-        """Pieces of each of the sorted distinct words; states of the prefix shared with the word before are kept."""
-        last: list[str] = [""]  # last[i]: last piece of the first i characters
-        best: list[float] = [0.0]
+    def spelling(self, code: int) -> str:
+        return self.pieces[code] if code < _CHARACTER else chr(code - _CHARACTER)
+
+    def segment_sorted(self, words: list[str]) -> Iterator[list[int]]:
+        """Codes of the pieces of each of the sorted distinct words: an id, or _CHARACTER plus the code point of a character that is no piece.
+
+        ``last`` and ``long`` hold the last piece of each prefix and its length, ``best`` its score; those of the prefix shared with the word before are kept.
+        """
+        last, long, best = [_NONE], [0], [0.0]
         before = ""
-        pieces, longest, score, stable, known, unigram = self.id, self.longest, self.score, self.stable, self._stable, self.unigram
+        score, known, stable, found = self.score, self._stable, self.stable, self.finder.iter
         for word in words:
             same = 0
             for a, b in zip(before, word, strict=False):
                 if a != b:
                     break
                 same += 1
-            del last[same + 1:], best[same + 1:]
+            del last[same + 1:], long[same + 1:], best[same + 1:]
             before = word
-            for end in range(same + 1, len(word) + 1):
-                low = end - longest if end > longest else 0
-                if unigram:
-                    pick = word[end - 1:end]
-                    top = best[end - 1] + (score[pieces[pick]] if pick in pieces else self.unknown_score)
-                    for start in range(low, end - 1):
-                        i = pieces.get(word[start:end])
-                        if i is not None and best[start] + score[i] > top:
-                            top, pick = best[start] + score[i], word[start:end]
+            if self.unigram:
+                ends: dict[int, list[tuple[int, int]]] = {}
+                for at, match in found(word):
+                    if at >= same:
+                        ends.setdefault(at, []).append(match)
+                for at in range(same, len(word)):
+                    top, pick, size = best[at] + self.unknown_score, _CHARACTER + ord(word[at]), 1
+                    for code, n in ends.get(at, ()):
+                        if best[at + 1 - n] + score[code] > top or (n == 1 and pick >= _CHARACTER):
+                            top, pick, size = best[at + 1 - n] + score[code], code, n
+                    last.append(pick)
+                    long.append(size)
                     best.append(top)
-                else:
-                    for start in range(low, end):
-                        pick = word[start:end]
-                        if pick in pieces or start == end - 1:
-                            pair = (last[start], pick)
-                            fits = known.get(pair)
-                            if fits is None:
-                                fits = stable(*pair)
-                            if fits:
-                                break
-                last.append(pick)
+            else:
+                end = same  # prefixes up to here are done
+                for at, (code, n) in found(word):
+                    if at < end:
+                        continue
+                    while end < at:  # no piece ends there: a character by itself
+                        last.append(_CHARACTER + ord(word[end]))
+                        long.append(1)
+                        end += 1
+                    key = last[at + 1 - n] << 24 | code
+                    fits = known.get(key)
+                    if stable(key) if fits is None else fits:
+                        last.append(code)
+                        long.append(n)
+                        end += 1
+                for at in range(end, len(word)):
+                    last.append(_CHARACTER + ord(word[at]))
+                    long.append(1)
             out, end = [], len(word)
             while end:
                 out.append(last[end])
-                end -= len(last[end])
+                end -= long[end]
             out.reverse()
             yield out
 
-    def ids(self, pieces: list[str]) -> bytes:
+    def ids(self, codes: list[int]) -> bytes:
         """Ids as int32 in memory order; a character that is no piece becomes its bytes' pieces."""
-        out = array("i")
-        for p in pieces:
-            i = self.id.get(p)
-            if i is not None:
-                out.append(i)
-            else:
-                out.extend(self.bytes[b] for b in p.encode())
-        return out.tobytes()
+        if codes and max(codes) >= _CHARACTER:
+            codes = [i for c in codes for i in ([c] if c < _CHARACTER else [self.bytes[b] for b in chr(c - _CHARACTER).encode()])]
+        return array("i", codes).tobytes()
 
     # texts ----------------------------------------------------------------------------------------------
 
@@ -163,8 +188,8 @@ class Model:
             known.clear()
             new = set().union(*[ws for ws in cut if ws])
         words = sorted(new)
-        for w, pieces in zip(words, self.segment_sorted(words), strict=True):
-            known[w] = self.ids(pieces)
+        for w, codes in zip(words, self.segment_sorted(words), strict=True):
+            known[w] = self.ids(codes)
         return [None if ws is None else b"".join([known[w] for w in ws]) for ws in cut]
 
     def decode(self, ids: bytes | None) -> str | None:

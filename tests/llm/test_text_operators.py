@@ -114,9 +114,9 @@ def test_unigram_segmentation_has_the_best_score():
             top.append(max(top[s] + (m.score[m.id[w[s:end]]] if w[s:end] in m.id else m.unknown_score if end - s == 1 else -1e18) for s in range(end)))
         return top[-1]
 
-    for w, pieces in zip(words, m.segment_sorted(words), strict=True):
-        assert "".join(pieces) == w
-        assert sum(m.score[m.id[p]] if p in m.id else m.unknown_score for p in pieces) == best(w)
+    for w, codes in zip(words, m.segment_sorted(words), strict=True):
+        assert "".join(map(m.spelling, codes)) == w
+        assert sum(m.score[c] if c < len(m.pieces) else m.unknown_score for c in codes) == best(w)
 
 
 def test_spm_frames(spark):
