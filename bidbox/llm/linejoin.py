@@ -1,13 +1,15 @@
 """Line dedup across a corpus: an exact set-similarity join of lines.
 
-A line is the set of its five-word shingles; a line of fewer words has none, is never compared and always stays.  Two lines match if
-their sets' Jaccard similarity reaches the threshold, and a line goes if it matches an earlier one (by id, text fingerprint, line number).
+A line is the set of its five-word shingles; a line of one to four words has one token made of all its words, so it matches the lines of
+the same words and no other.  A line without words is never compared and always stays.  Two lines match if their sets' Jaccard similarity
+reaches the threshold, and a line goes if it matches an earlier one (by id, text fingerprint, line number).
 
 1. Lines with equal sets are one class; its earliest line stands for it.
 2. Shingles are ordered by rarity: by the level of a bounded sketch that holds the buckets frequent within some task, then by hash.  Any
    order gives the same matches; this one keeps shared passages out of the prefixes.
 3. Matching sets share a shingle among the first n - ceil(t * n) + 1 of each.  Prefix shingles are shuffled, those of one class only
-   go at once, and the rest are joined under the length and positional filters, large groups in blocks.
+   go at once, and the rest are joined under the length and positional filters, large groups in blocks.  Lines of one to four words
+   match equal lines only, so step 1 is all they need.
 4. The sets of the pairs that are left are fetched from their lines, and Jaccard is computed exactly.
 """
 
@@ -36,18 +38,39 @@ BLOCK = 256
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def line_sets(chunk: Chunk, words: int = WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(shingle, index of its line) without repeats, ordered by line and hash; of each such line its row, number and size."""
+def _short(h: np.ndarray, place: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(token, first word) of every line too short for a shingle: the words together are one."""
+    first = np.flatnonzero(np.diff(place, prepend=-1))
+    size = np.diff(np.append(first, len(place)))
+    tokens, begins = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for n in range(1, words):
+        begin = first[size == n]
+        one = rolled(h[(begin[:, None] + np.arange(n)).ravel()], n)[::n]
+        tokens.append(mix(one + np.uint64(n)))
+        begins.append(begin)
+    return np.concatenate(tokens), np.concatenate(begins)
+
+
+def line_sets(chunk: Chunk, words: int = WORDS, short: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(shingle, index of its line) without repeats, ordered by line and hash; of each such line its row, number and size.
+
+    ``short``: with the lines of fewer words, each of one token.
+    """
     starts, ends = chunk.words()
     row = chunk.row_of(starts)
     breaks = np.flatnonzero(chunk.data == 10)
     at = np.searchsorted(breaks, starts)
-    s = rolled(chunk.hashes(starts, ends), words)
+    h = chunk.hashes(starts, ends)
+    s = rolled(h, words)
     n = len(s)
-    whole = (row[:n] == row[words - 1:]) & (at[:n] == at[words - 1:]) if n else np.zeros(0, bool)
-    s, row, at = s[whole], row[:n][whole], at[:n][whole]
+    use = np.flatnonzero((row[:n] == row[words - 1:]) & (at[:n] == at[words - 1:])) if n else np.zeros(0, np.int64)
+    s = s[use]
+    if short:
+        token, begin = _short(h, at + row, words)
+        s, use = np.append(s, token), np.append(use, begin)
+    row, at = row[use], at[use]
     place = at + row  # grows with every line and every text
-    order = grouped_order(place - place[0], s) if n and len(s) else np.zeros(0, np.int64)
+    order = grouped_order(place - place.min(), s) if len(s) else np.zeros(0, np.int64)
     s, row, at, place = s[order], row[order], at[order], place[order]
     new = np.ones(len(s), bool)
     new[1:] = (s[1:] != s[:-1]) | (place[1:] != place[:-1])
@@ -74,7 +97,7 @@ _LINE = "doc_id long, key long, line int, n int, k1 long, k2 long"
 
 
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each line that has a shingle; last, with line -1, the task's heavy buckets (n: count, k1: bucket)."""
+    """A row for each line that has a word; last, with line -1, the task's heavy buckets (n: count, k1: bucket)."""
     load = np.zeros(BUCKETS, np.int64)
 
     def out(doc, key, line, n, k1, k2) -> pa.RecordBatch:
@@ -98,7 +121,7 @@ def _prefixes(levels: np.ndarray, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, chunk in chunks(batch.column(0)):
-                s, line, _, _, size = line_sets(chunk)
+                s, line, _, _, size = line_sets(chunk, short=False)
                 k1, k2 = _keys(s, line, len(size))
                 _, once = np.unique(k1 ^ mix(k2), return_index=True)
                 mine = np.zeros(len(size), bool)
@@ -119,7 +142,7 @@ def _sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         wanted = [{int(w["line"]): w for w in x} for x in batch.column(0).to_pylist()]
         for at, chunk in chunks(batch.column(1)):
-            s, line, row, number, size = line_sets(chunk)
+            s, line, row, number, size = line_sets(chunk, short=False)
             found = [wanted[at + r].get(k) for r, k in zip(row.tolist(), number.tolist(), strict=True)]
             use = np.array([w is not None for w in found], bool)
             keep = use[line] if len(line) else np.zeros(0, bool)
