@@ -10,7 +10,9 @@ from ..operators import joins as J
 from ..operators import ml as ML
 from ..operators import personal as PE
 from ..operators import relational as R
+from ..session import materialize
 from .bindings import SCORED_ROWS_SQL, SEAT_ROWS_SQL, scored_rows, seat_columns, seat_rows
+from .q_rating import with_board_elo
 from .registry import Tables, register
 from .util import r, rounded
 
@@ -58,9 +60,9 @@ def c20_skill(spark, d):
 
 
 def model_rows(t: Tables) -> DataFrame:
-    """Scored board rows + seat master points + skill features + field size of the session."""
-    s = scored_rows(t).drop("MasterPoints_N", "MasterPoints_S").withColumns(seat_columns())
-    s = _with_roles(t, s)
+    """Scored board rows + seat master points and ratings + skill features + field size of the session."""
+    s = materialize(scored_rows(t).drop("MasterPoints_N", "MasterPoints_S").withColumns(seat_columns()), "scored-rows")
+    s = _with_roles(t, with_board_elo(t, s))
     pairs = s.groupBy("session_id").agg(F.count(F.lit(1)).cast("double").alias("Section_Pairs"))
     return ML.skill_features(s.join(pairs, "session_id", "left"))
 
