@@ -35,8 +35,8 @@ from bidbox.llm.textnp import CHUNK_BYTES, Chunk, chunks, grouped_order, lists,
 BANDS, ROWS = 24, 4
 #: Registers of a signature; the first BANDS * ROWS make the bands, all of them estimate a pair's similarity.
 REGISTERS = 256
-#: A pair whose estimate lies this far under the threshold is no link: at 0.8 that is 4 standard deviations.
-SLACK = 0.1
+#: A pair whose estimate lies this far under the threshold is no link: at 0.8 that is over 5 standard deviations.
+SLACK = 0.13
 #: Candidates that a document outside the main component names first, in each block.
 FIRST = 4
 WORDS = 5
