@@ -7,11 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bidbox.llm import bagminhash, langmix, lattice, licences, linejoin, mixing, repetition, spm, toxicity, warc
+from bidbox.llm import bagminhash, exactdup, hardneg, langmix, lattice, licences, linejoin, mixing, repetition, spelling, spm, toxicity, warc
 from bidbox.llm.common import fold, read_table, row_key, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-#: No dealt operator is expressible in SQL as a whole; tests/llm holds the brute-force versions.
+#: Operators that SQL can express as a whole; tests/llm holds brute-force versions of the others.
 ORACLE: dict[str, str] = {}
 
 
@@ -20,6 +20,14 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+def oracle(sql: str) -> Callable:
+    def put(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        ORACLE[fn.__name__] = sql.strip()
+        return fn
+
+    return put
+
+
 @query
 def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
@@ -92,3 +100,33 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = docs.select("doc_id", row_key().alias("key"))
     return (rows.join(found, rows["doc_id"].eqNullSafe(found["id"]) & (rows["key"] == found["key"]), "left")
             .select("doc_id", F.coalesce("n_lines", F.lit(0)).alias("n_lines"), F.coalesce(F.col("n_lines") - F.size("kept"), F.lit(0)).alias("n_removed"), F.coalesce("n_links", F.lit(0)).alias("n_links"), "kept"))
+
+
+@query
+@oracle("""
+WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body FROM documents),
+g AS (SELECT body, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY body)
+SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(body) AS text_sha256 FROM d JOIN g USING (body)""")
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exactdup.copies(read_table(spark, sf_dir, "documents"), keep="largest")
+
+
+@query
+@oracle("""
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+pos AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM p WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, p.id AS negative_id, positive_score, p.score AS negative_score
+FROM pos JOIN p USING (anchor_id) WHERE NOT p.same AND 80 * positive_score <= 100 * p.score AND 100 * p.score <= 100 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY p.score DESC, p.id) QUALIFY row_number() OVER w <= 5""")
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label")).alias("label"))
+    return hardneg.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.with_slips(spelling.occurrences(read_table(spark, sf_dir, "documents"))))
