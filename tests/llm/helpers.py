@@ -45,8 +45,8 @@ def line_sets(text: str | None, k: int = 5) -> dict[int, frozenset]:
     out = {}
     for n, line in enumerate((text or "").split("\n")):
         w = WORD.findall(line)
-        if len(w) >= k:
-            out[n] = frozenset(tuple(w[i:i + k]) for i in range(len(w) - k + 1))
+        if w:  # fewer words than k are one token together
+            out[n] = frozenset(tuple(w[i:i + k]) for i in range(max(1, len(w) - k + 1)))
     return out
 
 
