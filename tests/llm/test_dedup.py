@@ -99,13 +99,14 @@ def test_line_links_and_rebuilt_texts(spark):
     near = long.replace(long.split()[30], "changed")
     rows = [(1, f"{long}\nshort line\n\nshort line"), (2, f"{near}\nown words in this line here"), (3, long), (4, None), (5, ""), (6, "short line"), (7, " ".join(words(30_000, 8)))]
     found = {r.doc_id: r for r in linejoin.kept_lines(frame(spark, rows)).collect()}
-    assert found[1].kept == [0] and found[2].kept == [1] and found[3].kept == []
+    assert found[1].kept == [0, 1] and found[2].kept == [1] and found[3].kept == [] and found[6].kept == []
     assert [found[i].n_links for i in (1, 2, 3)] == [1, 1, 1]
     clean = linejoin.without_repeats(frame(spark, rows))
     assert clean.columns == ["doc_id", "text", "doc", "key", "kept", "n_chars"]
     texts = {r.doc_id: (r.text, r.n_chars) for r in clean.collect()}
-    assert texts[1] == (rows[0][1], 7) and texts[2] == ("own words in this line here", 27)
-    assert 3 not in texts and texts[4] == (None, 7) and texts[5] == ("", 7) and texts[6] == ("short line", 7) and texts[7][0] == rows[6][1]
+    first = f"{long}\nshort line\n"  # the second "short line" and that of text 6 repeat an earlier line
+    assert texts[1] == (first, len(first)) and texts[2] == ("own words in this line here", 27)
+    assert 3 not in texts and 6 not in texts and texts[4] == (None, 7) and texts[5] == ("", 7) and texts[7][0] == rows[6][1]
 
 
 def test_line_edges(spark):
@@ -176,3 +177,34 @@ def test_components(spark, links):
     got = {r.id: r.component for r in components(spark.createDataFrame([*links, (5, 5), (None, 3)], "a long, b long")).collect()}
     want = helpers.classes(range(61), links)
     assert got == {i: c for i, c in want.items() if i != c}
+
+
+def line_variants(seed: int, groups: int, each: int, size: int) -> list[str]:
+    """Lines in clusters: each line a copy of its cluster's with some words changed, a few of them in two or more places."""
+    rnd = np.random.default_rng(seed)
+    out = []
+    for g in range(groups):
+        base = words(size, 1000 + g)
+        for _ in range(each):
+            w = list(base)
+            for _ in range(int(rnd.integers(0, 4))):
+                w[int(rnd.integers(0, size))] = f"v{int(rnd.integers(0, 9))}"
+            out.append(" ".join(w))
+    return [out[i] for i in rnd.permutation(len(out))]
+
+
+def test_links_of_line_clusters_against_all_pairs(spark, monkeypatch):
+    """Clusters of variants, cut into small blocks, parts and leads, lose no link and count none twice."""
+    lines = line_variants(3, 6, 40, 60) + line_variants(4, 2, 30, 400) + line_variants(5, 3, 25, 12)
+    rows = [(i, x) for i, x in enumerate(lines)]
+    sets = {i: s[0] for i, s in ((i, helpers.line_sets(x)) for i, x in rows)}
+    near = lambda a, b: len(a & b) / len(a | b) >= 0.8
+    different = set(sets.values())
+    degree = {s: sum(t != s and near(s, t) for t in different) for s in different}
+    kept = helpers.kept_lines(rows)
+    for block, lead, meet, part in ((1024, 32, 16_384, 16), (8, 1, 64, 1)):
+        for name, value in (("BLOCK", block), ("LEAD", lead), ("MEET", meet), ("PART", part)):
+            monkeypatch.setattr(linejoin, name, value)
+        got = {r.doc_id: (r.n_links, r.kept) for r in linejoin.kept_lines(frame(spark, rows)).collect()}
+        assert got == {i: (degree[s], kept.get(i, [])) for i, s in sets.items()}
+    assert max(degree.values()) > 20
