@@ -273,9 +273,21 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
 
 
 def one_of_each(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.8) -> DataFrame:
-    """``docs`` without the rows that :func:`near_duplicates` does not keep; of rows that repeat an id and a text one stays."""
-    kept = near_duplicates(docs, doc_id=doc_id, text=text, threshold=threshold).where("NOT kept").select(F.col("doc_id").alias("drop_id")).distinct()
-    rows = docs.select(F.struct("*").alias("doc"), F.col(doc_id).cast("long").alias("drop_id"), row_key(text).alias("key"))
-    rows = rows.join(kept, "drop_id", "left_anti")
-    first = Window.partitionBy("drop_id", "key").orderBy(F.lit(0))
-    return rows.withColumn("nr", F.row_number().over(first)).where("nr = 1 OR drop_id IS NULL").select("doc.*")
+    """``docs`` with one text of each group of near-duplicates: that with the smallest id (then text fingerprint).
+
+    Texts are told apart by id and fingerprint, so an id that comes with several texts does not tie their groups together.  Rows without an
+    id all stay.  Of rows that repeat an id and a text, that with the smallest hash over all columns stays.
+    """
+    rows = docs.select(F.struct("*").alias("doc"), F.col(doc_id).cast("long").alias("id"), row_key(text).alias("key"), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("turn"))
+    ids = rows.select("id", "key").where("id IS NOT NULL").distinct()
+    if ids.groupBy("id").count().where("count > 1").limit(1).count():
+        nodes = materialize(ids.withColumn("node", F.monotonically_increasing_id()), "bag")
+        texts = docs.select(F.col(doc_id).cast("long").alias("id"), row_key(text).alias("key"), F.col(text).alias("text")).join(nodes, ["id", "key"]).select("node", "text").dropDuplicates(["node"])
+        found = near_duplicates(texts, doc_id="node", threshold=threshold).select(F.col("doc_id").alias("node"), "class_id").join(nodes, "node")
+        stays = found.groupBy("class_id").agg(F.min(F.struct("id", "key")).alias("stays")).select("stays.*")
+        rows = rows.where("id IS NULL").unionByName(rows.join(stays, ["id", "key"], "left_semi"))
+    else:
+        gone = near_duplicates(docs, doc_id=doc_id, text=text, threshold=threshold).where("NOT kept").select(F.col("doc_id").alias("id")).distinct()
+        rows = rows.join(gone, "id", "left_anti")
+    first = Window.partitionBy("id", "key").orderBy("turn")
+    return rows.withColumn("nr", F.row_number().over(first)).where("nr = 1 OR id IS NULL").select("doc.*")

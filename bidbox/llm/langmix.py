@@ -2,8 +2,8 @@
 
 Learning: smoothed, hashed byte-trigram frequencies of each language over the labelled training texts.
 Inference, for each text: every word has a likelihood under each language; expectation-maximisation estimates the
-text's language proportions; sets of one, two and three languages (nested, by proportion) are refitted and the one
-with the least penalised likelihood, -2 log L + penalty * (languages - 1) * log(words), is taken.
+text's language proportions; sets of one, two and more languages (nested, by proportion) are refitted until no text's penalised
+likelihood, -2 log L + penalty * (languages - 1) * log(words), falls any more, and each text takes its set with the least.
 """
 
 from __future__ import annotations
@@ -20,12 +20,11 @@ from bidbox.llm.textnp import Chunk, chunks
 
 #: Trigrams are hashed into so many buckets, so a model has a fixed size a language.
 BUCKETS = 1 << 16
-#: Bound of the training sample, in texts (expected size; drawn by a hash of the id).
-MAX_TRAIN = 20_000
+#: Bound of the training sample, in texts of each language (expected size; drawn by a hash of the id).
+MAX_TRAIN = 10_000
 #: Weight of a word's trigram log-likelihood: trigrams overlap and are not independent.
 TEMPER = 0.5
 PENALTY = 2.0
-MOST_LANGUAGES = 3
 NONE = "und"
 
 _FOLD = np.full(256, 32, np.uint64)
@@ -70,12 +69,14 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def learn(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", max_train: int = MAX_TRAIN) -> tuple[list[str], np.ndarray]:
     """(languages, log-likelihood a trigram bucket and language) from labelled rows outside the held-out fold.
 
-    The sample is bounded by ``max_train`` texts in expectation; the driver receives at most BUCKETS rows a language.
+    The sample is bounded by ``max_train`` texts of each language in expectation, so a rare language is learned from all of its texts beside
+    any common one; the driver receives a count and at most BUCKETS rows a language.
     """
     rows = docs.where((fold(doc_id) != 0) & F.col(lang).isNotNull() & F.col(text).isNotNull())
-    share = min(1.0, max_train / max(1, rows.select(F.col(lang)).count()))
-    rows = rows.where(F.pmod(F.xxhash64(F.lit(11), F.col(doc_id)), F.lit(1 << 30)) < int(share * (1 << 30)))
-    counted = arrow_map(rows.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")), _count, "lang string, bucket int, n long")
+    rows = rows.select(F.col(doc_id).alias("id"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
+    share = rows.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(float(max_train)) / F.count(F.lit(1))).alias("share"))
+    rows = rows.join(F.broadcast(share), "lang").where(F.pmod(F.xxhash64(F.lit(11), "id"), F.lit(1 << 30)) < F.col("share") * (1 << 30))
+    counted = arrow_map(rows.select("lang", "text"), _count, "lang string, bucket int, n long")
     table = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     langs = sorted(set(table["lang"].to_pylist()))
     n = np.zeros((len(langs), BUCKETS))
@@ -123,7 +124,7 @@ def infer(chunk: Chunk, logp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     full, _ = _fit(like, row, full, 8)
     order = np.argsort(-full, axis=1, kind="stable")
     best = np.full(chunk.rows, np.inf)
-    for k in range(1, min(langs, MOST_LANGUAGES) + 1):
+    for k in range(1, langs + 1):
         allowed = np.zeros_like(share)
         np.put_along_axis(allowed, order[:, :k], 1.0, axis=1)
         trial = (full + 1e-9) * allowed
@@ -131,6 +132,9 @@ def infer(chunk: Chunk, logp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         trial, mixed = _fit(like, row, trial, 0 if k == 1 else 4)
         cost = -2 * np.bincount(row, weights=np.log(np.maximum(mixed, 1e-300)), minlength=chunk.rows) + PENALTY * (k - 1) * np.log(np.maximum(words, 2))
         better = cost < best - 1e-9
+        better[words == 0] = False
+        if not better.any():
+            break
         best[better], share[better] = cost[better], trial[better]
     whole = np.stack([np.bincount(row, weights=(ll - top)[:, k], minlength=chunk.rows) for k in range(langs)], axis=1)
     whole = np.exp(whole - whole.max(axis=1, keepdims=True))

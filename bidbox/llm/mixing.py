@@ -214,8 +214,9 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     goals = source_targets(docs)
     got = (mix(docs, {s: g for s, _, g in goals}, **options).where("copies > 0")
            .groupBy(id_key().alias("id_key"), "mix_key").agg(F.sum("copies").cast("int").alias("copies")))
-    # identical rows share their key: the first of them stands for all of their copies
-    same = Window.partitionBy("id_key", "mix_key").orderBy(F.lit(0))
-    rows = docs.select(F.struct("*").alias("doc"), id_key().alias("id_key"), row_key().alias("mix_key")).withColumn("nr", F.row_number().over(same)).where("nr = 1")
+    # rows that repeat an id and a text share their key: that with the smallest hash over all columns stands for all of their copies
+    same = Window.partitionBy("id_key", "mix_key").orderBy("turn")
+    turn = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("turn")
+    rows = docs.select(F.struct("*").alias("doc"), id_key().alias("id_key"), row_key().alias("mix_key"), turn).withColumn("nr", F.row_number().over(same)).where("nr = 1")
     out = rows.join(got, ["id_key", "mix_key"])
     return out.select("doc", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("doc.*")

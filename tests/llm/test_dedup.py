@@ -208,3 +208,18 @@ def test_links_of_line_clusters_against_all_pairs(spark, monkeypatch):
         got = {r.doc_id: (r.n_links, r.kept) for r in linejoin.kept_lines(frame(spark, rows)).collect()}
         assert got == {i: (degree[s], kept.get(i, [])) for i, s in sets.items()}
     assert max(degree.values()) > 20
+
+
+def test_one_of_each_tells_texts_of_one_id_apart(spark):
+    a, b = " ".join(words(40, 21)), " ".join(words(40, 22))
+    rows = [(1, a), (5, a), (5, b), (6, b + " tail"), (7, None), (7, ""), (7, a + " end"), (None, a)]
+    left = bagminhash.one_of_each(frame(spark, rows))
+    assert sorted(((str(r.doc_id), r.text) for r in left.collect()), key=str) == sorted([("1", a), ("5", b), ("7", None), ("7", ""), ("None", a)], key=str)
+
+
+def test_one_of_each_takes_the_same_of_repeated_rows(spark):
+    text = " ".join(words(20, 3))
+    rows = [(1, text, f"extra {i}") for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, extra string")
+    got = {bagminhash.one_of_each(df.repartition(n, "extra")).collect()[0].extra for n in (1, 3, 7)}
+    assert len(got) == 1
