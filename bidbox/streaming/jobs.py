@@ -84,43 +84,60 @@ def upsert_novel_keys(spark: SparkSession, landing: str, schema: T.StructType, k
     return spark.read.schema(key_schema).parquet(cache)
 
 
+#: Column that names the landed file of a row while a batch is routed.
+_FILE = "_landed_file"
+
+
 def split_late(spark: SparkSession, landing: str, schema: T.StructType, ts_col: str, delay_seconds: int,
                on_time: str, late: str, checkpoint: str,
                max_files_per_trigger: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Rows later than the watermark (max event time of earlier batches - delay) go to a
     side table instead of being dropped; both outputs together keep every row.
 
-    Each micro-batch writes to its own ``batch_id=<n>`` folder in both sinks (overwrite), so a
-    retried batch rewrites the same files instead of appending twice.  The running maximum is
-    read from the on-time rows of earlier batches (one small aggregate per batch).
+    A batch is known by the files it read, not by the checkpoint's counter.  A log beside the on-time sink takes, as the last step of a
+    batch, each of its files with the batch's name (a fingerprint of the files) and its latest on-time event.  Files in the log are not routed
+    again, folders of batches that are not in it are not read, and a retried batch rewrites its own folder.  So neither a
+    crash between the writes nor a lost checkpoint, which deals the files into other batches, changes the outputs.
     """
-    def read_sink(ss: SparkSession, path: str, before: int | None = None) -> DataFrame:
+    log_path = f"{on_time.rstrip('/')}-log"
+    log_schema = f"{_FILE} string, batch_id string, latest {schema[ts_col].dataType.simpleString()}"
+
+    def log(ss: SparkSession) -> DataFrame:
+        return ss.read.schema(log_schema).parquet(log_path) if path_exists(ss, log_path) else ss.createDataFrame([], log_schema)
+
+    def read_sink(ss: SparkSession, path: str) -> DataFrame:
         if not path_exists(ss, path):  # no batch written yet
             return ss.createDataFrame([], schema)
-        df = ss.read.parquet(path)
-        if before is not None:
-            df = df.where(F.col("batch_id") < before)
-        return df.drop("batch_id")
+        rows = ss.read.schema(T.StructType([*schema.fields, T.StructField("batch_id", T.StringType())])).parquet(path)
+        return rows.join(log(ss).select("batch_id").distinct(), "batch_id", "left_semi").drop("batch_id")
 
     def route(batch: DataFrame, batch_id: int) -> None:
         ss = batch.sparkSession
-        # the running maximum crosses the driver as text: a Python datetime literal would be
-        # shifted by the session time zone when it meets a timestamp_ntz column
-        prev = read_sink(ss, on_time, batch_id).agg(F.max(ts_col).cast("string").alias("m")).first()["m"]
-        if prev is None:
-            tagged = batch.withColumn("_late", F.lit(False))
-        else:
-            mark = F.lit(prev).cast(dict(batch.dtypes)[ts_col]) - F.expr(f"INTERVAL {int(delay_seconds)} SECONDS")
-            tagged = batch.withColumn("_late", F.col(ts_col) < mark)
-        tagged = tagged.persist()
-        tagged.where(~F.col("_late")).drop("_late").write.mode("overwrite").parquet(f"{on_time}/batch_id={batch_id}")
-        tagged.where(F.col("_late")).drop("_late").write.mode("overwrite").parquet(f"{late}/batch_id={batch_id}")
-        tagged.unpersist()
+        fresh = batch.join(log(ss).select(_FILE).distinct(), _FILE, "left_anti").persist()
+        try:
+            # the running maximum crosses the driver as text: a Python datetime literal would be
+            # shifted by the session time zone when it meets a timestamp_ntz column
+            prev = log(ss).agg(F.max("latest").cast("string")).first()[0]
+            files = fresh.select(_FILE).distinct().agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64(_FILE)), F.sum(F.crc32(F.col(_FILE).cast("binary")))).first()
+            if not files[0]:
+                return
+            name = "files-" + "-".join(f"{x & 0xFFFFFFFFFFFFFFFF:x}" for x in files)
+            is_late = F.lit(False)
+            if prev is not None:
+                mark = F.lit(prev).cast(schema[ts_col].dataType) - F.expr(f"INTERVAL {int(delay_seconds)} SECONDS")
+                is_late = F.coalesce(F.col(ts_col) < mark, F.lit(False))
+            tagged = fresh.withColumn("_late", is_late)
+            tagged.where("NOT _late").drop("_late", _FILE).write.mode("overwrite").parquet(f"{on_time}/batch_id={name}")
+            tagged.where("_late").drop("_late", _FILE).write.mode("overwrite").parquet(f"{late}/batch_id={name}")
+            done = tagged.groupBy(_FILE).agg(F.lit(name).alias("batch_id"), F.max(F.when(~F.col("_late"), F.col(ts_col))).alias("latest"))
+            done.write.mode("overwrite").parquet(f"{log_path}/of={name}")  # the commit
+        finally:
+            fresh.unpersist()
 
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    q = (reader.parquet(landing)
+    q = (reader.parquet(landing).select("*", F.col("_metadata.file_path").alias(_FILE))
          .writeStream.foreachBatch(route).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     _run(q)
@@ -163,18 +180,13 @@ def rebuild_invalid_partitions(df: DataFrame, path: str, by: Sequence[str]) -> l
         stored = df.sparkSession.read.parquet(path).groupBy(*by).agg(state.alias("_got"))
     else:  # every partition is missing
         stored = expected.select(*by, F.col("_exp").alias("_got")).limit(0)
-    cmp = expected.join(stored, by, "full")
-    bad = [tuple(r[c] for c in by) for r in
-           cmp.where(~F.col("_exp").eqNullSafe(F.col("_got"))).select(*by).collect()]
+    # grouped, not joined: null partition values meet as well
+    both = expected.withColumn("_got", F.lit(None)).unionByName(stored.select(*[F.col(c).cast(df.schema[c].dataType) for c in by], F.lit(None).alias("_exp"), "_got"))
+    cmp = both.groupBy(*by).agg(F.max("_exp").alias("_exp"), F.max("_got").alias("_got")).where(~F.col("_exp").eqNullSafe(F.col("_got"))).select(*by)
+    bad = [tuple(r[c] for c in by) for r in cmp.collect()]
     if bad:
-        cond = None
-        for key in bad:
-            c = None
-            for col, v in zip(by, key):
-                e = F.col(col).eqNullSafe(F.lit(v))
-                c = e if c is None else (c & e)
-            cond = c if cond is None else (cond | c)
-        overwrite_partitions(df.where(cond), path, by)
+        keys = df.sparkSession.createDataFrame(bad, T.StructType([df.schema[c] for c in by])).toDF(*[f"_bad{i}" for i in range(len(by))])
+        overwrite_partitions(df.join(F.broadcast(keys), [df[c].eqNullSafe(F.col(f"_bad{i}")) for i, c in enumerate(by)], "left_semi"), path, by)
     return bad
 
 

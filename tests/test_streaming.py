@@ -76,3 +76,43 @@ def test_results_do_not_depend_on_session_time_zone(spark):
         assert out["UTC"] == out["America/New_York"]
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def _late_rows(spark):
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("ts", T.TimestampNTZType())])
+    return schema, spark.range(40).select("id", F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_interval(0,0,0,0,id,0,0)").alias("ts"))
+
+
+def test_late_router_survives_a_lost_checkpoint(spark):
+    schema, rows = _late_rows(spark)
+    landing, ok, late = _tmp("lc") + "/l", _tmp("ok") + "/o", _tmp("late") + "/x"
+    ids = lambda df: sorted(r.id for r in df.collect())
+    rows.where("id >= 30").coalesce(1).write.parquet(landing)
+    first = S.split_late(spark, landing, schema, "ts", 3600, ok, late, _tmp("c1"))
+    assert (ids(first[0]), ids(first[1])) == (list(range(30, 40)), [])
+    rows.where("id < 5 OR id = 29 OR id = 38").withColumn("id", F.col("id") + 100).coalesce(1).write.mode("append").parquet(landing)
+    ckpt = _tmp("c1b")
+    second = S.split_late(spark, landing, schema, "ts", 3600, ok, late, ckpt)  # the first checkpoint is lost: both files come again
+    want = ([*range(30, 40), 138], [100, 101, 102, 103, 104, 129])
+    assert (ids(second[0]), ids(second[1])) == want
+    for again in (_tmp("c3"), ckpt, _tmp("c4")):  # both files in one batch, nothing new, file by file
+        got = S.split_late(spark, landing, schema, "ts", 3600, ok, late, again, max_files_per_trigger=1)
+        assert (ids(got[0]), ids(got[1])) == want
+
+
+def test_late_router_ignores_what_a_crash_left(spark):
+    """A batch that wrote its rows but not its log entry is routed again and counts once."""
+    schema, rows = _late_rows(spark)
+    landing, ok, late = _tmp("cr") + "/l", _tmp("ok") + "/o", _tmp("late") + "/x"
+    rows.where("id < 20").coalesce(1).write.parquet(landing)
+    rows.where("id < 20").write.parquet(f"{ok}/batch_id=files-of-a-crashed-batch")
+    a, b = S.split_late(spark, landing, schema, "ts", 3600, ok, late, _tmp("c"))
+    assert a.count() == 20 and b.count() == 0
+
+
+def test_repair_takes_null_partitions_and_many_keys(spark):
+    path = _tmp("rep") + "/p"
+    df = spark.range(60).select("id", F.when(F.col("id") % 6 < 5, (F.col("id") % 6).cast("int")).alias("a"), F.when(F.col("id") % 2 == 0, F.lit("x")).alias("b"))
+    S.overwrite_partitions(df.where("id > 5"), path, ["a", "b"])
+    assert len(S.rebuild_invalid_partitions(df, path, ["a", "b"])) == 6
+    assert S.rebuild_invalid_partitions(df, path, ["a", "b"]) == [] and spark.read.parquet(path).count() == 60
