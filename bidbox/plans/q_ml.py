@@ -12,7 +12,7 @@ from ..operators import personal as PE
 from ..operators import relational as R
 from ..session import materialize
 from .bindings import SCORED_ROWS_SQL, SEAT_ROWS_SQL, scored_rows, seat_columns, seat_rows
-from .q_rating import with_board_elo
+from .q_rating import BOARD_RESULTS_SQL, PLAYER_ELO_SQL, with_board_elo
 from .registry import Tables, register
 from .util import r, rounded
 
@@ -43,26 +43,42 @@ LEFT JOIN customer so ON s.Player_ID_S = so.c_custkey LEFT JOIN customer w ON s.
 
 
 def _skill_sql(src: str) -> str:
+    """``src`` has the roles, the seats' ratings r_n, r_e, r_s, r_w and the pairs' earlier sessions g_ns, g_ew."""
     mp_ns = "ln(1 + (coalesce(MasterPoints_N, 0) + coalesce(MasterPoints_S, 0)) / 2.0)"
     mp_ew = "ln(1 + (coalesce(MasterPoints_E, 0) + coalesce(MasterPoints_W, 0)) / 2.0)"
-    return f"""SELECT x.*, 0.0 AS elo_R_seat_NS, 0.0 AS elo_R_seat_EW, 0.0 AS elo_R_seat_diff, 0.0 AS elo_R_seat_avg,
+    elo_ns, elo_ew = "(coalesce(r_n, 0) + coalesce(r_s, 0)) / 2.0", "(coalesce(r_e, 0) + coalesce(r_w, 0)) / 2.0"
+    return f"""SELECT *, elo_R_seat_diff * coalesce(Vul_NS, 0) AS elo_diff_x_vul_NS, elo_R_seat_diff * coalesce(Vul_EW, 0) AS elo_diff_x_vul_EW, mp_log_diff * elo_R_seat_diff AS mp_log_diff_x_elo_diff
+FROM (SELECT x.*, {elo_ns} AS elo_R_seat_NS, {elo_ew} AS elo_R_seat_EW, {elo_ns} - {elo_ew} AS elo_R_seat_diff, ({elo_ns} + {elo_ew}) / 2.0 AS elo_R_seat_avg,
   {mp_ns} AS mp_log_NS, {mp_ew} AS mp_log_EW, {mp_ns} - {mp_ew} AS mp_log_diff, ({mp_ns} + {mp_ew}) / 2.0 AS mp_log_avg,
-  0.0 AS elo_N_diff, 0.0 AS elo_diff_x_vul_NS, 0.0 AS elo_diff_x_vul_EW, 0.0 AS mp_log_diff_x_elo_diff FROM ({src}) x"""
+  CAST(coalesce(g_ns, 0) - coalesce(g_ew, 0) AS DOUBLE) AS elo_N_diff FROM ({src}) x)"""
+
+
+_RATED_SQL = """SELECT b.session_id, b.Board, b.Pair_Number_NS AS Round, b.l_orderkey, b.n AS Player_ID_N, b.e AS Player_ID_E, b.s AS Player_ID_S, b.w AS Player_ID_W,
+  rn.rating AS r_n, re.rating AS r_e, rs.rating AS r_s, rw.rating AS r_w, gn.earlier AS g_ns, ge.earlier AS g_ew FROM board b
+""" + "\n".join(f"LEFT JOIN player_starts r{x} ON r{x}.period = b.period AND r{x}.session_id = b.session_id AND r{x}.who = b.{x}" for x in "nesw") + """
+LEFT JOIN pair_games gn ON gn.period = b.period AND gn.session_id = b.session_id AND gn.who = b.ns
+LEFT JOIN pair_games ge ON ge.period = b.period AND ge.session_id = b.session_id AND ge.who = b.ew"""
 
 
 @register("c20_skill", sql=f"""
-WITH f AS ({_skill_sql(_ROLE_SQL.format(src=SEAT_ROWS_SQL))})
+WITH RECURSIVE {BOARD_RESULTS_SQL}, {PLAYER_ELO_SQL}, f AS ({_skill_sql(_ROLE_SQL.format(src=_RATED_SQL))})
 SELECT session_id, Board, Round, l_orderkey, {", ".join(f"{r(c)} AS {c}" for c in SKILL_COLS)} FROM f""")
 def c20_skill(spark, d):
+    """Skill features of every board row, with the ratings of its seats and the earlier sessions of its pairs."""
     t = Tables(spark, d)
-    f = ML.skill_features(_with_roles(t, seat_rows(t)))
-    return rounded(f.select("session_id", "Board", "Round", "l_orderkey", *SKILL_COLS))
+    f = ML.skill_features(_rated_rows(t))
+    return rounded(f.select("session_id", "Board", F.col("Pair_Number_NS").alias("Round"), "l_orderkey", *SKILL_COLS))
+
+
+def _rated_rows(t: Tables) -> DataFrame:
+    """Scored board rows with seats, seat master points, seat ratings and vulnerability."""
+    s = materialize(scored_rows(t).drop("MasterPoints_N", "MasterPoints_S").withColumns(seat_columns()), "scored-rows")
+    return _with_roles(t, with_board_elo(t, s))
 
 
 def model_rows(t: Tables) -> DataFrame:
     """Scored board rows + seat master points and ratings + skill features + field size of the session."""
-    s = materialize(scored_rows(t).drop("MasterPoints_N", "MasterPoints_S").withColumns(seat_columns()), "scored-rows")
-    s = _with_roles(t, with_board_elo(t, s))
+    s = _rated_rows(t)
     pairs = s.groupBy("session_id").agg(F.count(F.lit(1)).cast("double").alias("Section_Pairs"))
     return ML.skill_features(s.join(pairs, "session_id", "left"))
 
