@@ -53,7 +53,7 @@ FROM (SELECT x.*, {elo_ns} AS elo_R_seat_NS, {elo_ew} AS elo_R_seat_EW, {elo_ns}
   CAST(coalesce(g_ns, 0) - coalesce(g_ew, 0) AS DOUBLE) AS elo_N_diff FROM ({src}) x)"""
 
 
-_RATED_SQL = """SELECT b.session_id, b.Board, b.Pair_Number_NS AS Round, b.l_orderkey, b.n AS Player_ID_N, b.e AS Player_ID_E, b.s AS Player_ID_S, b.w AS Player_ID_W,
+_RATED_SQL = """SELECT b.session_id, b.Board, b.Pair_Number_NS AS Round, b.l_orderkey, b.l_partkey, b.l_suppkey, b.Pct_NS, b.n AS Player_ID_N, b.e AS Player_ID_E, b.s AS Player_ID_S, b.w AS Player_ID_W,
   rn.rating AS r_n, re.rating AS r_e, rs.rating AS r_s, rw.rating AS r_w, gn.earlier AS g_ns, ge.earlier AS g_ew FROM board b
 """ + "\n".join(f"LEFT JOIN player_starts r{x} ON r{x}.period = b.period AND r{x}.session_id = b.session_id AND r{x}.who = b.{x}" for x in "nesw") + """
 LEFT JOIN pair_games gn ON gn.period = b.period AND gn.session_id = b.session_id AND gn.who = b.ns
@@ -83,9 +83,36 @@ def model_rows(t: Tables) -> DataFrame:
     return ML.skill_features(s.join(pairs, "session_id", "left"))
 
 
-@register("m01_ridge")
+def _fold_sql(*key: str, k: int = 2) -> str:
+    return f"CAST('0x' || substr(md5(concat_ws('|', {', '.join(key)}, '42')), 1, 8) AS BIGINT) % {k}"
+
+
+#: x: the model rows with f1 .. f11 and y (null: 0) and their fold
+_MODEL_SQL = f"""{BOARD_RESULTS_SQL}, {PLAYER_ELO_SQL}, f AS ({_skill_sql(_ROLE_SQL.format(src=_RATED_SQL))}),
+x AS (SELECT *, {", ".join(f"coalesce(CAST({c} AS DOUBLE), 0) AS f{i}" for i, c in enumerate(BASELINE_FEATURES, 1))}, coalesce(Pct_NS, 0) AS y, {_fold_sql("l_orderkey", "l_partkey", "l_suppkey", "Board")} AS fold
+  FROM (SELECT *, count(*) OVER (PARTITION BY session_id) AS Section_Pairs FROM f))"""
+
+
+def _ridge_sql(name: str, where: str) -> str:
+    """CTE ``name`` (i, b): the coefficients by Gauss-Jordan elimination of the standardised normal equations; i = 0 is the intercept."""
+    k = len(BASELINE_FEATURES)
+    every = range(1, k + 1)
+    std = lambda i: f"CASE WHEN stddev_pop(f{i}) > {ML.STD_FLOOR} THEN stddev_pop(f{i}) ELSE 1 END"
+    rows = " UNION ALL ".join(
+        f"SELECT {i} AS i, [" + ", ".join(f"n * c{min(i, j)}_{max(i, j)} / (s{i} * s{j})" + (f" + {ML.RIDGE_LAMBDA}" if i == j else "") for j in every) + f", n * cy{i} / s{i}] AS v, s{i} AS s, m{i} AS m FROM {name}_sums" for i in every)
+    return f"""{name}_sums AS (SELECT CAST(count(*) AS DOUBLE) AS n, avg(y) AS my, {", ".join(f"avg(f{i}) AS m{i}, {std(i)} AS s{i}, covar_pop(f{i}, y) AS cy{i}" for i in every)},
+  {", ".join(f"covar_pop(f{i}, f{j}) AS c{i}_{j}" for i in every for j in every if i <= j)} FROM x WHERE {where}),
+{name}_steps AS (SELECT 0 AS k, i, v, s, m FROM ({rows}) UNION ALL
+  SELECT k + 1, i, list_transform(range(1, {k + 2}), lambda j: CASE WHEN i = k + 1 THEN v[j] / v[k + 1] ELSE v[j] - v[k + 1] / p[k + 1] * p[j] END), s, m
+  FROM (SELECT *, first_value(v) OVER (ORDER BY abs(i - k - 1)) AS p FROM {name}_steps WHERE k < {k})),
+{name}_coef AS (SELECT i, v[{k + 1}] / s AS b, m FROM {name}_steps WHERE k = {k}),
+{name} AS (SELECT i, b FROM {name}_coef UNION ALL SELECT 0, (SELECT my FROM {name}_sums) - (SELECT sum(b * m) FROM {name}_coef))"""
+
+
+@register("m01_ridge", sql=f"""WITH RECURSIVE {_MODEL_SQL}, {_ridge_sql("fit", "TRUE")}
+SELECT CASE i {" ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(BASELINE_FEATURES, 1))} ELSE '(intercept)' END AS feature, {r('b')} AS coefficient FROM fit""")
 def m01_ridge(spark, d):
-    """Rows-only: coefficients of the ridge baseline (driver-side k x k solve; checked vs NumPy in tests)."""
+    """Coefficients of the ridge baseline (driver-side k x k solve)."""
     model = ML.ridge_fit(model_rows(Tables(spark, d)), BASELINE_FEATURES, "Pct_NS")
     return rounded(ML.ridge_table(spark, model))
 
@@ -106,9 +133,19 @@ def m02_residual(spark, d):
     return rounded(out.select("session_id", "Board", "l_orderkey", "Pair_Number_NS", "y_resid", "final_pred"))
 
 
-@register("m03_isotonic")
+@register("m03_isotonic", sql=f"""
+WITH s AS (SELECT session_id, Board, l_orderkey, Pct_NS, Pct_NS_Pred, {_fold_sql("l_orderkey", "l_partkey", "l_suppkey", "Board")} = 0 AS fit_half FROM ({SCORED_ROWS_SQL})),
+p AS (SELECT Pct_NS_Pred AS x, avg(Pct_NS) AS y, count(*) AS w, row_number() OVER (ORDER BY Pct_NS_Pred) AS k FROM s WHERE fit_half AND Pct_NS_Pred IS NOT NULL AND Pct_NS IS NOT NULL GROUP BY 1),
+c AS (SELECT k, x, sum(w) OVER (ORDER BY k) AS cw, sum(w * y) OVER (ORDER BY k) AS cs, w, w * y AS wy FROM p),
+lowest AS (SELECT b.k, b.x, min((b.cs - a.cs + a.wy) / (b.cw - a.cw + a.w)) OVER (PARTITION BY a.k ORDER BY b.k DESC) AS v FROM c a JOIN c b ON b.k >= a.k),
+fit AS (SELECT x, max(v) AS v FROM lowest GROUP BY x),
+e AS (SELECT x, v, lead(x) OVER (ORDER BY x) AS nx, lead(v) OVER (ORDER BY x) AS nv FROM fit),
+q AS (SELECT DISTINCT Pct_NS_Pred AS x FROM s WHERE Pct_NS_Pred IS NOT NULL),
+z AS (SELECT q.x, CASE WHEN e.x IS NULL THEN (SELECT min(v) FROM fit) WHEN nx IS NULL THEN v ELSE v + (nv - v) * (q.x - e.x) / (nx - e.x) END AS calibrated FROM q ASOF LEFT JOIN e ON q.x >= e.x)
+SELECT session_id, Board, l_orderkey, {r('Pct_NS')} AS "Pct_NS", {r('Pct_NS_Pred')} AS "Pct_NS_Pred", fit_half, {r('least(1, greatest(0, calibrated))')} AS calibrated
+FROM s LEFT JOIN z ON z.x = s.Pct_NS_Pred""")
 def m03_isotonic(spark, d):
-    """Rows-only: isotonic recalibration of the predicted pct, fitted on one hash half, for all rows."""
+    """Isotonic recalibration of the predicted pct, fitted on one hash half, for all rows; the SQL takes the fit as max of min of means."""
     s = scored_rows(Tables(spark, d)).select("session_id", "Board", "l_orderkey", "l_partkey", "l_suppkey",
                                             "Pct_NS", "Pct_NS_Pred")
     cal = ML.isotonic_recalibrate(s, "Pct_NS_Pred", "Pct_NS", ["l_orderkey", "l_partkey", "l_suppkey", "Board"])
@@ -127,11 +164,14 @@ def m04_ensemble(spark, d):
     return rounded(li.select("l_orderkey", "l_linenumber", "l_partkey", mean.alias("ens_mean"), std.alias("ens_std")))
 
 
-@register("m05_oof")
+@register("m05_oof", sql=f"""WITH RECURSIVE {_MODEL_SQL}, {_ridge_sql("other0", "fold <> 0")}, {_ridge_sql("other1", "fold <> 1")},
+w AS (SELECT 0 AS fold, list(b ORDER BY i) AS b FROM other0 UNION ALL SELECT 1, list(b ORDER BY i) FROM other1)
+SELECT session_id, Board, l_orderkey, {r('Pct_NS')} AS "Pct_NS", {r("b[1] + " + " + ".join(f"b[{i + 1}] * f{i}" for i in range(1, len(BASELINE_FEATURES) + 1)))} AS oof_pred FROM x JOIN w USING (fold)""")
 def m05_oof(spark, d):
-    """Rows-only: 2-fold out-of-fold ridge predictions (folds by key hash)."""
-    rows = model_rows(Tables(spark, d))
-    oof = ML.out_of_fold_ridge(rows, BASELINE_FEATURES, "Pct_NS", ["l_orderkey", "l_partkey", "l_suppkey", "Board"])
+    """2-fold out-of-fold ridge predictions (folds by key hash)."""
+    keys = ["l_orderkey", "l_partkey", "l_suppkey", "Board"]
+    rows = model_rows(Tables(spark, d)).select("session_id", *keys, "Pct_NS", *BASELINE_FEATURES)
+    oof = ML.out_of_fold_ridge(rows, BASELINE_FEATURES, "Pct_NS", keys)
     return rounded(oof.select("session_id", "Board", "l_orderkey", "Pct_NS", "oof_pred"))
 
 
