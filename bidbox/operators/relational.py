@@ -257,8 +257,8 @@ def capped(df: DataFrame, order: Sequence[Column], limit: int | str | None = Non
 
 
 def sample_rows(df: DataFrame, key: Sequence[str], n: int, seed: int = 42) -> DataFrame:
-    """Deterministic sample of n rows (all when fewer): smallest hash of the key."""
-    h = F.xxhash64(*_cols(key), F.lit(seed))
+    """Deterministic sample of n rows (all when fewer): the smallest md5 of the key, which any engine can compute."""
+    h = F.md5(F.concat_ws("|", *[c.cast("string") for c in _cols(key)], F.lit(str(seed))).cast("binary"))
     return df.withColumn("_h", h).orderBy("_h", *key).limit(n).drop("_h")
 
 

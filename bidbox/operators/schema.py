@@ -6,13 +6,17 @@ aggregates that run on the executors.  A failed check raises with counts and a f
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.coerce import coerce_text
+from ..functions.keys import composite_key
+
 # fixed values: typed defaults used when aligning a frame to a target schema
 DEFAULTS = {"int": 0, "bigint": 0, "smallint": 0, "tinyint": 0, "float": 0.0, "double": 0.0,
             "boolean": False}
@@ -171,19 +175,45 @@ def key_violations(df: DataFrame, key: Sequence[str], nullable_unique: bool = Fa
     return d.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
 
 
+def key_preflight(df: DataFrame, constraints: Mapping[str, Sequence[tuple[str, str, bool]]], row_id: str,
+                  top: int = 5, samples: int = 3) -> DataFrame:
+    """V2: the collisions that a load would meet: (constraint, key, n, rows), the ``top`` most frequent keys of each constraint.
+
+    ``constraints``: label -> (column, declared type, NOT NULL) of each key part; a label that starts with PRIMARY KEY makes its parts NOT NULL.
+    Cells are compared as they are after coercion to their type (C18).  A null of a NOT NULL part becomes "" and takes part; a
+    row with a null in a nullable part cannot collide.  ``key`` is C19's composite text, ``rows`` the smallest ids of the rows that share it.
+
+    All constraints are counted in one pass with partial aggregation; samples are read for the reported keys only.
+    """
+    keys = []
+    for label, parts in constraints.items():
+        texts = [coerce_text(c, kind, nullable=not (required or label.startswith("PRIMARY KEY"))) for c, kind, required in parts]
+        whole = functools.reduce(lambda x, y: x & y, [t.isNotNull() for t in texts])
+        keys.append(F.when(whole, F.struct(F.lit(label).alias("constraint"), composite_key(*texts).alias("key"))))
+    rows = df.select(F.col(row_id).alias("_row"), F.explode(F.filter(F.array(*keys), lambda k: k.isNotNull())).alias("_k")).select("_row", "_k.*")
+    counts = rows.groupBy("constraint", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    most = Window.partitionBy("constraint").orderBy(F.col("n").desc(), "key")
+    worst = counts.withColumn("_nr", F.row_number().over(most)).where(F.col("_nr") <= top).drop("_nr")
+    first = Window.partitionBy("constraint", "key").orderBy("_row")
+    some = rows.join(F.broadcast(worst), ["constraint", "key"]).withColumn("_nr", F.row_number().over(first)).where(F.col("_nr") <= samples)
+    return some.groupBy("constraint", "key", "n").agg(F.array_sort(F.collect_list("_row")).alias("rows"))
+
+
+def column_problems(schema: T.StructType, keep_strings: Sequence[str] | None = None) -> dict[str, list[str]]:
+    """V3: for each column that has any: double in a float-only table, join-suffix collision, nested type, string outside ``keep_strings`` (if given)."""
+    kinds = {
+        "double": lambda f: isinstance(f.dataType, T.DoubleType),
+        "string": lambda f: keep_strings is not None and isinstance(f.dataType, T.StringType) and f.name not in keep_strings,
+        "join suffix": lambda f: re.search(r"_(x|y|left|right)$", f.name),
+        "nested": lambda f: isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)),
+    }
+    found = {f.name: [kind for kind, has in kinds.items() if has(f)] for f in schema.fields}
+    return {name: problems for name, problems in found.items() if problems}
+
+
 def schema_problems(schema: T.StructType, keep_strings: Sequence[str] | None = None) -> list[str]:
-    """V3: doubles in a float-only table, join-suffix collisions, nested types, and strings outside ``keep_strings`` if that is given."""
-    probs = []
-    for f in schema.fields:
-        if isinstance(f.dataType, T.DoubleType):
-            probs.append(f"{f.name}: double")
-        if keep_strings is not None and isinstance(f.dataType, T.StringType) and f.name not in keep_strings:
-            probs.append(f"{f.name}: string")
-        if re.search(r"_(x|y|left|right)$", f.name):
-            probs.append(f"{f.name}: join suffix")
-        if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            probs.append(f"{f.name}: nested")
-    return probs
+    """V3: the problems of :func:`column_problems` as text."""
+    return [f"{name}: {kind}" for name, problems in column_problems(schema, keep_strings).items() for kind in problems]
 
 
 def same_columns(frames) -> list[str]:

@@ -286,6 +286,14 @@ def f08_vul_rule(spark, d):
     return hr.where(H.vul_rule_ok("Board", "Vul"))
 
 
+@register("c04_board_rules", sql=f"""
+SELECT p_partkey, Board, {_vul_sql('Board')} AS vul, substr('NESW', (Board - 1) % 4 + 1, 1) AS dealer FROM ({RAW_HR_SQL})""")
+def c04_board_rules(spark, d):
+    """Vulnerability and dealer that a board's number implies."""
+    hr = raw_hand_records(Tables(spark, d))
+    return hr.select("p_partkey", "Board", H.vul_from_board("Board").alias("vul"), H.dealer_from_board("Board").alias("dealer"))
+
+
 # --- scoring (C30, C31, A24) ---------------------------------------------------------
 
 def _score_sql(lv: str, st: str, db: str, vu: str, tr: str) -> str:

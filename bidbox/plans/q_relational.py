@@ -341,7 +341,8 @@ def o05_head(spark, d):
     return R.top_k(o, [F.col("o_orderdate"), F.col("o_orderkey")], 100)
 
 
-@register("o06_sample")
+@register("o06_sample", sql="""
+SELECT * FROM lineitem ORDER BY md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey, '42')), l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 100000""")
 def o06_sample(spark, d):
     """Deterministic sample of 100,000 rows, or all rows when fewer (the limit is the feature)."""
     li = Tables(spark, d).lineitem

@@ -139,6 +139,14 @@ def c10_key(spark, d):
     return li.withColumn("HandRecordBoard", K.board_key("l_orderkey", F.col("l_partkey") % 200, 2))
 
 
+@register("c26_label", sql="""
+SELECT l_orderkey, l_linenumber, l_partkey, chr(CAST(65 + l_suppkey % 26 AS INTEGER)) || CASE WHEN l_partkey % 120 < 10 THEN '0' ELSE '' END || CAST(l_partkey % 120 AS VARCHAR) AS label FROM lineitem""")
+def c26_label(spark, d):
+    """Section letter and pair number, padded to two digits."""
+    li = Tables(spark, d).lineitem
+    return li.select("l_orderkey", "l_linenumber", "l_partkey", K.section_pair_label(F.char((65 + F.col("l_suppkey") % 26).cast("long")), F.col("l_partkey") % 120).alias("label"))
+
+
 @register("c11_prefix", sql="""
 WITH a AS (SELECT CAST(o_custkey AS VARCHAR) || '-' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR)
     || '-' || CAST(l_partkey AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR) AS board_result_id,

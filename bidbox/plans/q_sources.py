@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -218,6 +219,37 @@ def s20_html_rows(spark, d):
     return HT.list_rows(table(spark, d, "pages"), "page_id", "html")
 
 
+def _result_pages(spark, d) -> DataFrame:
+    """A page for each customer with orders: a results table (header, a row an order) and the same rows as an embedded array."""
+    o = Tables(spark, d).orders.select("o_custkey", F.struct("o_orderkey", "o_orderstatus", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), F.format_string("%.2f", "o_totalprice").alias("total")).alias("r"))
+    per = o.groupBy("o_custkey").agg(F.array_sort(F.collect_list("r")).alias("rs"))  # the orders of one customer
+    join = lambda parts: F.array_join(parts, "")
+    row = lambda r: F.concat(F.lit('<tr>\n<td class="d">'), r["day"], F.lit('</td><td><a href="/details/'), r["o_orderkey"].cast("string"), F.lit('">Club &amp; <b>'), r["o_orderstatus"], F.lit("</b></a>\n</td><TD>"), r["total"], F.lit("</TD></tr>"))
+    item = lambda r: F.to_json(F.struct(r["o_orderkey"].alias("id"), F.struct(F.concat(r["o_orderstatus"], F.lit("; }];")).alias("note")).alias("more")))
+    table_ = F.concat(F.lit("<table><tr><th>Date</th><th>Club</th><th>Score</th></tr>"), join(F.transform("rs", row)), F.lit("</table>"))
+    script = F.concat(F.lit("<script>let address = [1, "), F.array_join(F.transform("rs", item), ", "), F.lit("]; var done = \"a;b\";</script>"))
+    return per.select(F.col("o_custkey").alias("page_id"), F.concat(F.lit("<html><body>"), table_, script, F.lit("</body></html>")).alias("html"))
+
+
+@register("s19_embedded_rows", sql="""
+SELECT o_custkey AS page_id, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS INTEGER) AS element, o_orderkey AS id, o_orderstatus || '; }];' AS note FROM orders""")
+def s19_embedded_rows(spark, d):
+    """Rows of an embedded array of nested objects whose strings hold brackets and semicolons."""
+    rows = HT.embedded_rows(_result_pages(spark, d), "page_id", "html", "address", "id long, more struct<note:string>")
+    return rows.select("page_id", "element", "id", "more.note")
+
+
+@register("s20_table_rows", sql="""
+WITH r AS (SELECT o_custkey AS page_id, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS row, FALSE AS header, strftime(o_orderdate, '%Y-%m-%d') AS c1, 'Club & ' || o_orderstatus AS c2,
+  printf('%.2f', o_totalprice) AS c3, '/details/' || CAST(o_orderkey AS VARCHAR) AS link FROM orders
+  UNION ALL SELECT DISTINCT o_custkey, 0, TRUE, 'Date', 'Club', 'Score', NULL FROM orders)
+SELECT page_id, CAST(row AS INTEGER) AS row, header, c1, c2, c3, link FROM r""")
+def s20_table_rows(spark, d):
+    """Rows, cells and links of the tables of result pages."""
+    rows = HT.table_rows(_result_pages(spark, d), "page_id", "html")
+    return rows.select("page_id", "row", "header", *[F.get("cells", F.lit(i)).alias(f"c{i + 1}") for i in range(3)], F.get("links", F.lit(0)).alias("link"))
+
+
 @register("q08_roster", sql=f"SELECT DISTINCT event_id, section_name, ns_pair AS pair_number FROM ({_DOC_ROWS_SQL})")
 def q08_roster(spark, d):
     return D.roster(_event_docs(spark, d))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -129,6 +132,51 @@ def i06_retention(spark, d):
     return o.select(cls.alias("retention")).groupBy("retention").agg(F.count(F.lit(1)).alias("rows"))
 
 
+@register("i06_retire", sql="""
+WITH e AS (SELECT date_diff('day', CAST(ts AS DATE), (SELECT CAST(max(ts) AS DATE) FROM events)) AS age FROM events)
+SELECT CASE WHEN age <= 10 THEN 'main' WHEN age <= 20 THEN 'archive' ELSE 'pruned' END AS place, count(*) AS rows FROM e GROUP BY ALL""")
+def i06_retire(spark, d):
+    """Day partitions kept 10 days, archived up to 20, then deleted; what is found in each place after two runs."""
+    e = Tables(spark, d).events.withColumn("day", F.to_date("ts"))
+    path, archive, manifest = (scratch_path(spark, x) for x in ("i06-main", "i06-archive", "i06-manifest"))
+    S.overwrite_partitions(e, path, ["day"])
+    newest = e.agg(F.max("day").cast("string")).first()[0]
+    for _ in range(2):
+        done = S.retire_partitions(spark, path, archive, manifest, "day", newest, 10, 20)
+    here = lambda name, df: df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("place"), "rows")
+    gone = done.where("action = 'prune'").agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")).select(F.lit("pruned").alias("place"), "rows")
+    return here("main", spark.read.parquet(path)).unionByName(here("archive", spark.read.parquet(archive))).unionByName(gone)
+
+
+@register("i10_phases", sql="""
+WITH c AS (SELECT o_custkey, o_orderstatus, sum(o_totalprice) AS total FROM orders GROUP BY ALL), n AS (
+SELECT 'clean' AS phase, (SELECT count(*) FROM orders WHERE o_totalprice > 1000) AS r1, (SELECT count(*) FROM orders WHERE o_totalprice > 1000) AS r2, 'run' AS a1, 'skip' AS a2
+UNION ALL SELECT 'totals', (SELECT count(DISTINCT o_custkey) FROM orders WHERE o_totalprice > 1000), (SELECT count(*) FROM (SELECT DISTINCT o_custkey, o_orderstatus FROM orders WHERE o_totalprice > 1000)), 'run', 'run'
+UNION ALL SELECT 'people', (SELECT count(*) FROM customer), (SELECT count(*) FROM customer), 'run', 'skip'
+UNION ALL SELECT 'report', (SELECT count(DISTINCT o_custkey) FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_totalprice > 1000),
+  (SELECT count(*) FROM (SELECT DISTINCT o_custkey, o_orderstatus FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_totalprice > 1000)), 'run', 'run'
+UNION ALL SELECT 'status', 1, 1, 'run', 'run')
+SELECT 1 AS run, phase, a1 AS action, r1 AS rows FROM n UNION ALL SELECT 2, phase, a2, r2 FROM n""")
+def i10_phases(spark, d):
+    """A job run twice, with another grouping the second time: finished phases are skipped, the changed one and what builds on it run, one always runs."""
+    t = Tables(spark, d)
+    folder = scratch_path(spark, "i10")
+
+    def job(by: list[str]) -> DataFrame:
+        phases = [
+            S.Phase("clean", lambda least: t.orders.where(F.col("o_totalprice") > least), {"least": 1000}, inputs=[t.orders]),
+            S.Phase("totals", lambda orders, by: orders.groupBy(*by).agg(F.sum("o_totalprice").alias("total")), {"by": by}, after=["clean"]),
+            S.Phase("people", lambda: t.customer, inputs=[t.customer]),
+            S.Phase("report", lambda totals, people: totals.join(people, F.col("o_custkey") == F.col("c_custkey")), after=["totals", "people"]),
+            S.Phase("status", lambda report: report.agg(F.count(F.lit(1)).alias("n")), after=["report"], always=True),
+        ]
+        actions, outputs = S.run_phases(spark, phases, folder)
+        counts = reduce(DataFrame.unionByName, [df.agg(F.count(F.lit(1)).alias("rows")).withColumn("phase", F.lit(n)) for n, df in outputs.items()])
+        return actions.join(counts, "phase")
+
+    return reduce(DataFrame.unionByName, [job(by).select(F.lit(i).alias("run"), "phase", "action", "rows") for i, by in ((1, ["o_custkey"]), (2, ["o_custkey", "o_orderstatus"]))])
+
+
 @register("i10_prefer_latest", sql=f"""
 WITH p3 AS (SELECT o_orderkey, o_totalprice * 1.02 AS v FROM orders WHERE o_orderstatus = 'F'),
 p2 AS (SELECT o_orderkey, o_totalprice * 1.01 AS v FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')),

@@ -7,7 +7,10 @@ write to file sinks or ``foreachBatch`` upserts that are idempotent per micro-ba
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+import uuid
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -196,6 +199,76 @@ def retention_class(ts: Column, newest: Column, keep_days: int = 30, prune_days:
     return F.when(age <= keep_days, "keep").when(age <= prune_days, "archive").otherwise("prune")
 
 
+def retire_partitions(spark: SparkSession, path: str, archive: str, manifest: str, by: str, newest: str,
+                      keep_days: int = 30, prune_days: int = 45) -> DataFrame:
+    """Move the date partitions ``by`` past ``keep_days`` to the archive and delete those past ``prune_days``.
+
+    Three steps: copy what is to be archived, commit the manifest, delete.  A partition in the manifest is never copied again, so a run that
+    follows a crash anywhere finishes the job: a crash before the commit repeats the copy, one after it repeats the deletion, and a
+    half-deleted partition cannot replace its archived copy.  A further run finds nothing to do.  Returns the manifest: (part, action, rows).
+    """
+    schema = "part string, action string, rows long"
+    done = spark.read.schema(schema).parquet(manifest) if path_exists(spark, manifest) else spark.createDataFrame([], schema)
+    rows = spark.read.option("recursiveFileLookup", "false").parquet(path)
+    part = F.date_format(F.col(by), "yyyy-MM-dd")
+    action = retention_class(F.col(by), F.lit(newest).cast("date"), keep_days, prune_days)
+    old = rows.withColumn("_part", part).withColumn("_action", action).where("_action != 'keep'").join(done.select(F.col("part").alias("_part")), "_part", "left_anti")
+    plan = old.groupBy("_part", "_action").agg(F.count(F.lit(1)).alias("rows")).select(F.col("_part").alias("part"), F.col("_action").alias("action"), "rows")
+    plan = [tuple(r) for r in plan.collect()]  # a row a partition
+    if plan:
+        overwrite_partitions(old.where("_action = 'archive'").drop("_part", "_action"), archive, [by])
+        spark.createDataFrame(plan, schema).coalesce(1).write.mode("append").parquet(manifest)  # the commit: one file
+    done = spark.read.schema(schema).parquet(manifest) if path_exists(spark, manifest) else done
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for r in done.select("part").collect():
+        store.delete(spark._jvm.org.apache.hadoop.fs.Path(folder, f"{by}={r.part}"), True)
+    spark.catalog.refreshByPath(path)
+    return done
+
+
+@dataclass
+class Phase:
+    """A step of a job: ``run`` gets the outputs of the phases named in ``after`` and returns a frame."""
+
+    name: str
+    run: Callable[..., DataFrame]
+    params: Mapping[str, object] = field(default_factory=dict)
+    after: Sequence[str] = ()
+    inputs: Sequence[DataFrame] = ()
+    always: bool = False
+
+
+def input_mark(df: DataFrame) -> str:
+    """Changes whenever a file that the frame reads does: names, sizes and times of its files, hashed on the executors."""
+    files = df.select(F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_size").alias("s"), F.col("_metadata.file_modification_time").alias("t")).distinct()
+    n, mark = files.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("p", "s", "t"))).first()
+    return f"{n}:{mark}"
+
+
+def run_phases(spark: SparkSession, phases: Sequence[Phase], folder: str) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Run the phases in order, skipping those that are done: ((phase, action), outputs by name).
+
+    A phase's fingerprint covers its parameters, its input files and the fingerprints of the phases before it.  Its output goes to a folder of that
+    name, and a ledger entry is written after it; an output without an entry does not count.  An ``always`` phase
+    runs every time under a new fingerprint, so what builds on it runs as well.
+    """
+    marks: dict[str, str] = {}
+    outputs: dict[str, DataFrame] = {}
+    actions = []
+    for p in phases:
+        told = [p.name, sorted((k, repr(v)) for k, v in p.params.items()), [input_mark(i) for i in p.inputs], [marks[a] for a in p.after], uuid.uuid4().hex if p.always else ""]
+        marks[p.name] = hashlib.sha256(repr(told).encode()).hexdigest()[:24]
+        out, entry = f"{folder}/{p.name}/{marks[p.name]}", f"{folder}/ledger/{p.name}-{marks[p.name]}"
+        skip = path_exists(spark, f"{entry}/_SUCCESS")
+        if not skip:
+            p.run(*[outputs[a] for a in p.after], **p.params).write.mode("overwrite").parquet(out)
+            spark.createDataFrame([(p.name, marks[p.name])], "phase string, mark string").coalesce(1).write.mode("overwrite").parquet(entry)
+        outputs[p.name] = spark.read.parquet(out)
+        actions.append((p.name, "skip" if skip else "run"))
+    return spark.createDataFrame(actions, "phase string, action string"), outputs
+
+
 def prefer_first(frames: Sequence[DataFrame], key: Sequence[str], value: str) -> DataFrame:
     """Per key, the value from the most preferred output that has one (coalesce in order)."""
     keys = frames[0].select(*key)
