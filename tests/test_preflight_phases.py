@@ -37,7 +37,7 @@ def test_preflight_reports_the_most_frequent(spark):
 
 
 def test_column_problems():
-    schema = T.StructType().add("a", "double").add("b", "string").add("c_right", "string").add("d", T.ArrayType(T.IntegerType())).add("e", "int").add("f", "string")
+    schema = T.StructType([T.StructField(n, k) for n, k in (("a", T.DoubleType()), ("b", T.StringType()), ("c_right", T.StringType()), ("d", T.ArrayType(T.IntegerType())), ("e", T.IntegerType()), ("f", T.StringType()))])
     assert SC.column_problems(schema, ["b"]) == {"a": ["double"], "c_right": ["string", "join suffix"], "d": ["nested"], "f": ["string"]}
     assert "f: string" in SC.schema_problems(schema, ["b"]) and SC.schema_problems(schema) == ["a: double", "c_right: join suffix", "d: nested"]
 
