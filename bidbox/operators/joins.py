@@ -77,6 +77,25 @@ def role_joins(fact: DataFrame, dim: DataFrame, dim_key: str, roles: Mapping[str
     return out
 
 
+def stacked_role_join(fact: DataFrame, dim: DataFrame, dim_key: str, roles: Mapping[str, str],
+                      dim_cols: Sequence[str]) -> DataFrame:
+    """As :func:`role_joins`, with one join for all roles, for a dimension too large to broadcast.
+
+    The distinct combinations of the roles' keys (reduced in each task) are stacked into one row a filled role and joined with the
+    dimension once; the attributes of a combination are put together again and joined back to the fact.  However many roles there are,
+    the fact is shuffled by its combinations twice, once with the role keys alone.  Null keys are never shuffled as roles,
+    and stay null.  ``dim_key`` must be unique; output columns are ``<dim col>_<role>``.
+    """
+    spots = [f"_role{i}" for i in range(len(roles))]
+    combos = fact.select(*[F.col(fk).alias(s) for s, fk in zip(spots, roles.values())]).distinct().where(F.coalesce(*spots).isNotNull())
+    stacked = combos.select(*spots, F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(s).alias("k")) for i, s in enumerate(spots)])).alias("_at"))
+    stacked = stacked.select(*spots, F.col("_at.i").alias("_i"), F.col("_at.k").alias("_k")).where(F.col("_k").isNotNull())
+    found = stacked.join(dim.select(F.col(dim_key).alias("_k"), F.struct(*dim_cols).alias("_d")), "_k")
+    whole = found.groupBy(*spots).agg(*[F.first(F.when(F.col("_i") == i, F.col("_d")), ignorenulls=True).alias(f"_d{i}") for i in range(len(roles))])
+    out = fact.join(whole, [fact[fk].eqNullSafe(whole[s]) for s, fk in zip(spots, roles.values())], "left")
+    return out.select(*[fact[c] for c in fact.columns], *[F.col(f"_d{i}.{c}").alias(f"{c}_{role}") for i, role in enumerate(roles) for c in dim_cols])
+
+
 def derive_on_distinct(df: DataFrame, key: str, derive: Mapping[str, Column]) -> DataFrame:
     """Compute expressions once per distinct key and join them back."""
     d = df.select(key).distinct()

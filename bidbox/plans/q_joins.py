@@ -140,7 +140,7 @@ def j10_roles(spark, d):
     s = seat_rows(t)
     players = t.customer.select(F.col("c_custkey"), F.col("c_name").alias("Player_Name"),
                                 F.col("c_acctbal").alias("MasterPoints"))
-    out = J.role_joins(s, players, "c_custkey", {x: f"Player_ID_{x}" for x in "NESW"},
+    out = J.stacked_role_join(s, players, "c_custkey", {x: f"Player_ID_{x}" for x in "NESW"},
                        ["Player_Name", "MasterPoints"])
     return out.select("session_id", "Board", "Round", "l_orderkey",
                       *[f"Player_Name_{x}" for x in "NESW"], *[f"MasterPoints_{x}" for x in "NESW"])
@@ -156,7 +156,7 @@ LEFT JOIN lv so ON s.Player_ID_S = so.user_id LEFT JOIN lv w ON s.Player_ID_W =
 def j11_latest_lookup(spark, d):
     t = Tables(spark, d)
     latest = R.latest_value(t.events, ["user_id"], ["value"], ["ts", "event_id"]).withColumnRenamed("value", "Latest")
-    out = J.role_joins(seat_rows(t), latest, "user_id", {x: f"Player_ID_{x}" for x in "NESW"}, ["Latest"])
+    out = J.stacked_role_join(seat_rows(t), latest, "user_id", {x: f"Player_ID_{x}" for x in "NESW"}, ["Latest"])
     return out.select("session_id", "Board", "Round", "l_orderkey", *[f"Latest_{x}" for x in "NESW"])
 
 

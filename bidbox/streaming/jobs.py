@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import path_exists
+from . import keyed
 
 
 def _run(query) -> None:
@@ -38,53 +39,39 @@ def ingest_new_files(spark: SparkSession, landing: str, schema: T.StructType, si
     return spark.read.schema(schema).parquet(sink)
 
 
-def dedupe_stream(spark: SparkSession, landing: str, schema: T.StructType, key: Sequence[str], sink: str, checkpoint: str) -> DataFrame:
-    """Live + history without duplicates, by key and without a time limit: a late row is merged like any other.
-
-    Each micro-batch appends the rows whose key no earlier batch has written (null-safe), to its own
-    ``batch_id=<n>`` folder in overwrite mode, so a retried batch rewrites the same files.
-    """
-    key = list(key)
+def _run_keyed(spark: SparkSession, landing: str, schema: T.StructType, key: Sequence[str], keep: T.StructType, cache: str, checkpoint: str,
+               max_files_per_trigger: int | None, sizes: Mapping[str, int]) -> DataFrame:
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        fresh = batch.dropDuplicates(key)
-        if path_exists(batch.sparkSession, sink):
-            done = batch.sparkSession.read.schema(f"{schema.toDDL()}, batch_id long").parquet(sink).where(F.col("batch_id") != batch_id).select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(key)])
-            fresh = fresh.join(done, [fresh[c].eqNullSafe(done[f"_k{i}"]) for i, c in enumerate(key)], "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+        keyed.append_novel(batch.select(*keep.names), cache, key, **sizes)
+        keyed.compact(batch.sparkSession, cache, keep, key, **sizes)
 
-    q = (spark.readStream.schema(schema).parquet(landing).writeStream.foreachBatch(merge)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    _run(q)
-    return spark.read.schema(schema).parquet(sink) if path_exists(spark, sink) else spark.createDataFrame([], schema)
+    _run(reader.parquet(landing).writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    return keyed.read(spark, cache, keep)
 
 
-def upsert_novel_keys(spark: SparkSession, landing: str, schema: T.StructType, key: Sequence[str],
-                      cache: str, checkpoint: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Incremental cache: each micro-batch appends only keys not in the cache yet.
+def dedupe_stream(spark: SparkSession, landing: str, schema: T.StructType, key: Sequence[str], sink: str, checkpoint: str,
+                  max_files_per_trigger: int | None = None, **sizes: int) -> DataFrame:
+    """Live + history without duplicates, by key and without a time limit: a late row is merged like any other.
 
-    Keys are compared null-safely.  A retried batch finds its own earlier rows in the cache and
-    appends nothing twice, so the cache stays unique on ``key``.
+    Each micro-batch appends the rows whose key the sink lacks (null-safe); a batch that is retried, or comes again after a lost
+    checkpoint, finds its rows there.  The sink is a keyed cache (:mod:`bidbox.streaming.keyed`, also for ``sizes``): a
+    batch reads the filters of its keys' buckets and the keys of buckets that may hold one, not the history.
     """
-    key = list(key)
-    key_schema = T.StructType([f for f in schema.fields if f.name in key])
-    spark.createDataFrame([], key_schema).write.mode("ignore").parquet(cache)
+    return _run_keyed(spark, landing, schema, list(key), schema, sink, checkpoint, max_files_per_trigger, sizes)
 
-    def upsert(batch: DataFrame, batch_id: int) -> None:
-        existing = batch.sparkSession.read.schema(key_schema).parquet(cache)
-        fresh = batch.select(*key).dropDuplicates(key)
-        cond = [fresh[c].eqNullSafe(existing[c]) for c in key]
-        novel = fresh.join(existing, cond, "left_anti")
-        novel.write.mode("append").parquet(cache)
 
-    reader = spark.readStream.schema(schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    q = (reader.parquet(landing)
-         .writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    _run(q)
-    return spark.read.schema(key_schema).parquet(cache)
+def upsert_novel_keys(spark: SparkSession, landing: str, schema: T.StructType, key: Sequence[str],
+                      cache: str, checkpoint: str, max_files_per_trigger: int | None = None, **sizes: int) -> DataFrame:
+    """Incremental cache of keys: each micro-batch appends only keys not in the cache yet.
+
+    As :func:`dedupe_stream`, for the key columns alone.
+    """
+    key_schema = T.StructType([f for f in schema.fields if f.name in key])
+    return _run_keyed(spark, landing, schema, list(key), key_schema, cache, checkpoint, max_files_per_trigger, sizes)
 
 
 #: Column that names the landed file of a row while a batch is routed.
