@@ -194,6 +194,44 @@ def m06_classifier(spark, d):
     return rounded(ML.predictions(model, df, ["doc_id", "label", "held_out"]))
 
 
+@register("m06_metrics")
+def m06_metrics(spark, d):
+    """Rows-only: metrics of that classifier on the rows it was fitted on and on the held-out ones."""
+    df = _doc_frame(Tables(spark, d))
+    model, _ = ML.fit_classifier(_train(df), ["log_chars"], ["lang", "source"], "label", "logistic")
+    return rounded(ML.class_metrics(ML.predictions(model, df, ["label", "held_out"]), ["held_out"], "label", "prediction", "p_class"))
+
+
+_PRICE = "l_extendedprice / 1000.0"
+
+
+@register("m06_regressor", sql=f"""
+WITH x AS (SELECT CAST(l_quantity AS DOUBLE) AS q, {_PRICE} AS y, {_fold_sql("l_orderkey", "l_linenumber", k=5)} = 0 AS held_out FROM lineitem),
+m AS (SELECT regr_slope(y, q) AS b, regr_intercept(y, q) AS a FROM x WHERE NOT held_out AND q IS NOT NULL AND y IS NOT NULL),
+p AS (SELECT held_out, y, a + b * q AS pred FROM x, m),
+g AS (SELECT held_out, count(*) AS n, avg(abs(pred - y)) AS mae, sqrt(avg((pred - y) * (pred - y))) AS rmse, stddev_pop(y) AS std_y, stddev_pop(pred) AS std_pred,
+  avg(y) AS mean_y, avg(pred) AS mean_pred FROM p WHERE y IS NOT NULL AND pred IS NOT NULL GROUP BY held_out)
+SELECT held_out, n, {", ".join(f"{r(c)} AS {c}" for c in ("mae", "rmse", "std_y", "std_pred", "mean_y", "mean_pred"))}, {r("std_pred / nullif(std_y, 0)")} AS variance_ratio,
+  CASE WHEN std_y = 0 THEN 'undefined' WHEN std_pred / std_y < 0.3 THEN 'severe_underfit' WHEN std_pred / std_y < 0.5 THEN 'moderate_underfit' WHEN std_pred / std_y > 1.2 THEN 'overfit' ELSE 'good' END AS verdict FROM g""")
+def m06_regressor(spark, d):
+    """Least squares of the price in thousands on the quantity, fitted outside the held-out fold; error and spread of either side."""
+    x = Tables(spark, d).lineitem.select("l_orderkey", "l_linenumber", F.col("l_quantity").cast("double").alias("q"), F.expr(_PRICE).cast("double").alias("y"))
+    x = x.withColumn("held_out", ML.fold_of(["l_orderkey", "l_linenumber"], k=5) == 0)
+    model, _ = ML.fit_regressor(x.where("NOT held_out AND q IS NOT NULL AND y IS NOT NULL"), ["q"], [], "y")
+    p = model.transform(x.where("q IS NOT NULL")).select("held_out", "y", "prediction")
+    sides = [R.regression_metrics(p.where(F.col("held_out") == side), "y", "prediction").where("n > 0").withColumn("held_out", F.lit(side)) for side in (False, True)]
+    return rounded(sides[0].unionByName(sides[1]))
+
+
+@register("m07_importance_classes")
+def m07_importance_classes(spark, d):
+    """Rows-only: forest importances for a label of many classes, the order's priority (as its index)."""
+    o = Tables(spark, d).orders.select("o_custkey", F.col("o_totalprice").cast("double").alias("total"), F.month("o_orderdate").alias("month"), "o_orderstatus", "o_orderpriority")
+    classes = ML.category_index(o, "o_orderpriority").select(F.col("category").alias("o_orderpriority"), F.col("idx").cast("double").alias("label"))
+    model, feats = ML.fit_classifier(o.join(classes, "o_orderpriority"), ["total", "month"], ["o_orderstatus"], "label", "forest")
+    return rounded(ML.importances(spark, model, feats))
+
+
 @register("m07_importance")
 def m07_importance(spark, d):
     """Rows-only: GBT feature importances for the same task."""
