@@ -17,12 +17,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bidbox.llm.common import arrow_map
+from bidbox.llm.common import arrow_map, materialize
 
 #: Payloads from so many bytes on are stored once.
 LEAST_REVISIT = 1000
 #: About so many payload bytes an archive.
 FILE_BYTES = 32 << 20
+#: A payload with a larger share of the rows than one in so many has its flag broadcast: there are at most so many.
+HOT = 1000
 DATE = "2024-01-01T00:00:00Z"
 _EOL = "\r\n"
 
@@ -45,15 +47,22 @@ def captures(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", ht
     """Each page with its payload's size and SHA-1, its record type and, for a revisit, the page it refers to.
 
     Of equal payloads (size and SHA-1) of at least ``least`` bytes the row with the largest id is the response; of rows that
-    repeat this id one is.  Null html is an empty payload.  The hot payloads' join is salted by the shuffle partitions.
+    repeat this id one is.  Null html is an empty payload.  The rows are numbered in a written table, so a retry cannot number them anew.
+    The flag of a payload that holds more than 1/1000 of the rows (1,000 such at most) is broadcast; those rows, and those without
+    a copy to look for, meet nothing in the join by payload and are spread evenly.
     """
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), F.coalesce(F.col(html).cast("string"), F.lit("")).alias("payload"))
-    rows = (rows.withColumn("bytes", F.octet_length("payload").cast("long")).withColumn("digest", F.sha1(F.col("payload").cast("binary")))
-            .withColumn("nr", F.monotonically_increasing_id()))
+    rows = materialize(rows.withColumn("bytes", F.octet_length("payload").cast("long")).withColumn("digest", F.sha1(F.col("payload").cast("binary")))
+                       .withColumn("nr", F.monotonically_increasing_id()), "captures")
     long = rows.where(F.col("bytes") >= least).groupBy("digest", "bytes").agg(F.max(F.struct("page_id", "nr")).alias("whole"), F.count("*").alias("n")).where("n > 1")
-    salts = max(2, int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    long = long.select("digest", "bytes", "whole", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
-    rows = rows.withColumn("salt", F.pmod(F.xxhash64("nr", "page_id"), F.lit(salts)).cast("int")).join(long, ["digest", "bytes", "salt"], "left")
+    long = materialize(long, "payloads")
+    hot = F.col("n") * HOT > F.lit(rows.count())
+    few = F.broadcast(long.where(hot).select("digest", "bytes", F.col("whole").alias("hot_whole")))
+    met = rows.join(few, ["digest", "bytes"], "left")
+    asks = F.col("hot_whole").isNull() & (F.col("bytes") >= least)
+    met = met.withColumn("key", F.when(asks, F.col("digest")).otherwise(F.concat(F.lit("row "), F.col("nr").cast("string"))))
+    rest = long.where(~hot).select(F.col("digest").alias("key"), "bytes", F.col("whole").alias("rest_whole"))
+    rows = met.join(rest, ["key", "bytes"], "left").withColumn("whole", F.coalesce("hot_whole", "rest_whole"))
     first = F.col("whole").isNull() | (F.col("whole") == F.struct("page_id", "nr"))
     return rows.select("page_id", "url", "payload", "bytes", "digest", "nr", F.when(first, "response").otherwise("revisit").alias("type"), F.when(~first, F.col("whole.page_id")).alias("refers_to"), "whole")
 

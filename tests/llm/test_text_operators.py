@@ -160,6 +160,24 @@ def test_warc_round_trip_and_revisits(spark, compression):
     assert all(r.request is not None and r.metadata is not None for r in found) and by["4"][0].uri == "u WARC-Type: metadata"
 
 
+def test_warc_hot_and_rare_payloads(spark):
+    """A third of the rows share one payload, others have two or three copies; rows repeat ids and whole rows."""
+    hot, rare = "h" * 1500, lambda i: f"{i:04d}" * 300
+    rows = [(i, f"http://a/{i}", hot if i % 3 == 0 else rare(i // 2) if i % 3 == 1 else f"{i}") for i in range(3000)]
+    rows += [(2997, "http://a/2997", hot), (2997, "http://b/", hot), (None, None, hot), (1, "http://a/1", rare(0)), (1, "http://a/1", rare(0)), (2, None, None)]
+    found = warc.captures(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert sorted(((r.page_id, r.payload) for r in found), key=repr) == sorted(((i, t or "") for i, _, t in rows), key=repr)
+    last = {}
+    for i, _, t in rows:
+        if t and len(t) >= 1000:
+            last[t] = max(last.get(t, -1), -1 if i is None else i)
+    for t, i in last.items():
+        same = [r for r in found if r.payload == t]
+        whole = [r for r in same if r.type == "response"]
+        assert [r.page_id for r in whole] == [i] and all(r.refers_to == i for r in same if r.type == "revisit")
+    assert all(r.type == "response" and r.refers_to is None for r in found if r.bytes < 1000)
+
+
 def test_warc_reader_reads_other_archives(spark):
     import gzip
 
