@@ -101,6 +101,24 @@ def s10_manifest(spark, d):
     return m.agg(F.sum("rows").alias("total_rows"), F.bool_and((F.col("rows") > 0) & (F.col("bytes") > 0)).alias("all_files_nonempty"))
 
 
+_SHARD_BYTES = 1 << 20
+
+
+@register("s10_shards", sql=f"""
+WITH x AS (SELECT l_orderkey, l_linenumber, 8 + 8 + 8 + coalesce(strlen(l_returnflag), 0) + coalesce(strlen(l_linestatus), 0) AS b,
+  CAST('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber)), 1, 8) AS BIGINT) AS h FROM lineitem),
+n AS (SELECT CAST(greatest(1, ceil(sum(b) / {_SHARD_BYTES}.0)) AS BIGINT) AS n FROM x)
+SELECT h % n AS shard, count(*) AS rows, CAST(sum(b) AS BIGINT) AS row_bytes FROM x, n GROUP BY 1""")
+def s10_shards(spark, d):
+    """Shards of about a megabyte of plain rows, read back against the manifest that was counted before the write."""
+    path = scratch_path(spark, "s10-shards")
+    li = table(spark, d, "lineitem").select(F.col("l_orderkey").cast("long").alias("l_orderkey"), F.col("l_linenumber").cast("long").alias("l_linenumber"),
+                                           F.col("l_extendedprice").cast("double").alias("l_extendedprice"), "l_returnflag", "l_linestatus")
+    FS.write_shards(li, path, ["l_orderkey", "l_linenumber"], _SHARD_BYTES)
+    back = FS.read_shards(spark, path, li.schema)
+    return back.groupBy("shard").agg(F.count(F.lit(1)).alias("rows"), F.sum(FS.row_bytes(li.schema)).alias("row_bytes"))
+
+
 @register("s11_compact", sql=_YEAR_COUNTS_SQL)
 def s11_compact(spark, d):
     o = table(spark, d, "orders").withColumn("year", F.year("o_orderdate"))

@@ -10,11 +10,14 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+SHARD_MANIFEST = "shard long, rows long, row_bytes long, mark long, mark_sum long"
+
+
 class ManifestError(ValueError):
     pass
 
@@ -62,6 +65,61 @@ def validated_scan(spark: SparkSession, root: str, manifest: DataFrame) -> DataF
     return df
 
 
+def row_bytes(schema: T.StructType) -> Column:
+    """Plain size of a row: the UTF-8 or binary length of texts and bytes (null: 0), their JSON's for nested values, the type's width for others."""
+    widths = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "float": 4, "date": 4}
+    size = F.lit(0).cast("long")
+    for f in schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+        elif isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            size = size + F.coalesce(F.octet_length(c), F.lit(0))
+        else:
+            size = size + F.lit(widths.get(f.dataType.typeName(), 8))
+    return size
+
+
+def _shard_state(df: DataFrame, schema: T.StructType) -> DataFrame:
+    values = [F.map_entries(f"`{f.name}`") if isinstance(f.dataType, T.MapType) else F.col(f"`{f.name}`") for f in schema.fields]
+    mark = F.xxhash64(*values)
+    return df.groupBy("shard").agg(F.count(F.lit(1)).alias("rows"), F.sum(row_bytes(schema)).alias("row_bytes"),
+                                   F.bit_xor(mark).alias("mark"), F.sum(F.pmod(mark, F.lit(1 << 31))).alias("mark_sum"))
+
+
+def write_shards(df: DataFrame, path: str, by: Sequence[str], shard_bytes: int = 1 << 30) -> DataFrame:
+    """As many shards as ``df`` has ``shard_bytes`` of plain rows, and a manifest (shard, rows, row_bytes, mark, mark_sum).
+
+    A row's shard comes from the md5 of its ``by`` columns, so shards are even if these tell rows apart, and a rerun makes the same ones.
+    The manifest is counted from the rows that were to be written, not from the files, and committed after them as JSON lines.
+    Maps within arrays or structs cannot be hashed and raise.
+    """
+    total = df.agg(F.sum(row_bytes(df.schema))).first()[0] or 0
+    n = max(1, -(-total // shard_bytes))
+    text = F.concat_ws("|", *[F.col(c).cast("string") for c in by])
+    shard = F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long") % n
+    out = df.withColumn("shard", shard)
+    write_partitioned(out, f"{path}/data", ["shard"])
+    _shard_state(out, df.schema).write.mode("overwrite").json(f"{path}/manifest")
+    return df.sparkSession.read.schema(SHARD_MANIFEST).json(f"{path}/manifest")
+
+
+def read_shards(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The rows of :func:`write_shards` (with their ``shard``), checked against its manifest.
+
+    A shard that is missing, not listed, or whose rows differ in number, size or content (order-free hashes) raises; so do shards without manifest.
+    """
+    listed = spark.read.schema(SHARD_MANIFEST).json(f"{path}/manifest")
+    full = T.StructType([*schema.fields, T.StructField("shard", T.LongType())])
+    rows = spark.read.schema(full).parquet(f"{path}/data")
+    state = lambda df, name: df.select("shard", F.struct("rows", "row_bytes", "mark", "mark_sum").alias(name))
+    both = state(listed, "listed").join(state(_shard_state(rows, schema), "seen"), "shard", "full_outer")
+    wrong = both.where(~F.col("listed").eqNullSafe(F.col("seen"))).orderBy("shard").limit(5).collect()
+    if wrong:
+        raise ManifestError(f"shards differ from their manifest (shard, listed, seen): {[tuple(r) for r in wrong]}")
+    return rows
+
+
 def write_partitioned(df: DataFrame, path: str, by: Sequence[str], fmt: str = "parquet",
                       compression: str = "zstd", max_records: int = 0) -> None:
     """Partitioned write; AQE's rebalance clusters a partition value's rows and cuts a large value into several tasks."""
