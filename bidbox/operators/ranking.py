@@ -77,12 +77,14 @@ def _rank_within(df: DataFrame, partition_cols: Sequence[str], col: str) -> Data
 
 def average_rank(df: DataFrame, col: str, out_col: str,
                  partition_cols: Sequence[str] = (), divide_by_count: bool = False,
-                 n_buckets: int = 512) -> DataFrame:
+                 n_buckets: int = 512, stored: bool = False) -> DataFrame:
     """Average-tie rank (1-based) of ``col``; null/NaN stays null.
 
     With ``divide_by_count`` the rank is divided by the number of rows in the partition,
     nulls included (a ``rank / len()`` percentile).  Without partition columns the rank is
     global and computed by the bucketed prefix sum described in the module docstring.
+    ``stored`` says that ``col`` is read from files (or follows row by row from such columns), so that every reading sees the
+    same bits: then the rows themselves are not written for the global rank, only its distinct values.
     """
     partition_cols = list(partition_cols)
     x = F.col(col)
@@ -92,35 +94,37 @@ def average_rank(df: DataFrame, col: str, out_col: str,
         out = (df.join(ranks, on=[*partition_cols, col], how="left")
                  .join(totals, on=partition_cols, how="left"))
     else:
-        out = _global_rank(df, col, n_buckets)
+        out = _global_rank(df, col, n_buckets, stored)
     avg_rank = F.col("_n_lt") + (F.col("_n_eq") + 1) / F.lit(2.0)
     val = avg_rank / F.col("_n_all") if divide_by_count else avg_rank
     return (out.withColumn(out_col, F.when(x.isNotNull() & ~F.isnan(x), val))
                .drop("_n_eq", "_n_lt", "_n_all"))
 
 
-def _global_rank(df: DataFrame, col: str, n_buckets: int) -> DataFrame:
+def _global_rank(df: DataFrame, col: str, n_buckets: int, stored: bool) -> DataFrame:
     from pyspark.ml.feature import Bucketizer
 
     # The rank is joined back on the value itself, so every branch must see the same bits:
     # an upstream float aggregate recomputed per branch may differ in the last ulp.
-    # A reliable checkpoint (shared checkpoint dir) pins the input once.
-    from ..session import ensure_checkpoint_dir
+    # A reliable checkpoint (shared checkpoint dir) pins such an input once.
+    from ..session import ensure_checkpoint_dir, materialize
 
-    ensure_checkpoint_dir(df.sparkSession)
-    df = df.checkpoint(eager=True)
+    if not stored:
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
+    counts = materialize(df.groupBy(col).agg(F.count(F.lit(1)).alias("_n_eq")), "rank-values")
 
-    # Bucket bounds (a bounded list of approximate quantiles) and the row count come back in one
-    # small aggregate; both are O(n_buckets) on the driver.
+    # Bucket bounds (a bounded list of approximate quantiles of the distinct values, which fill the buckets) and the row count
+    # come back in one small aggregate; both are O(n_buckets) on the driver.
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    row = df.agg(F.percentile_approx(F.when(~F.isnan(F.col(col)), F.col(col).cast("double")), probs, 10000).alias("b"),
-                 F.count(F.lit(1)).alias("n")).first()
-    total = int(row["n"])
+    row = counts.agg(F.percentile_approx(F.when(~F.isnan(F.col(col)), F.col(col).cast("double")), probs, 10000).alias("b"),
+                     F.sum("_n_eq").alias("n")).first()
+    total = int(row["n"] or 0)
     bounds = sorted({float(b) for b in (row["b"] or []) if math.isfinite(b)})
     splits = [float("-inf"), *bounds, float("inf")]
     if len(splits) < 3:
         splits = [float("-inf"), 0.0, float("inf")]
-    distinct = _distinct_counts(df, col)
+    distinct = counts.where(F.col(col).isNotNull() & ~F.isnan(col))
     distinct = distinct.withColumn("_xd", F.col(col).cast("double"))
     bucketed = Bucketizer(splits=splits, inputCol="_xd", outputCol="_bucket",
                           handleInvalid="keep").transform(distinct).drop("_xd")

@@ -88,7 +88,7 @@ FROM br""")
 def w04_rank_pct(spark, sf_dir):
     """Global average-tie rank / row count of the quantity column (heavy ties: 50 values)."""
     br = board_rows(Tables(spark, sf_dir)).select("session_id", "Board", "Pair_Number_NS", "Pred_Score_NS")
-    return rounded(average_rank(br, "Pred_Score_NS", "rank_pct", divide_by_count=True))
+    return rounded(average_rank(br, "Pred_Score_NS", "rank_pct", divide_by_count=True, stored=True))
 
 
 @register("a19_report", sql=_LUCK_SQL + f"""

@@ -310,3 +310,11 @@ def test_no_scratch_folder_off_local_mode(spark, monkeypatch):
 
     with pytest.raises(RuntimeError):
         SE.ensure_checkpoint_dir(Fake())
+
+
+def test_global_rank_of_stored_and_derived_columns_agree(spark):
+    from bidbox.operators import ranking as RK
+    df = spark.range(300).select("id", F.when(F.col("id") % 7 > 0, (F.col("id") * 37 % 41 - 20) / 4.0).alias("x"))
+    df = df.withColumn("x", F.when(F.col("id") == 8, F.lit(float("nan"))).when(F.col("id") == 9, F.lit(float("inf"))).otherwise(F.col("x")))
+    get = lambda d, **kw: sorted(((r.id, r.p) for r in RK.average_rank(d, "x", "p", **kw).collect()))
+    assert get(df, stored=True) == get(df) and get(df.limit(0), stored=True) == []
