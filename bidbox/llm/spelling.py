@@ -208,7 +208,8 @@ def near_words(vocabulary: DataFrame, *, shard: int = SHARD) -> DataFrame:
     placed = placed.join(F.broadcast(crowded), ["last", "end"], "left").withColumn("blocks", F.ceil(F.coalesce("size", F.lit(1)) / shard).cast("int"))
     placed = placed.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("home", F.col("block") == F.pmod(F.xxhash64("word"), F.col("blocks")))
     shards = max(1, -(-vocabulary.count() // shard))
-    dealt = placed.withColumn("shard", F.pmod(F.xxhash64("end", "block"), F.lit(shards)))
+    # blocks of an end, never more than there are shards, lie in different ones: a word that met two of them in one shard would count its near words twice
+    dealt = placed.withColumn("shard", F.pmod(F.pmod(F.xxhash64("end"), F.lit(shards)) + F.col("block"), F.lit(shards)))
     found = arrow_groups(dealt.select("last", "shard", "word", "n", "home"), ["last", "shard"], _shard, _NEAR)
     top = F.min(F.struct((-F.col("best_n")).alias("less"), "best")).alias("top")
     return found.groupBy("word").agg(F.sum("n_near").alias("n_near"), top).select("word", "n_near", F.col("top.best").alias("best"), (-F.col("top.less")).alias("best_n"))

@@ -91,6 +91,16 @@ def test_variants_against_brute_force(spark):
         assert got(spelling.variants(spelling.with_slips(spelling.occurrences(df)), shard=shard)) == want
 
 
+def test_blocks_of_a_crowded_end_lie_in_different_shards(spark):
+    rnd = random.Random(5)
+    words = sorted({"pre" + "".join(rnd.choice("abc") for _ in range(rnd.randint(3, 5))) for _ in range(160)})  # one end holds all words
+    counts = Counter({w: rnd.choice([5, 6, 40]) for w in words})
+    df = spark.createDataFrame([(w,) for w, n in counts.items() for _ in range(n)], "word string")
+    want = expected(counts)
+    for shard in (64, 16, 5):
+        assert got(spelling.variants(df, shard=shard)) == want
+
+
 def test_slips_change_words(spark):
     docs = [(i, "correct spelling everywhere") for i in range(800)]
     df = spark.createDataFrame(docs, "doc_id long, text string")
