@@ -2,10 +2,11 @@
 
 Both are written so that a hot key never lands whole in one task:
 
-* Matchpoints first collapse the field to one row per (board, score) with a
-  map-side partial aggregate.  The running "beaten" counts over that reduced frame are
-  an exact distributed prefix sum (:func:`below_counts`).  The join back
-  is an equi-join on (board, score) that AQE may broadcast or skew-split.
+* Matchpoints go by windows over a board's rows, shuffled once for all scores; a crowded board
+  (:data:`CROWDED`) is first collapsed to one row per (board, score) with a map-side partial
+  aggregate.  The running "beaten" counts over that reduced frame are an exact distributed prefix
+  sum (:func:`below_counts`).  The join back is an equi-join on (board, score) that AQE may
+  broadcast or skew-split.
 * A global rank (no partition key) is an exact distributed prefix sum: distinct
   values are range-bucketed by approximate quantiles (bounded number of buckets),
   per-bucket counts get a running offset over the small bucket table, and the rank
@@ -15,7 +16,7 @@ Both are written so that a hot key never lands whole in one task:
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,27 +46,84 @@ def below_counts(d: DataFrame, keys: Sequence[str], value: str, count_col: str =
             .withColumn("_n_lt", F.col("_off") + F.col("_loc")).drop("_run", "_loc", "_off"))
 
 
+#: A board is crowded if it has more results than this and than 1/1000 of all, so at most 1,000 boards are.
+CROWDED = 200_000
+
+
 def matchpoints(df: DataFrame, board_cols: Sequence[str], score_col: str,
-                mp_col: str = "MP", top_col: str = "MP_Top", pct_col: str = "Pct") -> DataFrame:
+                mp_col: str = "MP", top_col: str = "MP_Top", pct_col: str = "Pct", crowded: int = CROWDED) -> DataFrame:
     """Matchpoints of each result against its board field.
 
     MP = results with a lower score + half of the other results with an equal score;
     top = field size - 1; pct = MP / top, null when the field has one result.
     Rows with a null score are not part of the field and get null MP/top/pct.
     """
+    return matchpoints_of(df, board_cols, {score_col: (mp_col, top_col, pct_col)}, crowded)
+
+
+def matchpoints_of(df: DataFrame, board_cols: Sequence[str], scores: Mapping[str, tuple[str, str, str]], crowded: int = CROWDED) -> DataFrame:
+    """Matchpoints by several scores of the same boards: score -> (MP, top, pct) columns.
+
+    Rows go to their board once, whatever the number of scores, and are ranked there by windows.  Crowded boards
+    (known from a count a board) go by the distributed prefix sums instead, and rows without a board stay where they are.
+    ``df`` is read for the count and again for each of these three kinds of rows that there are.
+    """
     board_cols = list(board_cols)
-    field = (df.where(F.col(score_col).isNotNull())
-             .groupBy(*board_cols, score_col)
-             .agg(F.count(F.lit(1)).alias("_n_eq")))
-    field = below_counts(field, board_cols, score_col)
-    out = df.join(field, on=[*board_cols, score_col], how="left")
-    mp = F.col("_n_lt") + (F.col("_n_eq") - 1) / F.lit(2.0)
-    top = F.col("_n_field") - 1
-    return (out
-            .withColumn(mp_col, mp.cast("double"))
-            .withColumn(top_col, top)
-            .withColumn(pct_col, F.when(top > 0, mp / top))
-            .drop("_n_eq", "_n_lt", "_n_field"))
+    known = F.lit(True)
+    for c in board_cols:
+        known = known & F.col(c).isNotNull()
+    sizes = df.groupBy(*board_cols).agg(F.count(F.lit(1)).alias("_c"))
+    seen = sizes.agg(F.max(F.when(known, F.col("_c"))).alias("most"), F.sum("_c").alias("rows"), F.count_if(~known).alias("unknown")).first()
+    limit = max(crowded, (seen["rows"] or 0) // 1000)
+    rows, rest = df, []
+    if seen["unknown"]:
+        rows, rest = rows.where(known), [_ordered(df.where(~known), board_cols, {s: (F.lit(None).cast("double"), F.lit(None).cast("long")) for s in scores}, scores)]
+    if (seen["most"] or 0) > limit:
+        heavy = F.broadcast(sizes.where(known & (F.col("_c") > limit)).select(*board_cols))
+        rest.append(_matchpoints_spread(rows.join(heavy, board_cols, "left_semi"), board_cols, scores))
+        rows = rows.join(heavy, board_cols, "left_anti")
+    out = _matchpoints_in_windows(rows, board_cols, scores)
+    for some in rest:
+        out = out.unionByName(some)
+    return out
+
+
+def _ordered(df: DataFrame, board_cols: list[str], values: Mapping[str, tuple[Column, Column]], scores: Mapping[str, tuple[str, str, str]]) -> DataFrame:
+    """Add (MP, top, pct) for the (MP, top) of each score; board and score columns come first, the last score's foremost."""
+    names = df.columns
+    keep = [c for c in names if not c.startswith("_mp_")]
+    out = df
+    for score, (mp_col, top_col, pct_col) in scores.items():
+        mp, top = values[score]
+        out = out.withColumns({mp_col: mp.cast("double"), top_col: top, pct_col: F.when(top > 0, mp / top)})
+        keep = [*board_cols, score, *(c for c in keep if c not in (*board_cols, score, mp_col, top_col, pct_col)), mp_col, top_col, pct_col]
+    return out.select(*keep)
+
+
+def _matchpoints_in_windows(df: DataFrame, board_cols: list[str], scores: Mapping[str, tuple[str, str, str]]) -> DataFrame:
+    board = Window.partitionBy(*board_cols)
+    out, values = df.withColumn("_mp_rows", F.count(F.lit(1)).over(board)), {}
+    for i, score in enumerate(scores):
+        below, equal, field = f"_mp_below{i}", f"_mp_equal{i}", f"_mp_field{i}"
+        # nulls rank first and are taken off again: this order is the one by which equal scores are counted too
+        out = out.withColumn(below, F.rank().over(board.orderBy(score)))
+        out = out.withColumn(equal, F.count(F.lit(1)).over(Window.partitionBy(*board_cols, score))).withColumn(field, F.count(score).over(board))
+        n_lt = F.col(below).cast("long") - 1 - (F.col("_mp_rows") - F.col(field))
+        ranked = F.col(score).isNotNull()
+        values[score] = F.when(ranked, n_lt + (F.col(equal) - 1) / F.lit(2.0)), F.when(ranked, F.col(field) - 1)
+    return _ordered(out, board_cols, values, scores)
+
+
+def _matchpoints_spread(df: DataFrame, board_cols: list[str], scores: Mapping[str, tuple[str, str, str]]) -> DataFrame:
+    out, values = df, {}
+    for i, score in enumerate(scores):
+        field = (df.where(F.col(score).isNotNull())
+                 .groupBy(*board_cols, score)
+                 .agg(F.count(F.lit(1)).alias("_n_eq")))
+        field = below_counts(field, board_cols, score).select(*board_cols, score, F.col("_n_lt").alias(f"_mp_below{i}"), F.col("_n_eq").alias(f"_mp_equal{i}"), F.col("_n_field").alias(f"_mp_field{i}"))
+        out = out.join(field, on=[*board_cols, score], how="left")
+        values[score] = F.col(f"_mp_below{i}") + (F.col(f"_mp_equal{i}") - 1) / F.lit(2.0), F.col(f"_mp_field{i}") - 1
+    return _ordered(out, board_cols, values, scores)
 
 
 def _rank_within(df: DataFrame, partition_cols: Sequence[str], col: str) -> DataFrame:

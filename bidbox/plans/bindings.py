@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.ranking import matchpoints
+from ..operators.ranking import matchpoints_of
 from .registry import Tables
 
 
@@ -56,14 +56,13 @@ def board_rows(t: Tables) -> DataFrame:
 def scored_rows(t: Tables) -> DataFrame:
     """Board rows with actual and predicted matchpoint percentages and master points.
 
-    The board rows (a fact-to-order join) feed three branches (two matchpoint fields and the
-    main rows), so they are materialised once as a silver table and scanned three times.
+    The board rows (a fact-to-order join) feed the boards' counts and the ranking, so they are
+    materialised once as a silver table.
     """
     from ..session import materialize
 
     rows = materialize(board_rows(t), "board-rows")
-    rows = matchpoints(rows, ["Board"], "Score_NS", "MP_NS", "MP_Top", "Pct_NS")
-    rows = matchpoints(rows, ["Board"], "Pred_Score_NS", "MP_NS_Pred", "MP_Top_Pred", "Pct_NS_Pred")
+    rows = matchpoints_of(rows, ["Board"], {"Score_NS": ("MP_NS", "MP_Top", "Pct_NS"), "Pred_Score_NS": ("MP_NS_Pred", "MP_Top_Pred", "Pct_NS_Pred")})
     cust = t.customer.select(F.col("c_custkey"), F.col("c_acctbal").alias("MasterPoints_N"))
     supp = t.supplier.select(F.col("s_suppkey"), F.col("s_acctbal").alias("MasterPoints_S"))
     return (rows.join(cust, rows.session_id == cust.c_custkey, "left")
