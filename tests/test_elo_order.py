@@ -43,6 +43,22 @@ def test_in_order_equals_a_sequential_loop(spark):
     close(rated(spark, rows)[1], sequential(rows))
 
 
+def test_crowded_players_and_sessions(spark):
+    rows = games(3)
+    nobody = [(0, 1, None, 0.5, 1.0), (None, 2, 4, 0.5, 1.0)]  # not rated, and in no field
+    for crowded in (0, 7, 10_000):  # all, some kinds and none of the groups are crowded
+        close(rated(spark, rows + nobody, crowded=crowded)[1], sequential(rows))
+
+
+def test_a_round_shuffles_ordinary_rows_twice(spark, monkeypatch):
+    import bidbox.session as S
+
+    plans, write = [], S.materialize
+    monkeypatch.setattr(S, "materialize", lambda df, tag: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(df, tag))
+    rated(spark, games(4))
+    assert len(plans) > 2 and all(p.count("Exchange hashpartitioning") <= 2 for p in plans[1:])
+
+
 def test_seed_and_spread_of_a_previous_run(spark):
     rows = games(2)
     early, late = [r for r in rows if r[0] < 2], [r for r in rows if r[0] >= 2]
