@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SUFFIX_RE = r"_(x|y|left|right)$"  # fixed value: suffixes that signal a join-name collision
+#: A dimension's rows in use go to every executor if they are no more than this.
+BROADCAST_ROWS = 500_000
 
 
 def lookup_chain(fact: DataFrame, steps: Sequence[tuple[DataFrame, Sequence[tuple[str, str]]]],
@@ -96,6 +98,32 @@ def stacked_role_join(fact: DataFrame, dim: DataFrame, dim_key: str, roles: Mapp
     return out.select(*[fact[c] for c in fact.columns], *[F.col(f"_d{i}.{c}").alias(f"{c}_{role}") for i, role in enumerate(roles) for c in dim_cols])
 
 
+def used_rows(dim: DataFrame, dim_key: str, used: DataFrame, fks: Sequence[str], dim_cols: Sequence[str]) -> DataFrame:
+    """The rows of ``dim`` (key and ``dim_cols``) whose key is in any of the columns ``fks`` of ``used``, written once.
+
+    The keys are reduced to distinct ones in each task before they are shuffled.
+    """
+    from ..session import materialize
+
+    keys = used.select(F.explode(F.array(*[F.col(c) for c in fks])).alias(dim_key)).where(F.col(dim_key).isNotNull()).distinct()
+    return materialize(dim.select(dim_key, *dim_cols).join(keys, dim_key, "left_semi"), "role-rows")
+
+
+def role_lookup(fact: DataFrame, dim: DataFrame, dim_key: str, roles: Mapping[str, str], dim_cols: Sequence[str],
+                used: DataFrame | None = None, most: int = BROADCAST_ROWS) -> DataFrame:
+    """As :func:`stacked_role_join` (``dim_key`` must be unique; of rows that repeat it one is taken), without shuffling the
+    fact if the dimension's rows in use are at most ``most``: these are broadcast, however large the dimension is.
+
+    ``used`` holds the role keys of all fact rows, if they can be read more cheaply than the fact; further keys do no harm.
+    """
+    few = used_rows(dim, dim_key, fact if used is None else used, list(roles.values()), dim_cols)
+    if few.count() > most:
+        return stacked_role_join(fact, few, dim_key, roles, dim_cols)
+    once = few.groupBy(dim_key).agg(F.first(F.struct(*dim_cols)).alias("_d")).select(dim_key, "_d.*")
+    out = role_joins(fact, F.broadcast(once), dim_key, roles, dim_cols)
+    return out.select(*fact.columns, *[f"{c}_{role}" for role in roles for c in dim_cols])
+
+
 def derive_on_distinct(df: DataFrame, key: str, derive: Mapping[str, Column]) -> DataFrame:
     """Compute expressions once per distinct key and join them back."""
     d = df.select(key).distinct()

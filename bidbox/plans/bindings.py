@@ -53,16 +53,34 @@ def board_rows(t: Tables) -> DataFrame:
                       "l_orderkey", "l_partkey", "l_suppkey"))
 
 
-def scored_rows(t: Tables) -> DataFrame:
+def _repeats(dim: DataFrame, key: str) -> DataFrame:
+    """The key of each row of ``dim`` whose key is in other rows too."""
+    n = dim.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).cast("int").alias("_n")).where("_n > 1")
+    return n.select(key, F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_i")).select(key)
+
+
+def scored_rows(t: Tables, actual_only: bool = False) -> DataFrame:
     """Board rows with actual and predicted matchpoint percentages and master points.
 
+    ``actual_only`` leaves out the predictions, their sigma and the master points.  Then a lookup of points matters only for keys that the
+    table repeats (it repeats the row): the few there are, if any, are joined.
+
     The board rows (a fact-to-order join) feed the boards' counts and the ranking, so they are
     materialised once as a silver table.
     """
+    from ..operators.joins import BROADCAST_ROWS
     from ..session import materialize
 
-    rows = materialize(board_rows(t), "board-rows")
-    rows = matchpoints_of(rows, ["Board"], {"Score_NS": ("MP_NS", "MP_Top", "Pct_NS"), "Pred_Score_NS": ("MP_NS_Pred", "MP_Top_Pred", "Pct_NS_Pred")})
+    rows, scores = board_rows(t), {"Score_NS": ("MP_NS", "MP_Top", "Pct_NS"), "Pred_Score_NS": ("MP_NS_Pred", "MP_Top_Pred", "Pct_NS_Pred")}
+    if actual_only:
+        rows = rows.drop(scores.popitem()[0], "Pct_NS_Pred_std")
+    rows = matchpoints_of(materialize(rows, "board-rows"), ["Board"], scores)
+    if actual_only:
+        for dim, key, fk in ((t.customer, "c_custkey", "session_id"), (t.supplier, "s_suppkey", "l_suppkey")):
+            again = materialize(_repeats(dim, key), "repeats")
+            again = F.broadcast(again) if again.count() <= BROADCAST_ROWS else again
+            rows = rows.join(again, rows[fk] == again[key], "left").drop(key)
+        return rows
     cust = t.customer.select(F.col("c_custkey"), F.col("c_acctbal").alias("MasterPoints_N"))
     supp = t.supplier.select(F.col("s_suppkey"), F.col("s_acctbal").alias("MasterPoints_S"))
     return (rows.join(cust, rows.session_id == cust.c_custkey, "left")
@@ -108,6 +126,11 @@ def seat_rows(t: Tables) -> DataFrame:
                        "l_orderkey", *[e.alias(n) for n, e in seat_columns().items()])
 
 
+def seat_keys(t: Tables) -> DataFrame:
+    """The seat player ids of all line items, whether their order is there or not."""
+    return t.lineitem.select(*[e.alias(n) for n, e in seat_columns().items()])
+
+
 SEAT_ROWS_SQL = """
 SELECT o.o_custkey AS session_id, l.l_partkey AS Board, l.l_linenumber AS Round,
        CAST(l.l_shipdate AS DATE) AS Date, l.l_orderkey,

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import joins as J
 from ..operators import relational as R
-from .bindings import SEAT_ROWS_SQL, seat_rows
+from .bindings import SEAT_ROWS_SQL, seat_keys, seat_rows
 from .registry import Tables, register
 from .util import r, rounded
 
@@ -140,8 +140,7 @@ def j10_roles(spark, d):
     s = seat_rows(t)
     players = t.customer.select(F.col("c_custkey"), F.col("c_name").alias("Player_Name"),
                                 F.col("c_acctbal").alias("MasterPoints"))
-    out = J.stacked_role_join(s, players, "c_custkey", {x: f"Player_ID_{x}" for x in "NESW"},
-                       ["Player_Name", "MasterPoints"])
+    out = J.role_lookup(s, players, "c_custkey", {x: f"Player_ID_{x}" for x in "NESW"}, ["Player_Name", "MasterPoints"], used=seat_keys(t))
     return out.select("session_id", "Board", "Round", "l_orderkey",
                       *[f"Player_Name_{x}" for x in "NESW"], *[f"MasterPoints_{x}" for x in "NESW"])
 
@@ -156,7 +155,7 @@ LEFT JOIN lv so ON s.Player_ID_S = so.user_id LEFT JOIN lv w ON s.Player_ID_W =
 def j11_latest_lookup(spark, d):
     t = Tables(spark, d)
     latest = R.latest_value(t.events, ["user_id"], ["value"], ["ts", "event_id"]).withColumnRenamed("value", "Latest")
-    out = J.stacked_role_join(seat_rows(t), latest, "user_id", {x: f"Player_ID_{x}" for x in "NESW"}, ["Latest"])
+    out = J.role_lookup(seat_rows(t), latest, "user_id", {x: f"Player_ID_{x}" for x in "NESW"}, ["Latest"], used=seat_keys(t))
     return out.select("session_id", "Board", "Round", "l_orderkey", *[f"Latest_{x}" for x in "NESW"])
 
 

@@ -35,3 +35,22 @@ def test_empty_sides_and_null_roles(spark):
     assert rows(fact, dim) == [(1, None, None, None, None, None, None), (2, 4, 4, None, "a", "a", None)]
     assert rows(fact, dim.limit(0)) == [(1, None, None, None, None, None, None), (2, 4, 4, None, None, None, None)]
     assert rows(fact.limit(0), dim) == []
+
+
+def test_lookup_broadcasts_the_rows_in_use(spark):
+    fact = spark.range(200).select("id", *[F.when(F.col("id") % m > 0, F.col("id") * m % 23).alias(c) for c, m in (("n", 5), ("e", 7), ("s", 3))])
+    dim = spark.range(100_000).select(F.col("id").alias("p"), F.concat(F.lit("x"), "id").alias("name"))
+    dim = dim.where("p <> 4").unionByName(spark.createDataFrame([(None, "none")], "p long, name string"))
+    want = sorted((tuple(r) for r in J.role_joins(fact, dim, "p", ROLES, ["name"]).collect()), key=repr)
+    used = fact.unionByName(fact.withColumn("n", F.lit(77).cast("long")))
+    for got, broadcast in ((J.role_lookup(fact, dim, "p", ROLES, ["name"]), True), (J.role_lookup(fact, dim, "p", ROLES, ["name"], used=used), True),
+                           (J.role_lookup(fact, dim, "p", ROLES, ["name"], most=3), False)):
+        plan, rows = _plan(got)
+        assert sorted(rows, key=repr) == want
+        assert (plan.count("BroadcastHashJoin") == len(ROLES)) == broadcast
+
+
+def test_lookup_takes_one_row_of_a_repeated_key(spark):
+    fact = spark.createDataFrame([(1, 4, 4, None)], "id long, n long, e long, s long")
+    dim = spark.createDataFrame([(4, "a"), (4, "a")], "p long, name string")
+    assert [tuple(r) for r in J.role_lookup(fact, dim, "p", ROLES, ["name"]).collect()] == [(1, 4, 4, None, "a", "a", None)]
