@@ -49,3 +49,19 @@ def test_actual_scores_repeat_rows_as_the_lookups_do(spark, tmp_path):
     assert not {"MasterPoints_N", "Pct_NS_Pred"} & set(few.columns)
     got = _sorted(few, cols)
     assert got == _sorted(bindings.scored_rows(t), cols) and len(got) > t.lineitem.count()
+
+
+def test_sessions_named_twice_keep_a_join_a_seat(spark, tmp_path):
+    from bidbox.plans import q_ml
+
+    at = str(tmp_path)
+    for name in ("lineitem", "orders", "customer", "supplier"):
+        df = spark.read.parquet(f"{SF_SMALL}/{name}.parquet")
+        if name == "lineitem":
+            df = df.where("l_orderkey % 10 = 0 AND year(l_shipdate) = 1995")
+        if name == "customer":
+            df = df.unionByName(df.where("c_custkey % 5 = 0"))
+        df.write.parquet(f"{at}/{name}.parquet")
+    t = Tables(spark, at)
+    rows, small = q_ml._rated_rows(t)
+    assert not small and rows.where("Elo_R_N_EventStart IS NOT NULL").count() > 0
