@@ -14,7 +14,8 @@ Candidates.  Documents with the same bag collapse to one representative (the sma
 is a bucket.  Buckets are never expanded into all pairs: every member is first compared with the bucket's smallest
 document, and links found there are joined to components.  Members still outside the smallest document's component are then
 compared block by block: first with the few of each block whose signatures agree most, and after joining those links with
-every member of another component whose signature agrees enough to be a link at all.
+every member of another component whose signature agrees enough to be a link at all.  Of these pairs only those go to the
+exact check whose shingles, counted in bins, leave the threshold in reach: an upper bound of the similarity, so no link is lost by it.
 """
 
 from __future__ import annotations
@@ -40,6 +41,8 @@ SLACK = 0.13
 #: Candidates that a document outside the main component names first, in each block.
 FIRST = 4
 WORDS = 5
+#: Bins in which a bag's shingles are counted, one byte each; MOST is a count of that or more.
+BINS, MOST = 512, 255
 #: Members of a block of a bucket; blocks are compared pairwise in separate groups.
 BLOCK = 512
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -125,19 +128,22 @@ def _signed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for j in range(ROWS):
                 key = mix(key ^ bits[:, :, j]) * _GOLD
             sig = (mix(reg.view(np.uint64)) >> np.uint64(56)).astype(np.uint8)
+            counted = np.bincount(owner * BINS + (shingle % np.uint64(BINS)).astype(np.int64), weights=count, minlength=chunk.rows * BINS)
+            bins = np.minimum(counted, MOST).astype(np.uint8).reshape(chunk.rows, BINS)
             full = pa.array(size > 0)
             out = pa.RecordBatch.from_arrays(
                 [ids, pa.array(size), pa.array(signed(bag[0])), pa.array(signed(bag[1])),
                  lists(signed(key).reshape(-1), np.full(chunk.rows, BANDS), pa.int64()),
-                 pa.array([r.tobytes() for r in sig], pa.binary())], names=["doc_id", "size", "bag1", "bag2", "bands", "sig"])
+                 pa.array([r.tobytes() for r in sig], pa.binary()), pa.array([r.tobytes() for r in bins], pa.binary())],
+                names=["doc_id", "size", "bag1", "bag2", "bands", "sig", "bins"])
             yield out.filter(full)
 
 
-SIGNED = "doc_id long, size long, bag1 long, bag2 long, bands array<long>, sig binary"
+SIGNED = "doc_id long, size long, bag1 long, bag2 long, bands array<long>, sig binary, bins binary"
 
 
 def signed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row for each text that has a word: its size in shingles, bag fingerprint, band keys and 8 bits a register."""
+    """One row for each text that has a word: its size in shingles, bag fingerprint, band keys, 8 bits a register and counts in bins."""
     return arrow_map(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), _signed_rows, SIGNED)
 
 
@@ -181,13 +187,21 @@ def _could(a: str, b: str, threshold: float) -> Column:
     return F.least(F.col(a), F.col(b)) >= threshold * F.greatest(F.col(a), F.col(b))
 
 
+def _in_reach(bins: np.ndarray, others: np.ndarray, size: int, sizes: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether a bag can reach the threshold with each of the others: equal shingles share a bin, so the bins have at least as much in common."""
+    both = np.minimum(others, bins)
+    most = both.sum(axis=1, dtype=np.int64)
+    return (both == MOST).any(axis=1) | (most >= threshold * (size + sizes - most) - 1e-9)
+
+
 def _block_pairs(threshold: float, first: int | None):
-    """Pairs of different components, one block against another, whose signatures agree in enough registers; the ``first`` best of each row or all."""
+    """Pairs of different components, one block against another, whose signatures agree in enough registers and whose bins leave the threshold in reach; the ``first`` best of each row or all."""
     least = (threshold - SLACK) * REGISTERS
 
     def pairs(group: pa.Table) -> pa.Table:
         few, all_ = (group.filter(pc.equal(group["side"], side)) for side in (0, 1))
         a, b = (np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint8).reshape(len(t), REGISTERS) for t in (few, all_))
+        bins_a, bins_b = (np.frombuffer(b"".join(t["bins"].to_pylist()), np.uint8).reshape(len(t), BINS) for t in (few, all_))
         band = few["band_no"][0].as_py() if len(few) else 0
         keys_a, keys_b = (t["bands"].combine_chunks().flatten().to_numpy().reshape(len(t), BANDS) for t in (few, all_))
         ia, ca, sa, _ = (few[c].to_numpy() for c in ("doc_id", "comp", "size", "minor"))
@@ -200,6 +214,8 @@ def _block_pairs(threshold: float, first: int | None):
             at, agree = at[agree >= least], agree[agree >= least]
             here = (keys_b[at] == keys_a[i]).argmax(axis=1) == band  # a pair counts in the first band that it shares
             at, agree = at[here], agree[here]
+            near = _in_reach(bins_a[i], bins_b[at], sa[i], sb[at], threshold)
+            at, agree = at[near], agree[near]
             if first is not None and len(at) > first:
                 at = at[np.argsort(-agree, kind="stable")[:first]]
             out_a.append(np.full(len(at), ia[i]))
@@ -224,9 +240,9 @@ def _apart(members: DataFrame, reps: DataFrame, comp: DataFrame, threshold: floa
     if not few.limit(1).count():
         return None
     wide, deep = F.ceil(F.col("n") / BLOCK).cast("int"), F.ceil(F.col("few") / BLOCK).cast("int")
-    rest = (rest.join(reps.select("doc_id", "sig", "bands"), "doc_id")
+    rest = (rest.join(reps.select("doc_id", "sig", "bins", "bands"), "doc_id")
             .withColumn("x", F.pmod(F.xxhash64(F.lit(1), "doc_id"), deep).cast("int")).withColumn("y", F.pmod(F.xxhash64(F.lit(2), "doc_id"), wide).cast("int")))
-    cols = ["band", "band_no", "x", "y", "side", "doc_id", "size", "comp", "minor", "sig", "bands"]
+    cols = ["band", "band_no", "x", "y", "side", "doc_id", "size", "comp", "minor", "sig", "bins", "bands"]
     one = rest.where("minor").withColumn("y", F.explode(F.sequence(F.lit(0), wide - 1))).withColumn("side", F.lit(0)).select(*cols)
     two = rest.withColumn("x", F.explode(F.sequence(F.lit(0), deep - 1))).withColumn("side", F.lit(1)).select(*cols)
     return arrow_groups(one.union(two), ["band", "x", "y"], _block_pairs(threshold, first), "a long, b long").distinct()
@@ -242,8 +258,8 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where("doc_id IS NOT NULL")
     marks = materialize(signed_documents(texts), "bag")
     same = ["bag1", "bag2", "size"]
-    reps = materialize(marks.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.min_by(F.struct("bands", "sig"), "doc_id").alias("x"))
-                       .select(F.col("rep").alias("doc_id"), *same, "x.bands", "x.sig"), "bag")
+    reps = materialize(marks.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.min_by(F.struct("bands", "sig", "bins"), "doc_id").alias("x"))
+                       .select(F.col("rep").alias("doc_id"), *same, "x.bands", "x.sig", "x.bins"), "bag")
     members = materialize(reps.select("doc_id", "size", F.posexplode("bands").alias("band_no", "band")), "bag")
     hubs = members.groupBy("band").agg(F.min(F.struct("doc_id", "size")).alias("hub"), F.count("*").alias("n")).where("n > 1")
     first = (members.join(hubs.select("band", "hub.doc_id", "hub.size").toDF("band", "a", "size_a"), "band")

@@ -60,6 +60,42 @@ def test_near_duplicates_of_a_dense_group(spark):
     assert got == helpers.near_classes(rows)
 
 
+def test_near_duplicates_of_a_group_just_under_the_threshold(spark, monkeypatch):
+    """Variants at some 0.7 of each other share buckets and are no links: few of their pairs reach the exact check."""
+    r, w, rows, checked = random.Random(7), words(150, 2), [], []
+    for i in range(120):
+        x = list(w)
+        for at in r.sample(range(150), 3):
+            x[at] = f"e{i}"
+        rows.append((i, " ".join(x)))
+    rows += [(200 + i, " ".join([*rows[i][1].split(), "more", "words"])) for i in range(0, 120, 10)]
+    verified = bagminhash.verified
+
+    def counted(pairs, texts, threshold):
+        checked.append(pairs.count())
+        return verified(pairs, texts, threshold)
+
+    monkeypatch.setattr(bagminhash, "verified", counted)
+    got = {r.doc_id: r.class_id for r in bagminhash.near_duplicates(frame(spark, rows)).collect()}
+    assert got == helpers.near_classes(rows)
+    assert sum(checked) < 24 * len(rows)  # of 8,646 pairs
+
+
+def test_bins_never_hide_a_link():
+    r = np.random.default_rng(2)
+    for most in (3, 400):  # counts within a byte and beyond it
+        bags = r.integers(0, most, (40, 900)) * (r.random((40, 900)) < 0.9)
+        bags[20:] = bags[:20] + (r.random((20, 900)) < 0.05)
+        at = r.integers(0, bagminhash.BINS, 900)
+        bins = np.array([np.minimum(np.bincount(at, weights=b, minlength=bagminhash.BINS), bagminhash.MOST) for b in bags]).astype(np.uint8)
+        size = bags.sum(axis=1)
+        for i in range(40):
+            both = np.minimum(bags, bags[i]).sum(axis=1)
+            link = both >= 0.8 * (size + size[i] - both)
+            near = bagminhash._in_reach(bins[i], bins, size[i], size, 0.8)
+            assert near[link].all() and (most > 255 or not near.all())
+
+
 def test_near_duplicates_edges(spark):
     assert bagminhash.near_duplicates(frame(spark, [])).collect() == []
     text = " ".join(words(30, 1))
