@@ -153,12 +153,19 @@ def bucketed_table(df: DataFrame, name: str, path: str, n_buckets: int, by: Sequ
     return df.sparkSession.table(name)
 
 
-def compact(spark: SparkSession, src: str, dst: str, order_col: str, file_bytes: int = 128 << 20) -> DataFrame:
-    """Merge shard files into range-partitioned files of about ``file_bytes`` (empty shards contribute nothing)."""
+def compact(spark: SparkSession, src: str, dst: str, order_col: str, file_bytes: int = 128 << 20, task_bytes: int = 256 << 20) -> DataFrame:
+    """Merge shard files into range-partitioned files of about ``file_bytes`` (empty shards contribute nothing).
+
+    A file is sorted by one task, so files are smaller where the rows of ``file_bytes`` would take more than about ``task_bytes`` as that
+    sort holds them.  Rows of one ``order_col`` value may go to several files.
+    """
     df = spark.read.parquet(src)
-    total = df.select("_metadata.file_path", "_metadata.file_size").distinct().agg(F.sum("file_size")).first()[0] or 0
-    df.repartitionByRange(max(1, -(-int(total) // file_bytes)), order_col).sortWithinPartitions(order_col).write.mode("overwrite") \
-        .option("compression", "zstd").parquet(dst)
+    held = row_bytes(df.schema) + 8 * len(df.columns) + 32  # a sort holds an eight-byte slot a column, and heads and pointers
+    sizes = df.groupBy("_metadata.file_path").agg(F.max("_metadata.file_size").alias("bytes"), F.sum(held).alias("held"))
+    total = sizes.agg(F.sum("bytes").alias("bytes"), F.sum("held").alias("held")).first()
+    files = max(1, -(-(total["bytes"] or 0) // file_bytes), -(-(total["held"] or 0) // task_bytes))
+    ranged = df.withColumn("_at", F.col("_metadata.row_index")).repartitionByRange(files, order_col, "_at").drop("_at")
+    ranged.sortWithinPartitions(order_col).write.mode("overwrite").option("compression", "zstd").parquet(dst)
     return spark.read.parquet(dst)
 
 
