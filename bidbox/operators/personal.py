@@ -7,8 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+from .rating import largest
+
 # fixed values: seats in the order in which a player is looked for, each with its partner
 SEATS = {"N": "S", "S": "N", "E": "W", "W": "E"}
+#: Players asked for in a session: up to so many are found on the session's rows as they are, more by a row a seat.
+FEW = 16
 FLAGS = ("My_Section", "Our_Section", "My_Pair", "Our_Pair", "Boards_I_Played", "Boards_We_Played", "Our_Boards",
          "Boards_I_Declared", "Boards_Partner_Declared", "Boards_Opponent_Declared", "Boards_We_Declared")
 
@@ -25,9 +30,14 @@ def find_players(rows: DataFrame, wanted: DataFrame, session: str, order: Sequen
     at = F.array(*[F.struct(F.lit(i).alias("rank"), F.lit(s).alias("seat"), F.col(f"Player_ID_{s}").cast("string").alias("player_id"),
                             F.col(f"Player_ID_{p}").cast("string").alias("partner_id"),
                             F.col("Pair_Number_NS" if s in "NS" else "Pair_Number_EW").alias("pair_number")) for i, (s, p) in enumerate(SEATS.items())])
-    seated = rows.select(session, "section_name", *order, F.explode(at).alias("at")).where(F.col("at.player_id").isNotNull())
-    asked = wanted.select(session, F.trim(F.col("player_id").cast("string")).alias("player_id")).distinct()
-    seated = seated.withColumn("player_id", F.trim("at.player_id")).join(asked, [session, "player_id"])
+    asked = materialize(wanted.select(session, F.trim(F.col("player_id").cast("string")).alias("player_id")).distinct(), "asked")
+    if largest(asked, [session]) <= FEW:
+        names = asked.groupBy(session).agg(F.collect_list("player_id").alias("_asked"))
+        mine = F.filter(at, lambda x: F.array_contains("_asked", F.trim(x["player_id"])))
+        seated = rows.join(names, session).select(session, "section_name", *order, F.explode(mine).alias("at")).withColumn("player_id", F.trim("at.player_id"))
+    else:
+        seated = rows.select(session, "section_name", *order, F.explode(at).alias("at")).where(F.col("at.player_id").isNotNull())
+        seated = seated.withColumn("player_id", F.trim("at.player_id")).join(asked, [session, "player_id"])
     first = F.struct("at.rank", *order)
     return (seated.groupBy(session, "player_id").agg(F.min_by(F.struct("at.seat", "at.partner_id", "section_name", "at.pair_number"), first).alias("me"))
             .select(session, "player_id", "me.seat", "me.partner_id", F.col("me.section_name").alias("my_section_name"), F.col("me.pair_number").alias("my_pair_number")))

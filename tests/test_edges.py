@@ -287,6 +287,21 @@ def test_personal_flags_and_filter(spark):
     assert sorted(r.Board for r in PE.only_my_boards(PE.personalise(df, asked)).collect()) == [1, 2]
 
 
+def test_few_players_are_found_without_a_row_a_seat(spark, monkeypatch):
+    from bidbox.operators import personal as PE
+    rows = [(i % 3, "AB"[i % 2], i, 1, i % 4, i % 5, *[(i * k + k) % 11 or None for k in (1, 2, 3, 5)], "NESW"[i % 4], i % 11) for i in range(90)]
+    df = spark.createDataFrame(rows, "session_id int, section_name string, Board int, Round int, Pair_Number_NS int, Pair_Number_EW int, Player_ID_N int, Player_ID_E int, "
+                                     "Player_ID_S int, Player_ID_W int, Declarer_Direction string, Declarer_ID int")
+    asked = spark.createDataFrame([(0, " 3"), (0, "3"), (0, "5"), (1, "99"), (1, None), (2, "7"), (None, "7"), (8, "1")], "session_id int, player_id string")
+    me = PE.find_players(df, asked, "session_id", ["Board", "Round"])
+    plan = me._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.index("Generate") < plan.index("Join")  # seats are unfolded after the join, and only those asked for
+    few = sorted(map(str, PE.personalise(df, asked).collect()))
+    monkeypatch.setattr(PE, "FEW", 0)
+    assert few and few == sorted(map(str, PE.personalise(df, asked).collect()))
+    assert {(r.session_id, r.player_id) for r in me.collect()} == {(0, "3"), (0, "5"), (2, "7")}
+
+
 def test_parallel_counts(spark):
     from bidbox.operators import schema as SC
     SC.assert_equal_counts({"a": spark.range(3), "b": spark.range(3, 6)})
