@@ -27,8 +27,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bidbox.llm.common import arrow_groups, arrow_map, id_key, materialize, row_key
-from bidbox.llm.textnp import Chunk, chunks, grouped_order, lists, mix, rolled, signed
+from bidbox.llm.common import arrow_groups, arrow_map, id_key, in_tasks, materialize, row_key
+from bidbox.llm.textnp import SMALL_CHUNK, Chunk, chunks, grouped_order, lists, mix, rolled, signed
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -41,9 +41,11 @@ BLOCK = 1024
 #: Shared shingles of a class that are compared before its set is fetched.
 LEAD = 32
 #: Rows that meet in a task's group, about; pairs or shingles that are looked at in one go.
-MEET, AT_ONCE = 16_384, 1 << 21
+MEET, AT_ONCE = 16_384, 1 << 18
 #: Shingles of buckets with more than 2 ** PART occurrences are dealt in parts of about that size.
 PART = 16
+#: Lines whose classes, or whose shingles and sets, a task writes, about.
+CLASSES, LINES = 50_000, 10_000
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -113,7 +115,7 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([doc, key, pa.array(line.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(k1), pa.array(k2)], names=["doc_id", "key", "line", "n", "k1", "k2"])
 
     for batch in batches:
-        for at, chunk in chunks(batch.column(2)):
+        for at, chunk in chunks(batch.column(2), SMALL_CHUNK):
             s, line, row, number, size = line_sets(chunk)
             k1, k2 = _keys(s, line, len(size))
             load += np.bincount(_bucket(s), minlength=BUCKETS)
@@ -132,7 +134,7 @@ def _prefixes(levels: np.ndarray, threshold: float, most: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, chunk in chunks(batch.column(0)):
+            for _, chunk in chunks(batch.column(0), SMALL_CHUNK):
                 s, line, _, _, size = line_sets(chunk, short=False)
                 k1, k2 = _keys(s, line, len(size))
                 _, once = np.unique(k1 ^ mix(k2), return_index=True)
@@ -158,7 +160,7 @@ def _sets_of(levels: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             wanted = [{int(w["line"]): w for w in x} for x in batch.column(0).to_pylist()]
-            for at, chunk in chunks(batch.column(1)):
+            for at, chunk in chunks(batch.column(1), SMALL_CHUNK):
                 s, line, row, number, size = line_sets(chunk, short=False)
                 found = [wanted[at + r].get(k) for r, k in zip(row.tolist(), number.tolist(), strict=True)]
                 use = np.array([w is not None for w in found], bool)
@@ -302,7 +304,9 @@ def line_classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     src = docs.select(F.col(doc_id).cast("long").alias("doc_id"), row_key(text).alias("key"), F.col(text).alias("text"))
     both = materialize(arrow_map(src, _lines, _LINE), "line")
     lines = both.where("line >= 0")
-    classes = materialize(lines.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "key", "line")).alias("first")), "line")
+    n = both.count()
+    classes = lines.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "key", "line")).alias("first"))
+    classes = materialize(in_tasks(classes, n, CLASSES), "line")
 
     heavy = both.where("line < 0").groupBy("k1").agg(F.sum("n").alias("n")).toArrow()  # at most BUCKETS rows
     levels = np.zeros(BUCKETS, np.uint8)
@@ -312,7 +316,7 @@ def line_classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     prefix = arrow_map(docs.select(F.col(text).alias("text")), _with(shared, _prefixes, threshold, PART), "token long, part int, cid long, np long")
     token = Window.partitionBy("token", "part")  # about 2 ** PART rows at most
     live = prefix.withColumn("lo", F.min("cid").over(token)).withColumn("hi", F.max("cid").over(token)).where("lo < hi OR part >= 0")
-    live = materialize(live.select("token", "cid", "np").distinct(), "line")
+    live = materialize(in_tasks(live.select("token", "cid", "np").distinct(), n, LINES), "line")
     crowded = live.groupBy("token").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > BLOCK)
     met = live.join(crowded, "token", "left").withColumn("blocks", F.ceil(F.coalesce("size", F.lit(1)) / BLOCK).cast("int"))
     met = met.withColumn("home", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -331,7 +335,7 @@ def line_classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     wanted = wanted.groupBy(F.coalesce(F.col("first.doc_id").cast("string"), F.lit("")).alias("id_key"), F.col("first.key").alias("key")).agg(F.collect_list(F.struct(F.col("first.line").alias("line"), "cid", "k2", "first")).alias("wanted"))
     texts = docs.select(id_key(doc_id).alias("id_key"), row_key(text).alias("key"), F.col(text).alias("text"))
     sets = arrow_map(wanted.join(texts, ["id_key", "key"]).select("wanted", "text"), _with(shared, _sets_of), "cid long, k2 long, first struct<doc_id:long,key:long,line:int>, tokens array<long>")
-    sets = materialize(sets, "line").dropDuplicates(["cid", "k2"])  # a text that is repeated under its id gives its sets twice
+    sets = materialize(in_tasks(sets, n, LINES), "line").dropDuplicates(["cid", "k2"])  # a text that is repeated under its id gives its sets twice
     full = met.join(sets, "cid").where(F.size("tokens") == F.shiftright("np", 20))
     found = materialize(arrow_groups(dealt(full), ["deal"], _verified(threshold), "k1 long, k2 long, degree long, goes boolean"), "line")
     found = found.groupBy("k1", "k2").agg(F.sum("degree").alias("degree"), F.bool_or("goes").alias("goes"))
@@ -354,7 +358,7 @@ def kept_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", t
     that is repeated under its id counts once and both rows keep the same lines.  Null, empty and blank texts have no row.
     """
     lines, classes = line_classes(docs, doc_id=doc_id, text=text, threshold=threshold)
-    classes = materialize(classes, "line")
+    classes = materialize(in_tasks(classes, lines.count(), CLASSES), "line")
     kept = classes.where("NOT goes").groupBy(F.col("first.doc_id").alias("doc_id"), F.col("first.key").alias("key")).agg(F.array_sort(F.collect_list("first.line")).alias("kept"))
     total = lines.select("doc_id", "key", "line").distinct().groupBy("doc_id", "key").agg(F.count("*").alias("n_lines"))
     some = classes.where("degree > 0").select("k1", "k2", "degree")
@@ -368,7 +372,7 @@ def _rebuilt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = batch.column(2).to_pylist()
         out = []
-        for at, chunk in chunks(batch.column(1)):
+        for at, chunk in chunks(batch.column(1), SMALL_CHUNK):
             _, _, row, number, _ = line_sets(chunk)
             known: dict[int, set[int]] = {}
             for r, k in zip((row + at).tolist(), number.tolist(), strict=True):

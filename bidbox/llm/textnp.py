@@ -13,6 +13,8 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK_BYTES = 1 << 20
+#: For work that holds several numbers a byte of the chunk: a worker keeps most of what it once took.
+SMALL_CHUNK = 1 << 18
 SPACE = np.zeros(256, bool)
 SPACE[[32, *range(9, 14)]] = True
 

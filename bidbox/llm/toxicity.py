@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bidbox.llm.common import arrow_map, fold, materialize
-from bidbox.llm.textnp import Chunk, chunks, signed
+from bidbox.llm.textnp import SMALL_CHUNK, Chunk, chunks, signed
 
 #: Bound of the training sample: texts of each label, by a hash of the id.
 MAX_TRAIN_PER_LABEL = 2_000
@@ -64,7 +64,7 @@ def _features(chosen: np.ndarray | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             key = batch.column(0).to_numpy()
-            for at, chunk in chunks(batch.column(1)):
+            for at, chunk in chunks(batch.column(1), SMALL_CHUNK):
                 word, sentence, row, _, _ = sentence_features(chunk)
                 owner = row[sentence] if len(sentence) else sentence
                 if chosen is not None:
@@ -153,7 +153,7 @@ def _score(model: dict):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, chunk in chunks(batch.column(1)):
+            for at, chunk in chunks(batch.column(1), SMALL_CHUNK):
                 word, sentence, row, first, last = sentence_features(chunk)
                 near = np.flatnonzero(maybe[(word >> np.uint64(48)).astype(np.int64)]) if len(known) else np.zeros(0, np.int64)
                 spot = np.minimum(np.searchsorted(known, word[near]), max(0, len(known) - 1))
