@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bidbox.llm.common import arrow_groups, arrow_map, materialize, row_key
+from bidbox.llm.common import arrow_groups, arrow_map, in_tasks, materialize, row_key
 from bidbox.llm.components import components
 from bidbox.llm.textnp import CHUNK_BYTES, Chunk, chunks, grouped_order, lists, mix, rolled, signed
 
@@ -45,6 +45,8 @@ WORDS = 5
 BINS, MOST = 512, 255
 #: Members of a block of a bucket; blocks are compared pairwise in separate groups.
 BLOCK = 512
+#: Documents, members of buckets or pairs whose texts are compared that a task writes, about.
+DOCS, MEMBERS, PAIRS = 2000, 10_000, 2000
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -176,10 +178,10 @@ def _similar(chunk: Chunk, pairs: int, threshold: float) -> np.ndarray:
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose texts reach the threshold; the texts travel by id in two equi-joins."""
+    """The pairs (a, b) whose texts reach the threshold, again for each text that an id repeats; the texts travel by id in two equi-joins."""
     with_a = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a")
     with_b = with_a.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b")
-    return arrow_map(with_b.select("a", "b", "text_a", "text_b"), _verify(threshold), "a long, b long").distinct()
+    return arrow_map(with_b.select("a", "b", "text_a", "text_b"), _verify(threshold), "a long, b long")
 
 
 def _could(a: str, b: str, threshold: float) -> Column:
@@ -226,26 +228,29 @@ def _block_pairs(threshold: float, first: int | None):
     return pairs
 
 
-def _apart(members: DataFrame, reps: DataFrame, comp: DataFrame, threshold: float, first: int | None) -> DataFrame | None:
-    """Candidate pairs between members of a bucket that are in different components; None if no bucket has any.
+def _apart(members: DataFrame, reps: DataFrame, comp: DataFrame, threshold: float, first: int | None) -> tuple[DataFrame | None, DataFrame]:
+    """Candidate pairs between members of a bucket that are in different components (None if no bucket has any), and the members of such buckets.
 
-    The members outside the component of the bucket's smallest document are compared with all others, in blocks.
+    The members outside the component of the bucket's smallest document are compared with all others, in blocks.  Components only grow,
+    so buckets that are left out need not be looked at again.
     """
     put = members.join(comp.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("comp", F.coalesce("component", "doc_id")).drop("component")
     hub = put.groupBy("band").agg(F.min(F.struct("doc_id", "comp")).alias("hub"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n")).where("lo != hi AND n > 2")
-    rest = put.join(hub.select("band", "n", "hub"), "band").where("doc_id != hub.doc_id").withColumn("minor", F.col("comp") != F.col("hub.comp"))
-    rest = materialize(rest.select("doc_id", "size", "comp", "band", "band_no", "n", "minor"), "bag")
-    few = rest.where("minor").groupBy("band").agg(F.count("*").alias("few"))
-    rest = rest.join(few, "band")
+    live = put.join(hub.select("band", "n", "hub"), "band").withColumn("is_hub", F.col("doc_id") == F.col("hub.doc_id")).withColumn("minor", ~F.col("is_hub") & (F.col("comp") != F.col("hub.comp")))
+    live = live.select("doc_id", "size", "comp", "band", "band_no", "n", "is_hub", "minor")
+    live = materialize(in_tasks(live, members.count(), MEMBERS), "bag")
+    few = live.where("minor").groupBy("band").agg(F.count("*").alias("few"))
     if not few.limit(1).count():
-        return None
+        return None, live
     wide, deep = F.ceil(F.col("n") / BLOCK).cast("int"), F.ceil(F.col("few") / BLOCK).cast("int")
-    rest = (rest.join(reps.select("doc_id", "sig", "bins", "bands"), "doc_id")
-            .withColumn("x", F.pmod(F.xxhash64(F.lit(1), "doc_id"), deep).cast("int")).withColumn("y", F.pmod(F.xxhash64(F.lit(2), "doc_id"), wide).cast("int")))
-    cols = ["band", "band_no", "x", "y", "side", "doc_id", "size", "comp", "minor", "sig", "bins", "bands"]
-    one = rest.where("minor").withColumn("y", F.explode(F.sequence(F.lit(0), wide - 1))).withColumn("side", F.lit(0)).select(*cols)
-    two = rest.withColumn("x", F.explode(F.sequence(F.lit(0), deep - 1))).withColumn("side", F.lit(1)).select(*cols)
-    return arrow_groups(one.union(two), ["band", "x", "y"], _block_pairs(threshold, first), "a long, b long").distinct()
+    rest = live.where("NOT is_hub").join(few, "band").join(reps.select("doc_id", "sig", "bins", "bands"), "doc_id")
+    x, y = F.pmod(F.xxhash64(F.lit(1), "doc_id"), deep).cast("int"), F.pmod(F.xxhash64(F.lit(2), "doc_id"), wide).cast("int")
+    place = lambda x, y, side: F.struct(x.alias("x"), y.alias("y"), F.lit(side).alias("side"))
+    one = F.when(F.col("minor"), F.transform(F.sequence(F.lit(0), wide - 1), lambda i: place(x, i, 0)))
+    two = F.transform(F.sequence(F.lit(0), deep - 1), lambda i: place(i, y, 1))
+    rest = rest.withColumn("at", F.explode(F.concat(F.coalesce(one, F.array().cast("array<struct<x:int,y:int,side:int>>")), two)))
+    rest = rest.select("band", "band_no", "at.*", "doc_id", "size", "comp", "minor", "sig", "bins", "bands")
+    return arrow_groups(rest, ["band", "x", "y"], _block_pairs(threshold, first), "a long, b long").distinct(), live
 
 
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.8) -> DataFrame:
@@ -258,27 +263,35 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where("doc_id IS NOT NULL")
     marks = materialize(signed_documents(texts), "bag")
     same = ["bag1", "bag2", "size"]
-    reps = materialize(marks.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.min_by(F.struct("bands", "sig", "bins"), "doc_id").alias("x"))
-                       .select(F.col("rep").alias("doc_id"), *same, "x.bands", "x.sig", "x.bins"), "bag")
-    members = materialize(reps.select("doc_id", "size", F.posexplode("bands").alias("band_no", "band")), "bag")
+    n = marks.count()
+    reps = (marks.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.min_by(F.struct("bands", "sig", "bins"), "doc_id").alias("x"))
+            .select(F.col("rep").alias("doc_id"), *same, "x.bands", "x.sig", "x.bins"))
+    reps = materialize(in_tasks(reps, n, DOCS), "bag")
+    members = reps.select("doc_id", "size", F.posexplode("bands").alias("band_no", "band"))
     hubs = members.groupBy("band").agg(F.min(F.struct("doc_id", "size")).alias("hub"), F.count("*").alias("n")).where("n > 1")
-    first = (members.join(hubs.select("band", "hub.doc_id", "hub.size").toDF("band", "a", "size_a"), "band")
-             .where((F.col("a") != F.col("doc_id")) & _could("size", "size_a", threshold))
-             .select("a", F.col("doc_id").alias("b")).distinct())
-    tried = materialize(first, "bag")
+    # from here on only the buckets of two members or more are read
+    members = members.join(hubs.select("band", "hub.doc_id", "hub.size").toDF("band", "a", "size_a"), "band")
+    members = materialize(in_tasks(members, n, DOCS), "bag")
+    m = members.count()
+    first = members.where((F.col("a") != F.col("doc_id")) & _could("size", "size_a", threshold)).select("a", F.col("doc_id").alias("b")).distinct()
+    tried = materialize(in_tasks(first, m, MEMBERS), "bag")
     # texts that share a bucket are fetched once for all rounds
-    shared = members.join(hubs.select("band"), "band").select("doc_id").distinct()
-    texts = materialize(texts.join(shared.hint("merge"), "doc_id", "left_semi"), "bag")
-    linked = materialize(verified(tried, texts, threshold), "bag")
+    texts = texts.join(members.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi")
+    texts = materialize(in_tasks(texts, max(n, m), DOCS), "bag")
+    t = texts.count()  # a check reads all of them, however few its pairs
+    members = members.drop("a", "size_a")
+    linked = materialize(in_tasks(verified(tried, texts, threshold), max(t, tried.count()), PAIRS), "bag")
     comp = components(linked)
     for best in (FIRST, None):
-        more = _apart(members, reps, comp, threshold, best)
+        more, live = _apart(members, reps, comp, threshold, best)
         if more is None:
             break
-        more = materialize(more.join(tried, ["a", "b"], "left_anti"), "bag")
-        if not more.limit(1).count():
+        members = live.select("doc_id", "size", "band", "band_no")
+        more = materialize(in_tasks(more.join(tried, ["a", "b"], "left_anti"), members.count() + tried.count(), MEMBERS), "bag")
+        found = more.count()
+        if not found:
             continue
-        links = materialize(verified(more, texts, threshold), "bag")
+        links = materialize(in_tasks(verified(more, texts, threshold), max(t, found), PAIRS), "bag")
         tried, linked = tried.union(more), linked.union(links)
         if links.limit(1).count():
             comp = components(linked)

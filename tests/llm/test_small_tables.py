@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 
-from bidbox.llm import common, linejoin
+from bidbox.llm import bagminhash, common, components, linejoin
 from bidbox.llm.common import in_tasks, materialize
 
 from . import helpers
@@ -46,6 +47,14 @@ def counted(monkeypatch, modules) -> list[int]:
     return files
 
 
+def test_near_duplicates_write_few_files(many, monkeypatch):
+    files = counted(monkeypatch, [bagminhash, components])
+    rows = variants(200)
+    got = {r.doc_id: r.class_id for r in bagminhash.near_duplicates(many.createDataFrame(rows, "doc_id long, text string").coalesce(2)).collect()}
+    assert got == helpers.near_classes(rows)
+    assert max(files) <= 4 and sum(files) <= 40
+
+
 def test_line_dedup_writes_few_files(many, monkeypatch):
     files = counted(monkeypatch, [linejoin])
     rows = variants(200)
@@ -55,6 +64,19 @@ def test_line_dedup_writes_few_files(many, monkeypatch):
     assert max(files) <= 4 and sum(files) <= 20
 
 
+def test_a_round_of_components_has_few_shuffles(spark):
+    was = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        links = materialize(spark.createDataFrame([(i + 1, i) for i in range(40)], "u long, v long"), "test")
+        plan = components._small_star(components._large_star(links))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert len(re.findall(r"[-+] Exchange ", plan)) <= 5  # ReusedExchange is none
+
+
 def test_a_large_table_keeps_its_tasks(many):
     assert in_tasks(many.range(100).repartition(16), 10_000, 10).rdd.getNumPartitions() == 16
     assert in_tasks(many.range(100).repartition(16), 0, 10).rdd.getNumPartitions() == 1
